@@ -196,12 +196,19 @@ def null_if_blank(c: ColumnOrName, tokens: Sequence[str] = NULL_TOKENS) -> Colum
 def lenient_date(c: ColumnOrName, formats: Sequence[str] = LENIENT_DATE_FORMATS) -> Column:
     """first format that parses wins, failures are NULL."""
     c = _c(c).cast("string")
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
 def epoch_to_date(c: ColumnOrName) -> Column:
-    """F16: epoch seconds → date (session time zone, UTC in our sessions)."""
-    return F.to_date(F.timestamp_seconds(_c(c)))
+    """F16: epoch seconds → date, read as UTC whatever the session zone."""
+    return F.date_from_unix_date(F.floor(_c(c) / 86400).cast("int"))
+
+
+def epoch_seconds(ts: ColumnOrName) -> Column:
+    """Epoch seconds of a zone-less timestamp read as UTC (inverse of F16)."""
+    ts = _c(ts)
+    return (F.unix_date(ts.cast("date")).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+            + F.second(ts)).cast("long")
 
 
 # --- F19..F26 ----------------------------------------------------------------
