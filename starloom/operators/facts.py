@@ -81,21 +81,28 @@ def fact_player_performance(perf: DataFrame, players: DataFrame, teams: DataFram
                                          "minutes_played", "goals", "assists", "nb_on_pitch"])
 
 
-def _value_date(c: str) -> Column:
+def _value_date(df: DataFrame, c: str) -> Column:
     """``date_unix`` is a DATE in the DDL; epoch seconds are accepted too."""
     col = F.col(c)
-    return F.coalesce(col.try_cast("date"), X.epoch_to_date(col.try_cast("long")))
+    t = df.schema[c].dataType.typeName()
+    if t == "date":
+        return col
+    if t.startswith("timestamp"):
+        return col.cast("date")
+    if t == "string":
+        return F.coalesce(col.try_cast("date"), X.epoch_to_date(col.try_cast("long")))
+    return X.epoch_to_date(col.cast("long"))
 
 
 def fact_market_value(history: DataFrame, latest: DataFrame, players: DataFrame, unknown: str = "drop",
                       include_latest: bool = True) -> DataFrame:
     """Both value sources tagged by ``value_source`` (T20), with the change
     against the previous value of the same player and source (W2)."""
-    h = history.select("player_id", _value_date("date_unix").alias("value_date"), F.col("value"),
+    h = history.select("player_id", _value_date(history, "date_unix").alias("value_date"), F.col("value"),
                        F.lit("historical").alias("value_source"), F.lit(False).alias("is_latest_value"))
     src = h
     if include_latest:
-        src = h.unionByName(latest.select("player_id", _value_date("date_unix").alias("value_date"), F.col("value"),
+        src = h.unionByName(latest.select("player_id", _value_date(latest, "date_unix").alias("value_date"), F.col("value"),
                                           F.lit("latest").alias("value_source"), F.lit(True).alias("is_latest_value")))
     src = src.where(F.col("value").isNotNull() & F.col("value_date").isNotNull())
     f = _player(src, players, "player_id", unknown=unknown)
