@@ -157,7 +157,9 @@ def dim_season(names: DataFrame, col: str = "season_name", existing: DataFrame |
     rows = season_rows(names, col)
     cols = ["season_sk", "season_name", "season_start_year", "season_end_year", "is_current_season"]
     if existing is None:
-        return sequence_keys(rows, [("season_start_year", "asc", "last"), "season_name"], "season_sk").select(*cols)
+        # bounded: one row per season name
+        return sequence_keys(rows, [("season_start_year", "asc", "last"), "season_name"], "season_sk",
+                             bounded=True).select(*cols)
     out = upsert(existing, rows, "season_name", "season_sk",
                  ["season_start_year", "season_end_year", "is_current_season"])
     # the current flag is relative to all seasons, old ones included
@@ -181,8 +183,10 @@ def dim_injury_type(injuries: DataFrame, existing: DataFrame | None = None, rule
         "typical_recovery_days", F.lit(None).cast("int"))
     keys = ["injury_category", "injury_severity"]
     if existing is None:
-        return sequence_keys(rows, keys, "injury_type_sk").select("injury_type_sk", *keys, "typical_recovery_days")
-    return insert_if_absent(existing, rows, keys, "injury_type_sk")
+        # bounded: at most one row per rule outcome
+        return sequence_keys(rows, keys, "injury_type_sk", bounded=True).select(
+            "injury_type_sk", *keys, "typical_recovery_days")
+    return insert_if_absent(existing, rows, keys, "injury_type_sk", bounded=True)
 
 
 # --- B10 -----------------------------------------------------------------------

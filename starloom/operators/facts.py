@@ -10,12 +10,13 @@ broadcast when the measured size allows it and a shuffle join otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from .keys import get_or_create_members, lookup_sk, sequence_keys
 from .merge import pick_one
+from .windows import previous_in_group
 
 # Our rules (the reference gives none) from transfer text to a seeded code;
 # ordered, first match wins, substring match on the lower-cased text.
@@ -110,9 +111,10 @@ def fact_market_value(history: DataFrame, latest: DataFrame, players: DataFrame,
     # UNIQUE(player_sk, date_sk, value_source): keep the highest value of a day
     f = pick_one(f.select("player_sk", "date_sk", "value_source", "value_date", "value", "is_latest_value", "player_id"),
                  ["player_sk", "date_sk", "value_source"], [("value", "desc", "last")])
-    w = Window.partitionBy("player_sk", "value_source").orderBy("date_sk")
-    f = (f.withColumn("market_value", X.to_money("value"))
-         .withColumn("previous_value", F.lag("market_value").over(w))
+    f = f.withColumn("market_value", X.to_money("value"))
+    # W2 without a per-player window: a hot player stays spread over tasks
+    f = previous_in_group(f, ["player_sk", "value_source"], ["date_sk"], ["market_value"], prefix="__prev_")
+    f = (f.withColumnRenamed("__prev_market_value", "previous_value")
          .withColumn("value_change", F.col("market_value") - F.col("previous_value"))
          .withColumn("value_change_pct", X.pct_change("market_value", "previous_value"))
          .withColumn("source_record_id", F.concat_ws("|", "player_id", "value_date", "value_source")))

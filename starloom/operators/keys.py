@@ -46,6 +46,7 @@ def sequence_keys(
     key_col: str,
     start: int = 0,
     num_partitions: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """``key_col = start + row_number() over (order by order_by)``.
 
@@ -53,11 +54,18 @@ def sequence_keys(
     keys repeat run after run.  Scales with the cluster: one range shuffle, a
     checkpoint, and a broadcast of one row per partition (bounded by the
     partition count, not by the data).
+
+    ``bounded=True`` is for inputs whose size has a fixed bound that does not
+    grow with the data (seasons, rule outcomes, seeded codes): a plain window
+    numbers them in one small task, with no shuffle of data and no checkpoint.
     """
+    cols = _order_cols(order_by)
+    if bounded:
+        w = Window.orderBy(*cols)
+        return df.withColumn(key_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
     spark = df.sparkSession
     checkpoint_root(spark)
     n = num_partitions or shuffle_partitions(spark)
-    cols = _order_cols(order_by)
     ranged = (
         df.repartitionByRange(n, *cols)
         .sortWithinPartitions(*cols)

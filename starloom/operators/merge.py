@@ -94,14 +94,17 @@ def upsert(
     return updated.unionByName(_conform(inserts, existing))
 
 
-def insert_if_absent(existing: DataFrame, batch: DataFrame, keys: Sequence[str], sk_col: str) -> DataFrame:
-    """INSERT … ON CONFLICT DO NOTHING / check-then-insert, set-based."""
+def insert_if_absent(existing: DataFrame, batch: DataFrame, keys: Sequence[str], sk_col: str,
+                     bounded: bool = False) -> DataFrame:
+    """INSERT … ON CONFLICT DO NOTHING / check-then-insert, set-based.
+
+    ``bounded`` as in :func:`sequence_keys` (reference data of fixed size)."""
     keys = list(keys)
     new = batch.select(*keys).distinct().join(existing.select(*keys), keys, "left_anti")
     batch_rest = [c for c in batch.columns if c not in keys and c != sk_col]
     if batch_rest:
         new = new.join(pick_one(batch.select(*keys, *batch_rest), keys, batch_rest), keys, "left")
-    new = sequence_keys(new, keys, sk_col, start=max_key(existing, sk_col))
+    new = sequence_keys(new, keys, sk_col, start=max_key(existing, sk_col), bounded=bounded)
     return existing.unionByName(_conform(new, existing))
 
 

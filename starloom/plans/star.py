@@ -22,6 +22,7 @@ from ..operators.keys import get_or_create_members, lookup_sk, sequence_keys
 from ..operators.merge import insert_if_absent, pick_one, seed, upsert
 from ..operators.scd2 import current_view, scd2_initial, scd2_merge
 from ..operators.summary import season_summary
+from ..operators.windows import previous_in_group
 from ..session import scratch_path
 from ..sources import sinks
 from ..sources.readers import read_csv_typed
@@ -60,6 +61,21 @@ def _date(c: str) -> Column:
 
 
 # --- shared dimensions over the star ---------------------------------------------
+#
+# Conformed dimensions are built once per Spark application and data folder
+# and reused by every fact and report, as a warehouse run would read the
+# stored dimension.  Scaling dimensions are keyed by the range path of
+# ``sequence_keys`` (checkpointed); only bounded ones use a plain window.
+
+_SHARED: dict = {}
+
+
+def shared(spark: SparkSession, d: str, name: str, build):
+    key = (spark.sparkContext.applicationId, os.path.abspath(d), name)
+    if key not in _SHARED:
+        _SHARED[key] = build()
+    return _SHARED[key]
+
 
 def member_batch(spark: SparkSession, d: str, position: Column | None = None) -> DataFrame:
     """Customers as members: profile ⟕ nation (J1), renamed."""
@@ -74,7 +90,8 @@ def member_batch(spark: SparkSession, d: str, position: Column | None = None) ->
 
 
 def member_dim(spark: SparkSession, d: str) -> DataFrame:
-    return scd2_initial(member_batch(spark, d), "player_nk", MEMBER_TRACKED, RUN_1, "player_sk")
+    return shared(spark, d, "member_dim", lambda: scd2_initial(
+        member_batch(spark, d), "player_nk", MEMBER_TRACKED, RUN_1, "player_sk"))
 
 
 def team_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -89,28 +106,31 @@ def team_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def team_dim(spark: SparkSession, d: str) -> DataFrame:
-    return sequence_keys(team_rows(spark, d).drop("s_acctbal"), ["team_nk"], "team_sk")
+    return shared(spark, d, "team_dim", lambda: sequence_keys(
+        team_rows(spark, d).drop("s_acctbal"), ["team_nk"], "team_sk"))
 
 
 def competition_dim(spark: SparkSession, d: str) -> DataFrame:
     p = T(spark, d, "part").select(F.col("p_name").alias("competition_name"), F.col("p_type").alias("country_name"),
                                    F.col("p_brand").alias("club_division"))
-    return D.dim_competition(p)
+    return shared(spark, d, "competition_dim", lambda: D.dim_competition(p))
 
 
 def season_dim(spark: SparkSession, d: str) -> DataFrame:
     o = T(spark, d, "orders").select(X.season_of(_date("o_orderdate")).alias("season_name"))
-    return D.dim_season(o)
+    return shared(spark, d, "season_dim", lambda: D.dim_season(o))
 
 
 def nation_dim(spark: SparkSession, d: str) -> DataFrame:
-    return sequence_keys(T(spark, d, "nation").select("n_nationkey", "n_name"), ["n_nationkey"], "nation_sk")
+    """Nations: 25 rows by the TPC-H definition, so numbered and broadcast as bounded."""
+    return sequence_keys(T(spark, d, "nation").select("n_nationkey", "n_name"), ["n_nationkey"], "nation_sk",
+                         bounded=True)
 
 
 def category_dim(spark: SparkSession, d: str, rules=PART_RULES) -> DataFrame:
     rows = D.category_rows(T(spark, d, "part"), "p_name", rules, PART_DEFAULT).select(
         F.col("injury_category").alias("category"), F.col("injury_severity").alias("severity"))
-    return sequence_keys(rows, ["category", "severity"], "category_sk")
+    return sequence_keys(rows, ["category", "severity"], "category_sk", bounded=True)  # ≤ one row per rule
 
 
 def line_transfer_code(c: Column | None = None) -> Column:
@@ -170,7 +190,7 @@ def q_category_insert_if_absent(spark, d):
     old = category_dim(spark, d, PART_RULES_OLD)
     new = D.category_rows(T(spark, d, "part"), "p_name", PART_RULES, PART_DEFAULT).select(
         F.col("injury_category").alias("category"), F.col("injury_severity").alias("severity"))
-    return insert_if_absent(old, new, ["category", "severity"], "category_sk")
+    return insert_if_absent(old, new, ["category", "severity"], "category_sk", bounded=True)
 
 
 def q_transfer_type_seed(spark, d):
@@ -251,12 +271,12 @@ def q_fact_performance(spark, d):
 # --- X2 ----------------------------------------------------------------------------------
 
 def value_history(spark, d):
-    e = T(spark, d, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return e.select(
+    """Each value with the previous value of the same member (skew-safe lag)."""
+    e = T(spark, d, "events").select(
         "event_id", "user_id", X.date_key("ts").alias("date_sk"), X.to_money("value").alias("market_value"),
-        F.lit("historical").alias("value_source"), F.lit(False).alias("is_latest_value"), "ts",
-    ).withColumn("previous_value", F.lag("market_value").over(w)).select(
+        F.lit("historical").alias("value_source"), F.lit(False).alias("is_latest_value"), "ts")
+    e = previous_in_group(e, ["user_id"], ["ts", "event_id"], ["market_value"], prefix="__prev_")
+    return e.withColumnRenamed("__prev_market_value", "previous_value").select(
         "*", (F.col("market_value") - F.col("previous_value")).alias("value_change"),
         X.pct_change("market_value", "previous_value").alias("value_change_pct"))
 
