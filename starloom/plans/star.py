@@ -767,4 +767,23 @@ QUERIES = {
     "pipeline_reload": q_pipeline_reload,
 }
 
-__all__ = ["QUERIES", "seed"]
+
+
+def as_output(df: DataFrame) -> DataFrame:
+    """Result presentation: exact decimals leave as doubles (the nearest double
+    of an exact decimal is the same in every engine); everything else as is."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+def output_query(fn):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return as_output(fn(spark, d))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+OUTPUT_QUERIES = {name: output_query(fn) for name, fn in QUERIES.items()}
+
+__all__ = ["QUERIES", "OUTPUT_QUERIES", "as_output", "seed"]

@@ -484,3 +484,38 @@ SQL = {
         FROM (SELECT *, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS epoch_seconds FROM events) e""",
     "csv_staging": "SELECT * FROM customer",
 }
+
+
+# Result presentation, as ``star.as_output``: decimals leave as DOUBLE, integer
+# sums (HUGEINT in DuckDB) as BIGINT.
+OUTPUT_CASTS = {
+    "fact_performance": (("goals",), ()),
+    "fact_value_history": (("market_value", "previous_value", "value_change"), ()),
+    "fact_value_latest": (("market_value",), ()),
+    "fact_transfer": (("transfer_fee", "value_at_transfer"), ()),
+    "fact_national": (("total_goals",), ()),
+    "fact_pairs": (("ppg_played_with",), ()),
+    "season_summary": (("total_goals", "season_start_value", "season_end_value"),
+                       ("total_assists", "total_minutes", "total_yellow_cards", "total_red_cards",
+                        "total_injury_days", "total_games_missed")),
+    "top_scorers": (("total_goals",), ("total_assists",)),
+    "value_trend": (("market_value",), ()),
+    "interval_impact": ((), ("total_injury_days", "total_games_missed")),
+    "star_sample": (("goals",), ()),
+    "flows": (("total_fee",), ()),
+    "pair_synergy": (("ppg_played_with",), ()),
+    "team_comparison": (("total_quantity", "total_revenue"), ()),
+    "rank_by_season_group": (("total",), ()),
+}
+
+
+def output_sql(name: str) -> str:
+    sql = SQL[name]
+    doubles, bigints = OUTPUT_CASTS.get(name, ((), ()))
+    if not doubles and not bigints:
+        return sql
+    repl = [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles] + [f"CAST({c} AS BIGINT) AS {c}" for c in bigints]
+    return f"SELECT * REPLACE ({', '.join(repl)}) FROM ({sql}) q"
+
+
+OUTPUT_SQL = {name: output_sql(name) for name in SQL}
