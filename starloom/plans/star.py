@@ -233,15 +233,18 @@ def q_scd2_current(spark, d):
 # --- X1 ----------------------------------------------------------------------------------
 
 def performance_fact(spark, d):
+    """X1 on lines.  Keys are resolved on the smaller side first — orders get
+    the member and season key, parts the competition key — so the line fact is
+    shuffled once per source join, not once per dimension."""
+    o = T(spark, d, "orders").select("o_orderkey", "o_custkey",
+                                     X.season_of(_date("o_orderdate")).alias("season_name"))
+    o = lookup_sk(o, member_dim(spark, d), "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
+    o = lookup_sk(o, season_dim(spark, d), "season_name", "season_name", "season_sk").drop("o_custkey")
+    p = T(spark, d, "part").select("p_partkey", X.slug("p_name").alias("__comp"))
+    p = lookup_sk(p, competition_dim(spark, d), "__comp", "competition_id", "competition_sk").drop("__comp")
     li = T(spark, d, "lineitem")
-    o = T(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    p = T(spark, d, "part").select("p_partkey", "p_name")
     f = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    f = f.withColumn("season_name", X.season_of(_date("o_orderdate"))).withColumn("__comp", X.slug("p_name"))
-    f = lookup_sk(f, member_dim(spark, d), "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
     f = lookup_sk(f, team_dim(spark, d), "l_suppkey", "team_nk", "team_sk", cast_to="string")
-    f = lookup_sk(f, competition_dim(spark, d), "__comp", "competition_id", "competition_sk")
-    f = lookup_sk(f, season_dim(spark, d), "season_name", "season_name", "season_sk")
     tax100 = F.round(F.col("l_tax") * 100).cast("int")
     f = f.select(
         *LINE_ORDER, "player_sk", "team_sk", "competition_sk", "season_sk", "season_name",
@@ -298,17 +301,22 @@ def q_fact_value_latest(spark, d):
 # --- X3 ----------------------------------------------------------------------------------
 
 def transfer_fact(spark, d):
-    li = T(spark, d, "lineitem")
-    o = T(spark, d, "orders").select("o_orderkey", "o_custkey")
+    """X3 on lines: supplier nation → customer nation (one dimension in two
+    roles).  Order-side keys (member, destination) and supplier-side keys
+    (origin) are resolved before the line fact is joined."""
+    nations = F.broadcast(nation_dim(spark, d))  # 25 rows: bounded
     c = T(spark, d, "customer").select("c_custkey", "c_nationkey")
+    o = T(spark, d, "orders").select("o_orderkey", "o_custkey")
+    o = o.join(c, o.o_custkey == c.c_custkey)
+    o = lookup_sk(o, nations, "c_nationkey", "n_nationkey", "nation_sk", out_col="to_team_sk")
+    o = lookup_sk(o, member_dim(spark, d), "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
+    o = o.select("o_orderkey", "player_sk", "to_team_sk")
     s = T(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    s = lookup_sk(s, nations, "s_nationkey", "n_nationkey", "nation_sk", out_col="from_team_sk").drop("s_nationkey")
     p = T(spark, d, "part").select("p_partkey", "p_retailprice")
-    f = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
-         .join(s, li.l_suppkey == s.s_suppkey).join(p, li.l_partkey == p.p_partkey))
-    nations = F.broadcast(nation_dim(spark, d))  # 25 rows: bounded
-    f = lookup_sk(f, nations, "s_nationkey", "n_nationkey", "nation_sk", out_col="from_team_sk")
-    f = lookup_sk(f, nations, "c_nationkey", "n_nationkey", "nation_sk", out_col="to_team_sk")
-    f = lookup_sk(f, member_dim(spark, d), "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
+    li = T(spark, d, "lineitem")
+    f = li.join(o, li.l_orderkey == o.o_orderkey).join(s, li.l_suppkey == s.s_suppkey).join(
+        p, li.l_partkey == p.p_partkey)
     f = f.withColumn("season_name", X.season_of(_date("l_shipdate")))
     f = lookup_sk(f, season_dim(spark, d), "season_name", "season_name", "season_sk")
     f = f.withColumn("__code", line_transfer_code())
