@@ -54,6 +54,31 @@ def ensure_players(players: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     )
 
 
+def ensure_teams(teams: DataFrame, keys: DataFrame) -> DataFrame:
+    """Inferred teams for team keys the facts use (name 'Unknown')."""
+    return get_or_create_members(teams, keys.select(F.col("team_nk").cast("string")), "team_nk", "team_sk", {
+        "team_name": F.lit(X.UNKNOWN_TEXT), "country_name": F.lit(X.UNKNOWN_TEXT),
+        "primary_competition_id": F.lit(X.UNKNOWN_TEXT), "division_level": F.lit(str(X.UNKNOWN_TIER)),
+        "is_active": F.lit(True)})
+
+
+def ensure_competitions(comps: DataFrame, names: DataFrame) -> DataFrame:
+    """Inferred competitions (slug key) for competition names the facts use."""
+    keys = names.where(F.col("competition_name").isNotNull()).select(
+        X.slug("competition_name").alias("competition_id"), "competition_name")
+    return get_or_create_members(comps, keys, "competition_id", "competition_sk", {
+        "competition_name": F.col("competition_name"), "competition_slug": F.col("competition_id"),
+        "tier_level": F.lit(X.UNKNOWN_TIER)})
+
+
+def ensure_seasons(seasons: DataFrame, names: DataFrame) -> DataFrame:
+    """Inferred seasons, years parsed by the same rule as the dimension."""
+    y = X.season_years("season_name")
+    return get_or_create_members(seasons, names.select("season_name"), "season_name", "season_sk", {
+        "season_start_year": y.getField("start_year"), "season_end_year": y.getField("end_year"),
+        "is_current_season": F.lit(False)})
+
+
 def _number(df: DataFrame, sk: str, order: list) -> DataFrame:
     return sequence_keys(df, order, sk)
 

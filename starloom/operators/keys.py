@@ -141,16 +141,20 @@ def get_or_create_members(
 ) -> DataFrame:
     """Add an inferred member for every key not in ``dim``.
 
-    ``keys`` holds the natural keys seen in the facts (column ``nk``); NULL
-    keys never become members.  New members get ``defaults`` (e.g. name
+    ``keys`` holds the natural keys seen in the facts (column ``nk``, plus
+    optional attributes seen with them that ``defaults`` may use); NULL keys
+    never become members.  New members get ``defaults`` (e.g. name
     'Unknown') and keys after the current maximum, in key order.  The set-based
     form replaces the reference's per-row get-or-create function.
     """
     defaults = dict(defaults or {})
-    missing = (
-        keys.select(nk).where(F.col(nk).isNotNull()).distinct()
-        .join(dim.select(nk), nk, "left_anti")
-    )
+    extra = [c for c in keys.columns if c != nk]
+    seen = keys.where(F.col(nk).isNotNull())
+    if extra:  # attributes seen with the key (e.g. a name), one row per key, for the defaults
+        seen = seen.groupBy(nk).agg(*[F.min(c).alias(c) for c in extra])
+    else:
+        seen = seen.select(nk).distinct()
+    missing = seen.join(dim.select(nk), nk, "left_anti")
     cols = []
     for f in dim.schema.fields:
         if f.name in (nk, sk_col):

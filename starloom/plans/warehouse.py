@@ -124,6 +124,17 @@ def build_facts(st: Mapping[str, DataFrame], d: dict[str, DataFrame], unknown: s
             ids = k if ids is None else ids.unionByName(k)
         players = FX.ensure_players(players, ids, "player_id")
         d["dim_player"] = players
+        team_keys = (st["player_performances"].select(F.col("team_id").cast("string").alias("team_nk"))
+                     .unionByName(st["transfer_history"].select(F.col("from_team_id").cast("string").alias("team_nk")))
+                     .unionByName(st["transfer_history"].select(F.col("to_team_id").cast("string").alias("team_nk")))
+                     .unionByName(st["player_national_performances"].select(F.col("team_id").alias("team_nk"))))
+        d["dim_team"] = FX.ensure_teams(d["dim_team"], team_keys)
+        d["dim_competition"] = FX.ensure_competitions(
+            d["dim_competition"], st["player_performances"].select("competition_name"))
+        season_names = (st["player_performances"].select("season_name")
+                        .unionByName(st["player_injuries"].select("season_name"))
+                        .unionByName(st["transfer_history"].select("season_name")))
+        d["dim_season"] = FX.ensure_seasons(d["dim_season"], season_names)
     f["fact_player_performance"] = FX.fact_player_performance(
         st["player_performances"], players, d["dim_team"], d["dim_competition"], d["dim_season"], unknown)
     f["fact_market_value"] = FX.fact_market_value(

@@ -147,3 +147,22 @@ def test_second_run_is_idempotent_then_tracks_changes(spark, built):
     assert dim.where("is_current").groupBy("player_nk").count().where("count > 1").count() == 0
     old_keys = set(before)
     assert old_keys <= {r.player_sk for r in dim.collect()}    # known keys never change
+
+
+def test_inferred_members_mode(spark, tmp_path):
+    """unknown='member' (J8, G3–G5): unknown keys become 'Unknown' members and
+    no fact row is dropped for them."""
+    src = write_fixture(str(tmp_path / "src"))
+    st = {n: __import__("starloom.sources.readers", fromlist=["read_source"]).read_source(spark, src, n)
+          for n in W.LOAD_ORDER}
+    wh = W.build_warehouse(spark, st, RUN_1, unknown="member")
+    assert wh["fact_player_performance"].count() == 8                      # player 99 kept
+    players = {r.player_nk: (r.player_name, r.is_inferred) for r in wh["dim_player"].collect()}
+    assert players[99] == ("Unknown", True) and players[1][1] is False
+    teams = {r.team_nk: (r.team_name, r.is_inferred) for r in wh["dim_team"].collect()}
+    assert teams["99"] == ("Unknown", True) and teams["30"] == ("Unknown", True)
+    assert teams["FS"] == ("Unknown", True) and teams["10"][1] is False
+    assert wh["fact_player_performance"].where("team_sk IS NULL").count() == 0
+    seasons = {r.season_name: r.is_inferred for r in wh["dim_season"].collect()}
+    assert seasons == {"24/25": False, "99/00": False, "2024": False, "abc": False}
+    assert wh["fact_transfer"].where("to_team_sk IS NULL AND transfer_type_text = 'End of loan'").count() == 1
