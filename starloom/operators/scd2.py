@@ -18,11 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import OPEN_VALID_TO, row_hash
 from .keys import max_key, sequence_keys
+from .windows import next_in_group, previous_in_group
 
 HASH = "source_row_hash"
 
@@ -106,20 +107,18 @@ def scd2_from_snapshots(
     """Versions from dated snapshots (one row per key and snapshot).
 
     A version starts where the hash differs from the previous snapshot of the
-    same key; ``valid_to`` is the start of the next version.  The window is per
-    member, so its size is bounded by the number of snapshots of one member.
+    same key; ``valid_to`` is the start of the next version.  Previous and next
+    rows come from position joins (:mod:`.windows`), not per-member windows,
+    so a member with a very long history is still spread over many tasks.
     """
-    w = Window.partitionBy(nk).orderBy(F.col(snapshot_ts))
     h = snapshots.withColumn(hash_col, row_hash(*tracked))
-    starts = h.withColumn("__prev", F.lag(hash_col).over(w)).where(
-        F.col("__prev").isNull() | (F.col("__prev") != F.col(hash_col))
-    ).drop("__prev")
-    v = (
-        starts.withColumn("valid_from", F.col(snapshot_ts).cast("timestamp_ntz"))
-        .withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy(nk).orderBy("valid_from")))
-        .withColumn("is_current", F.col("valid_to").isNull())
-        .drop(snapshot_ts)
-    )
+    h = previous_in_group(h, [nk], [snapshot_ts], [hash_col], prefix="__prev_")
+    starts = h.where(F.col(f"__prev_{hash_col}").isNull() | (F.col(f"__prev_{hash_col}") != F.col(hash_col))).drop(
+        f"__prev_{hash_col}")
+    v = starts.withColumn("valid_from", F.col(snapshot_ts).cast("timestamp_ntz")).drop(snapshot_ts)
+    v = next_in_group(v, [nk], ["valid_from"], ["valid_from"], prefix="__next_")
+    v = (v.withColumnRenamed("__next_valid_from", "valid_to")
+         .withColumn("is_current", F.col("valid_to").isNull()))
     return sequence_keys(v, [nk, "valid_from"], sk_col)
 
 

@@ -22,30 +22,44 @@ from .keys import sequence_keys
 _POS = "__wl_pos"
 
 
-def previous_in_group(
+def neighbour_in_group(
     df: DataFrame,
     group_by: Sequence[str],
     order_by: Sequence[str],
     values: Sequence[str],
+    offset: int = -1,
     prefix: str = "previous_",
 ) -> DataFrame:
-    """``prefix + v = lag(v) over (partition by group_by order by order_by)``.
+    """``prefix + v = lag(v, -offset)`` (offset < 0) or ``lead(v, offset)``
+    (offset > 0) over ``partition by group_by order by order_by``.
 
     ``order_by`` must make the order total within a group (add a unique
-    tie-breaker).  Adds one column per value; NULL for a group's first row.
+    tie-breaker).  Adds one column per value; NULL where the neighbour falls
+    outside the group.
     """
     seq = sequence_keys(df, [*group_by, *order_by], _POS)
-    prev = seq.select(
-        (F.col(_POS) + 1).alias(_POS),
+    other = seq.select(
+        (F.col(_POS) - offset).alias(_POS),
         *[F.col(g).alias(f"__wl_g_{g}") for g in group_by],
         *[F.col(v).alias(f"__wl_v_{v}") for v in values],
     )
-    j = seq.join(prev, _POS, "left")
+    j = seq.join(other, _POS, "left")
     same: Column = F.lit(True)
     for g in group_by:
         same = same & F.col(g).eqNullSafe(F.col(f"__wl_g_{g}"))
-    out = j.select(
+    return j.select(
         *[F.col(c) for c in seq.columns if c != _POS],
         *[F.when(same, F.col(f"__wl_v_{v}")).alias(f"{prefix}{v}") for v in values],
     )
-    return out
+
+
+def previous_in_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str],
+                      prefix: str = "previous_") -> DataFrame:
+    """``lag(v) over (partition by group_by order by order_by)``, skew-safe."""
+    return neighbour_in_group(df, group_by, order_by, values, -1, prefix)
+
+
+def next_in_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str],
+                  prefix: str = "next_") -> DataFrame:
+    """``lead(v) over (partition by group_by order by order_by)``, skew-safe."""
+    return neighbour_in_group(df, group_by, order_by, values, 1, prefix)

@@ -207,7 +207,7 @@ def q_scd2_initial(spark, d):
     return member_dim(spark, d)
 
 
-def _merged_members(spark, d):
+def _build_merged_members(spark, d):
     first = member_batch(spark, d).where(F.col("position") != "HOUSEHOLD")
     dim1 = scd2_initial(first, "player_nk", MEMBER_TRACKED, RUN_1, "player_sk")
     c_bal = T(spark, d, "customer").select(F.col("c_custkey").alias("__ck"), "c_acctbal")
@@ -218,6 +218,10 @@ def _merged_members(spark, d):
     return scd2_merge(dim1, batch, "player_nk", MEMBER_TRACKED, RUN_2, "player_sk")
 
 
+def _merged_members(spark, d):
+    return shared(spark, d, "merged_members", lambda: _build_merged_members(spark, d))
+
+
 def q_scd2_merge(spark, d):
     return _merged_members(spark, d)
 
@@ -232,7 +236,7 @@ def q_scd2_current(spark, d):
 
 # --- X1 ----------------------------------------------------------------------------------
 
-def performance_fact(spark, d):
+def _build_performance_fact(spark, d):
     """X1 on lines.  Keys are resolved on the smaller side first — orders get
     the member and season key, parts the competition key — so the line fact is
     shuffled once per source join, not once per dimension."""
@@ -267,6 +271,10 @@ def performance_fact(spark, d):
     return f.drop(*[c for c in LINE_ORDER if c != "l_orderkey"])
 
 
+def performance_fact(spark, d):
+    return shared(spark, d, "performance_fact", lambda: _build_performance_fact(spark, d))
+
+
 def q_fact_performance(spark, d):
     return performance_fact(spark, d).drop("l_orderkey")
 
@@ -300,7 +308,7 @@ def q_fact_value_latest(spark, d):
 
 # --- X3 ----------------------------------------------------------------------------------
 
-def transfer_fact(spark, d):
+def _build_transfer_fact(spark, d):
     """X3 on lines: supplier nation → customer nation (one dimension in two
     roles).  Order-side keys (member, destination) and supplier-side keys
     (origin) are resolved before the line fact is joined."""
@@ -331,6 +339,10 @@ def transfer_fact(spark, d):
     return f.drop(*LINE_ORDER)
 
 
+def transfer_fact(spark, d):
+    return shared(spark, d, "transfer_fact", lambda: _build_transfer_fact(spark, d))
+
+
 def q_fact_transfer(spark, d):
     return transfer_fact(spark, d)
 
@@ -378,7 +390,7 @@ def q_fact_national(spark, d):
                     "total_matches", "total_goals", X.ratio("total_goals", "total_matches").alias("goals_per_match"))
 
 
-def pairs_fact(spark, d):
+def _build_pairs_fact(spark, d):
     """X6 on given pair rows: each line pairs its customer's nation (player)
     with its supplier's nation (teammate) — one dimension in two roles."""
     li = T(spark, d, "lineitem")
@@ -400,13 +412,17 @@ def pairs_fact(spark, d):
     return f.withColumn("chemistry_score", X.chemistry_score("joint_goal_participation", "minutes_played_together"))
 
 
+def pairs_fact(spark, d):
+    return shared(spark, d, "pairs_fact", lambda: _build_pairs_fact(spark, d))
+
+
 def q_fact_pairs(spark, d):
     return pairs_fact(spark, d)
 
 
 # --- X7 ----------------------------------------------------------------------------------
 
-def summary_fact(spark, d):
+def _build_summary_fact(spark, d):
     o = T(spark, d, "orders")
     members = member_dim(spark, d)
     seasons = season_dim(spark, d)
@@ -434,6 +450,10 @@ def summary_fact(spark, d):
     return season_summary(perf.drop("__d"), inj, values)
 
 
+def summary_fact(spark, d):
+    return shared(spark, d, "summary_fact", lambda: _build_summary_fact(spark, d))
+
+
 def q_season_summary(spark, d):
     return summary_fact(spark, d)
 
