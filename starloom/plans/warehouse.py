@@ -207,18 +207,26 @@ def verify(wh: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame
 
 def run_pipeline(spark: SparkSession, src_dir: str, root: str, run_ts: str, unknown: str = "drop"):
     """The whole run: staging → warehouse → verification, like the reference's
-    orchestrator but as one Spark application."""
+    orchestrator but as one Spark application.
+
+    Returns ``(status, counts, checks, passed, audit)``: staging status per
+    source, counts per warehouse table with OK/EMPTY, all checks in long form,
+    the pass flag, and the before/after row counts of this run (S12).
+    """
     import os
 
     stage_dir = os.path.join(root, "_staging")
     status = load_staging(spark, src_dir, stage_dir)
     st = read_staging(spark, stage_dir)
     previous = open_warehouse(spark, root)
+    before = table_counts(previous) if previous else spark.createDataFrame(
+        [], "table_name STRING, table_kind STRING, n_rows BIGINT, status STRING")
     wh = build_warehouse(spark, st, run_ts, previous or None, unknown)
     paths = write_warehouse(spark, wh, root)
     stored = {n: spark.read.parquet(p) for n, p in paths.items()}
     counts, checks, passed = verify(stored)
-    return status, counts, checks, passed
+    audit = sinks.audit_delta(before, counts).withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
+    return status, counts, checks, passed, audit
 
 
 __all__ = ["load_staging", "read_staging", "build_warehouse", "write_warehouse", "open_warehouse", "verify",

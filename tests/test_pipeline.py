@@ -21,9 +21,15 @@ def built(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("wh"))
     src = write_fixture(os.path.join(base, "src"), skip=("team_competitions_seasons",))
     root = os.path.join(base, "dw")
-    status, counts, checks, passed = W.run_pipeline(spark, src, root, RUN_1)
+    status, counts, checks, passed, audit = W.run_pipeline(spark, src, root, RUN_1)
     wh = W.open_warehouse(spark, root)
-    return dict(base=base, src=src, root=root, status=status, counts=counts, checks=checks, passed=passed, wh=wh)
+    return dict(base=base, src=src, root=root, status=status, counts=counts, checks=checks, passed=passed, wh=wh,
+                audit=audit)
+
+
+def test_first_run_audit(built):
+    audit = {r.table_name: (r.n_before, r.n_after) for r in built["audit"].collect()}
+    assert len(audit) == 15 and audit["dim_player"] == (0, 5) and audit["dim_transfer_type"] == (0, 6)
 
 
 def test_staging_status(built):
@@ -135,7 +141,8 @@ def test_second_run_is_idempotent_then_tracks_changes(spark, built):
     root = built["root"]
     before = {r.player_sk: (r.player_nk, r.source_row_hash, r.is_current)
               for r in W.open_warehouse(spark, root)["dim_player"].collect()}
-    W.run_pipeline(spark, built["src"], root, RUN_2)
+    audit = W.run_pipeline(spark, built["src"], root, RUN_2)[4]
+    assert all(r.delta == 0 for r in audit.collect())          # S12: nothing added by a repeated run
     after = {r.player_sk: (r.player_nk, r.source_row_hash, r.is_current)
              for r in W.open_warehouse(spark, root)["dim_player"].collect()}
     assert after == before                                     # same data: nothing changes (T11)
