@@ -71,10 +71,11 @@ _SHARED: dict = {}
 
 
 def shared(spark: SparkSession, d: str, name: str, build):
-    key = (spark.sparkContext.applicationId, os.path.abspath(d), name)
-    if key not in _SHARED:
-        _SHARED[key] = build()
-    return _SHARED[key]
+    key = (id(spark), os.path.abspath(d), name)
+    hit = _SHARED.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _SHARED[key] = (spark, build())
+    return hit[1]
 
 
 def member_batch(spark: SparkSession, d: str, position: Column | None = None) -> DataFrame:
