@@ -58,6 +58,25 @@ def orphan_check(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, t
                     "failures")
 
 
+def validity_overlap_check(dim: DataFrame, nk: str, table: str, check: str = "overlapping_validity") -> DataFrame:
+    """SCD2 invariant: versions of one key do not overlap in time.
+
+    Each version is compared with the next one of the same key (by
+    ``valid_from``, then surrogate key): it overlaps when it is still open or
+    ends after the next one starts.  Neighbours come from a position join, so
+    no pairs are formed within a key and a long history is not one task.
+    """
+    from .windows import next_in_group
+
+    sk = [c for c in dim.columns if c.endswith("_sk")][:1]
+    v = dim.select(nk, "valid_from", "valid_to", *sk)
+    v = next_in_group(v, [nk], ["valid_from", *sk], ["valid_from"], prefix="__next_")
+    bad = F.col("__next_valid_from").isNotNull() & (
+        F.col("valid_to").isNull() | (F.col("valid_to") > F.col("__next_valid_from")))
+    return v.agg(F.count_if(bad).cast("long").alias("failures")).select(
+        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "failures")
+
+
 def duplicate_check(df: DataFrame, keys: Sequence[str], table: str, check: str | None = None,
                     where: Column | None = None) -> DataFrame:
     """Q4/Q11/A5: number of key values held by more than one row."""
@@ -123,6 +142,7 @@ def warehouse_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
     # Q4, Q5, Q7, Q11
     out.append(duplicate_check(player, ["player_nk"], "dim_player", "duplicate_current_player_nk",
                                where=F.col("is_current")))
+    out.append(validity_overlap_check(player, "player_nk", "dim_player"))
     out.append(count_checks(player.where(F.col("is_current")), "dim_player",
                             {"current_without_agent": F.col("agent_sk").isNull()}, total=None))
     seasons = wh["dim_season"]

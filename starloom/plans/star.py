@@ -614,6 +614,18 @@ def q_dq_range_unique_notnull(spark, d):
     ])
 
 
+def q_dq_scd2_validity(spark, d):
+    """SCD2 invariants of the merged members: no overlapping versions, one
+    current version per key, every closed version ends where a newer starts."""
+    dim = _merged_members(spark, d)
+    return reduce(DataFrame.unionByName, [
+        Q.validity_overlap_check(dim, "player_nk", "dim_member"),
+        Q.duplicate_check(dim, ["player_nk"], "dim_member", "duplicate_current_member", where=F.col("is_current")),
+        Q.count_checks(dim, "dim_member", {"closed_without_end": ~F.col("is_current") & F.col("valid_to").isNull()},
+                       total=None),
+    ])
+
+
 def q_dq_coverage(spark, d):
     """Q5–Q7/A6 as a metric report (one row per metric, text values)."""
     o = T(spark, d, "orders")
@@ -782,6 +794,7 @@ QUERIES = {
     "dq_orphans": q_dq_orphans,
     "dq_duplicates": q_dq_duplicates,
     "dq_range_unique_notnull": q_dq_range_unique_notnull,
+    "dq_scd2_validity": q_dq_scd2_validity,
     "dq_coverage": q_dq_coverage,
     "table_status": q_table_status,
     "warehouse_summary": q_warehouse_summary,

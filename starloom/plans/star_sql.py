@@ -433,6 +433,17 @@ SQL = {
         _dup("dim_season", "season_name", f"({SEASON_DIM}) sd"),
         _counts("fact_pairs", False, {"self_pair": "player_sk = teammate_player_sk"}, f"({PAIRS}) fp"),
     ]),
+    "dq_scd2_validity": f"""WITH m AS ({MERGED}),
+        nx AS (SELECT *, lead(valid_from) OVER (PARTITION BY player_nk ORDER BY valid_from, player_sk) AS next_from FROM m)
+        SELECT 'dim_member' AS table_name, 'overlapping_validity' AS check_name,
+          CAST(count(*) FILTER (WHERE next_from IS NOT NULL AND (valid_to IS NULL OR valid_to > next_from)) AS BIGINT)
+            AS failures FROM nx
+        UNION ALL
+        SELECT 'dim_member', 'duplicate_current_member', CAST(count(*) AS BIGINT)
+        FROM (SELECT player_nk FROM m WHERE is_current GROUP BY player_nk HAVING count(*) > 1) g
+        UNION ALL
+        SELECT 'dim_member', 'closed_without_end', CAST(count(*) FILTER (WHERE NOT is_current AND valid_to IS NULL) AS BIGINT)
+        FROM m""",
     "dq_coverage": f"""SELECT 'min_order_date' AS metric_name, CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS metric_value
           FROM orders
         UNION ALL SELECT 'max_order_date', CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) FROM orders

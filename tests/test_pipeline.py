@@ -116,6 +116,7 @@ def test_summary_and_invariants(built):
     checks = {(r.table_name, r.check_name): r.failures for r in built["checks"].collect()}
     assert all(v == 0 for (t, c), v in checks.items() if c.startswith("orphan_"))
     assert checks[("dim_player", "duplicate_current_player_nk")] == 0
+    assert checks[("dim_player", "overlapping_validity")] == 0
     assert checks[("dim_season", "current_season_count_not_1")] == 1   # '24/25' and '2024' share a start year
     assert checks[("fact_national_performance", "negative_goals")] == 1
     assert checks[("fact_teammate_relationship", "self_pair")] == 0

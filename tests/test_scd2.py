@@ -34,6 +34,11 @@ def test_initial_and_merge(spark):
     assert _rows(again) == rows
     # one current version per key, validity as of a time
     assert m.where("is_current").groupBy("nk").count().where("count > 1").count() == 0
+    from starloom.operators.quality import validity_overlap_check
+
+    assert validity_overlap_check(m, "nk", "dim").first().failures == 0
+    broken = m.withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))   # every version left open
+    assert validity_overlap_check(broken, "nk", "dim").first().failures == 2
     old = {r.nk: r.pos for r in version_at(m, "2024-01-15 00:00:00").collect()}
     assert old == {1: "GK", 2: None, 3: "DF"}
 
