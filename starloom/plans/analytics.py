@@ -13,6 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.keys import broadcast_if_small
 from ..operators.quality import duplicate_check, orphan_check
 
 
@@ -29,7 +30,7 @@ def value_trend(wh: Mapping[str, DataFrame], name_pattern: str) -> DataFrame:
     """Market values of players whose name matches a LIKE pattern."""
     mv, p, d = wh["fact_market_value"], wh["dim_player"], wh["dim_date"]
     j = mv.join(p.where(F.col("player_name").like(name_pattern)).select("player_sk", "player_name"), "player_sk") \
-        .join(F.broadcast(d.select("date_sk", F.col("date_value").alias("full_date"))), "date_sk")
+        .join(broadcast_if_small(d.select("date_sk", F.col("date_value").alias("full_date")), 400_000), "date_sk")
     return j.select("player_name", "full_date", "market_value", "value_source").orderBy("full_date", "player_name")
 
 
@@ -99,7 +100,7 @@ def team_comparison(wh: Mapping[str, DataFrame]) -> DataFrame:
     return f.groupBy("team_sk", "competition_sk").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("goals").alias("total_goals"),
         F.sum("minutes_played").alias("total_minutes"),
-        (F.sum(F.col("goals").cast("double")) / F.count("goals")).alias("avg_goals"))
+        (F.sum("goals").cast("double") / F.count("goals")).alias("avg_goals"))
 
 
 def custom_checks(wh: Mapping[str, DataFrame]) -> DataFrame:

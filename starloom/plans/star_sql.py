@@ -180,8 +180,8 @@ SUMMARY = f"""WITH perf AS (
       SELECT player_sk, season_sk, count(DISTINCT performance_sk) AS total_matches, sum(goals) AS total_goals,
         sum(assists) AS total_assists, sum(minutes_played) AS total_minutes, sum(yellow_cards) AS total_yellow_cards,
         sum(second_yellow_cards + direct_red_cards) AS total_red_cards,
-        sum(CAST(goals AS DOUBLE)) / count(goals) AS avg_goals_per_match,
-        sum(CAST(assists AS DOUBLE)) / count(assists) AS avg_assists_per_match,
+        CAST(sum(goals) AS DOUBLE) / count(goals) AS avg_goals_per_match,
+        CAST(sum(assists) AS DOUBLE) / count(assists) AS avg_assists_per_match,
         arg_min(goals, (d, performance_sk)) AS season_start_value, arg_max(goals, (d, performance_sk)) AS season_end_value
       FROM perf WHERE season_sk IS NOT NULL GROUP BY player_sk, season_sk),
     inj AS (
