@@ -79,6 +79,7 @@ def upsert(
     take the batch values of ``update_cols`` (NULL included, as EXCLUDED
     does); new keys are appended with keys ``max(sk) + 1 …`` in key order.
     """
+    batch = batch.where(F.col(key).isNotNull())
     update_cols = list(update_cols or [c for c in batch.columns if c in existing.columns and c not in (key, sk_col)])
     incoming = batch.select(
         F.col(key), F.lit(True).alias("__hit"), *[F.col(c).alias(f"__new_{c}") for c in update_cols]

@@ -41,9 +41,9 @@ def scd2_initial(
     start: int = 0,
     hash_col: str = HASH,
 ) -> DataFrame:
-    """First load; ``batch`` holds one row per natural key."""
+    """First load; ``batch`` holds one row per natural key (NULL keys are skipped)."""
     rows = (
-        batch.withColumn(hash_col, row_hash(*tracked))
+        batch.where(F.col(nk).isNotNull()).withColumn(hash_col, row_hash(*tracked))
         .withColumn("valid_from", _ts(run_ts))
         .withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
         .withColumn("is_current", F.lit(True))
@@ -65,7 +65,7 @@ def scd2_merge(
     Members missing from the batch stay as they are (no deletes).
     """
     ts = _ts(run_ts)
-    batch_h = batch.withColumn(hash_col, row_hash(*tracked))
+    batch_h = batch.where(F.col(nk).isNotNull()).withColumn(hash_col, row_hash(*tracked))
     current = dim.filter(F.col("is_current"))
     history = dim.filter(~F.col("is_current"))
 

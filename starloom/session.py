@@ -44,7 +44,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: executors must read checkpoints "
+                               "written by other executors")
+        configured = tempfile.mkdtemp(prefix="starloom-ckpt-")  # local runs and tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -33,12 +33,14 @@ def test_pick_one_orders(spark):
 def test_upsert_updates_inserts_and_keeps_keys(spark):
     existing = spark.createDataFrame([(1, "10", "A", "x"), (2, "20", "B", "y"), (3, "30", "C", "z")],
                                      "sk LONG, nk STRING, name STRING, extra STRING")
-    batch = spark.createDataFrame([("20", "B2"), ("30", None), ("05", "E"), ("40", "D")], "nk STRING, name STRING")
+    batch = spark.createDataFrame([("20", "B2"), ("30", None), ("05", "E"), ("40", "D"), (None, "X")],
+                                  "nk STRING, name STRING")
     out = {r.nk: (r.sk, r.name, r.extra) for r in upsert(existing, batch, "nk", "sk", ["name"]).collect()}
     assert out["10"] == (1, "A", "x")
     assert out["20"] == (2, "B2", "y")
     assert out["30"] == (3, None, "z")  # EXCLUDED.* overwrites with NULL too
     assert out["05"] == (4, "E", None) and out["40"] == (5, "D", None)  # new keys in key order
+    assert None not in out                                             # NULL keys never become members
 
 
 def test_insert_if_absent(spark):
