@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import OPEN_VALID_TO, row_hash
 from .keys import max_key, sequence_keys
-from .windows import next_in_group, previous_in_group
+from .windows import join_neighbour, previous_in_group
 
 HASH = "source_row_hash"
 
@@ -103,23 +103,28 @@ def scd2_from_snapshots(
     snapshot_ts: str,
     sk_col: str,
     hash_col: str = HASH,
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Versions from dated snapshots (one row per key and snapshot).
 
     A version starts where the hash differs from the previous snapshot of the
-    same key; ``valid_to`` is the start of the next version.  Previous and next
-    rows come from position joins (:mod:`.windows`), not per-member windows,
-    so a member with a very long history is still spread over many tasks.
+    same key; ``valid_to`` is the start of the next version.  ``tie_break``
+    columns order snapshots of one key taken at the same time.  Previous and
+    next rows come from position joins (:mod:`.windows`), not per-member
+    windows, so a member with a very long history is still spread over many
+    tasks.
     """
+    order = [snapshot_ts, *tie_break]
     h = snapshots.withColumn(hash_col, row_hash(*tracked))
-    h = previous_in_group(h, [nk], [snapshot_ts], [hash_col], prefix="__prev_")
+    h = previous_in_group(h, [nk], order, [hash_col], prefix="__prev_")
     starts = h.where(F.col(f"__prev_{hash_col}").isNull() | (F.col(f"__prev_{hash_col}") != F.col(hash_col))).drop(
         f"__prev_{hash_col}")
     v = starts.withColumn("valid_from", F.col(snapshot_ts).cast("timestamp_ntz")).drop(snapshot_ts)
-    v = next_in_group(v, [nk], ["valid_from"], ["valid_from"], prefix="__next_")
-    v = (v.withColumnRenamed("__next_valid_from", "valid_to")
-         .withColumn("is_current", F.col("valid_to").isNull()))
-    return sequence_keys(v, [nk, "valid_from"], sk_col)
+    # version keys follow (key, start) order, so they double as positions for the next-version join
+    v = sequence_keys(v, [nk, "valid_from", *tie_break], sk_col)
+    v = join_neighbour(v, sk_col, [nk], ["valid_from"], 1, "__next_")
+    return (v.withColumnRenamed("__next_valid_from", "valid_to")
+            .withColumn("is_current", F.col("valid_to").isNull()))
 
 
 def current_view(dim: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -22,6 +22,32 @@ from .keys import sequence_keys
 _POS = "__wl_pos"
 
 
+def join_neighbour(
+    seq: DataFrame,
+    pos_col: str,
+    group_by: Sequence[str],
+    values: Sequence[str],
+    offset: int,
+    prefix: str,
+) -> DataFrame:
+    """Rows already numbered by consecutive positions (``pos_col``) in group
+    order fetch ``values`` of the row ``offset`` places away, when it is in
+    the same group.  One equi-join on a unique key."""
+    other = seq.select(
+        (F.col(pos_col) - offset).alias(pos_col),
+        *[F.col(g).alias(f"__wl_g_{g}") for g in group_by],
+        *[F.col(v).alias(f"__wl_v_{v}") for v in values],
+    )
+    j = seq.join(other, pos_col, "left")
+    same: Column = F.lit(True)
+    for g in group_by:
+        same = same & F.col(g).eqNullSafe(F.col(f"__wl_g_{g}"))
+    return j.select(
+        *[F.col(c) for c in seq.columns],
+        *[F.when(same, F.col(f"__wl_v_{v}")).alias(f"{prefix}{v}") for v in values],
+    )
+
+
 def neighbour_in_group(
     df: DataFrame,
     group_by: Sequence[str],
@@ -38,19 +64,7 @@ def neighbour_in_group(
     outside the group.
     """
     seq = sequence_keys(df, [*group_by, *order_by], _POS)
-    other = seq.select(
-        (F.col(_POS) - offset).alias(_POS),
-        *[F.col(g).alias(f"__wl_g_{g}") for g in group_by],
-        *[F.col(v).alias(f"__wl_v_{v}") for v in values],
-    )
-    j = seq.join(other, _POS, "left")
-    same: Column = F.lit(True)
-    for g in group_by:
-        same = same & F.col(g).eqNullSafe(F.col(f"__wl_g_{g}"))
-    return j.select(
-        *[F.col(c) for c in seq.columns if c != _POS],
-        *[F.when(same, F.col(f"__wl_v_{v}")).alias(f"{prefix}{v}") for v in values],
-    )
+    return join_neighbour(seq, _POS, group_by, values, offset, prefix).drop(_POS)
 
 
 def previous_in_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str],

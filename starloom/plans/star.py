@@ -20,7 +20,7 @@ from ..operators import dimensions as D
 from ..operators import quality as Q
 from ..operators.keys import get_or_create_members, lookup_sk, sequence_keys
 from ..operators.merge import insert_if_absent, pick_one, seed, upsert
-from ..operators.scd2 import current_view, scd2_initial, scd2_merge
+from ..operators.scd2 import current_view, scd2_from_snapshots, scd2_initial, scd2_merge
 from ..operators.summary import season_summary
 from ..operators.windows import previous_in_group
 from ..session import scratch_path
@@ -227,6 +227,13 @@ def q_scd2_merge(spark, d):
     return _merged_members(spark, d)
 
 
+def q_scd2_history(spark, d):
+    """Each user's event type as a type-2 history built from the events
+    taken as dated snapshots (a new version where the type changes)."""
+    e = T(spark, d, "events").select("user_id", "event_type", "ts", "event_id")
+    return scd2_from_snapshots(e, "user_id", ["event_type"], "ts", "member_version_sk", tie_break=["event_id"])
+
+
 def q_scd2_current(spark, d):
     dim = _merged_members(spark, d)
     cur = current_view(dim, ["player_sk", "player_nk", "player_name", "position", "current_club_nk"])
@@ -774,6 +781,7 @@ QUERIES = {
     "scd2_initial": q_scd2_initial,
     "scd2_merge": q_scd2_merge,
     "scd2_current": q_scd2_current,
+    "scd2_history": q_scd2_history,
     "fact_performance": q_fact_performance,
     "fact_value_history": q_fact_value_history,
     "fact_value_latest": q_fact_value_latest,

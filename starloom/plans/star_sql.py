@@ -322,6 +322,13 @@ SQL = {
                           JOIN m m2 ON o.o_custkey = m2.player_nk AND m2.is_current GROUP BY m2.player_sk) n
           ON m.player_sk = n.player_sk
         WHERE m.is_current""",
+    "scd2_history": f"""WITH h AS (SELECT user_id, event_type, ts, event_id, {md5_of(['event_type'])} AS source_row_hash,
+            lag({md5_of(['event_type'])}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events),
+        s AS (SELECT * FROM h WHERE prev IS NULL OR prev <> source_row_hash),
+        v AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to FROM s)
+        SELECT row_number() OVER (ORDER BY user_id, ts, event_id) AS member_version_sk, user_id, event_type, event_id,
+          source_row_hash, ts AS valid_from, valid_to, valid_to IS NULL AS is_current
+        FROM v""",
     "fact_performance": PERF_FULL,
     "fact_value_history": f"""SELECT event_id, user_id, date_sk, market_value, value_source, is_latest_value,
           previous_value, market_value - previous_value AS value_change,
