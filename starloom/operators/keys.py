@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, shuffle_partitions
+from ..session import checkpoint_root
 
 _PID = "__sl_pid"
 _MID = "__sl_mid"
@@ -65,9 +65,12 @@ def sequence_keys(
         return df.withColumn(key_col, (F.lit(start) + F.row_number().over(w)).cast("long"))
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = num_partitions or shuffle_partitions(spark)
+    # Without an explicit count the range shuffle can be coalesced by AQE to
+    # the data size; merged partitions are adjacent ranges, so partition ids
+    # stay in key order and the offsets below stay right.
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
     ranged = (
-        df.repartitionByRange(n, *cols)
+        ranged
         .sortWithinPartitions(*cols)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_MID, F.monotonically_increasing_id())
