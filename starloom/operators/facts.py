@@ -80,7 +80,13 @@ def ensure_seasons(seasons: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def _number(df: DataFrame, sk: str, order: list) -> DataFrame:
-    return sequence_keys(df, order, sk)
+    """Fact keys in ``order``, completed by every other column, so the order
+    is total and a rebuild gives each row the same key (rows equal in every
+    column are interchangeable)."""
+    named = {o for o in order if isinstance(o, str)} | {o[0] for o in order if isinstance(o, tuple)}
+    rest = [f.name for f in df.schema.fields
+            if f.name not in named and f.dataType.typeName() not in ("struct", "array", "map")]
+    return sequence_keys(df, [*order, *rest], sk)
 
 
 def fact_player_performance(perf: DataFrame, players: DataFrame, teams: DataFrame, comps: DataFrame,
@@ -205,7 +211,7 @@ def fact_national_performance(nat: DataFrame, players: DataFrame, teams: DataFra
     f = pick_one(f, ["player_sk", "national_team_sk"],
                  [("total_matches", "desc", "last"), ("first_game_date_sk", "asc", "last"),
                   "source_record_id", ("total_goals", "desc", "last")])
-    return _number(f, "national_performance_sk", ["player_sk", F.col("national_team_sk").asc_nulls_first()])
+    return _number(f, "national_performance_sk", ["player_sk", ("national_team_sk", "asc", "first")])
 
 
 def fact_teammate_relationship(pairs: DataFrame, players: DataFrame, unknown: str = "drop") -> DataFrame:
