@@ -64,10 +64,16 @@ def load_staging(spark: SparkSession, src_dir: str, stage_dir: str, tables: Iter
 
 
 def read_staging(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
+    """The staged tables that exist (any file system Spark can read)."""
     import os
 
-    return {name: spark.read.parquet(os.path.join(stage_dir, name)) for name in LOAD_ORDER
-            if os.path.exists(os.path.join(stage_dir, name))}
+    out = {}
+    for name in LOAD_ORDER:
+        try:
+            out[name] = spark.read.parquet(os.path.join(stage_dir, name))
+        except Exception:  # noqa: BLE001 - not staged (missing source)
+            continue
+    return out
 
 
 # --- dimensions ------------------------------------------------------------------
