@@ -200,4 +200,38 @@ def warehouse_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
     ]
     for fact, key, dim, dkey in fk:
         out.append(orphan_check(wh[fact], key, wh[dim], dkey, fact, f"orphan_{key}"))
+    # Q13 NOT NULL columns of the DDL
+    not_null = {
+        "dim_date": ["date_value", "year", "quarter", "month", "month_name", "day", "day_of_week", "day_name",
+                     "week_of_year", "is_weekend"],
+        "dim_season": ["season_name", "season_start_year", "season_end_year"],
+        "dim_competition": ["competition_id", "competition_name"],
+        "dim_team": ["team_nk", "team_name"],
+        "dim_agent": ["agent_id", "agent_name"],
+        "dim_player": ["player_nk", "player_name", "valid_from", "is_current"],
+        "dim_injury_type": ["injury_category"],
+        "dim_transfer_type": ["transfer_type_code", "transfer_type_name"],
+        "fact_market_value": ["player_sk", "date_sk", "market_value"],
+        "fact_teammate_relationship": ["player_sk", "teammate_player_sk"],
+        "fact_player_season_summary": ["player_sk", "season_sk"],
+    }
+    for table, cols in not_null.items():
+        out.append(not_null_checks(wh[table], table, cols))
+    return _union(out)
+
+
+STAGING_FOREIGN_KEYS = ("player_injuries", "player_market_value", "player_latest_market_value",
+                        "player_national_performances", "player_performances", "player_teammates_played_with",
+                        "transfer_history")
+
+
+def staging_checks(st: Mapping[str, DataFrame]) -> DataFrame:
+    """Q12 on staging: every player_id of a dependent source is a profile."""
+    prof = st["player_profiles"]
+    out = [orphan_check(st[t], "player_id", prof, "player_id", t, "orphan_player_id")
+           for t in STAGING_FOREIGN_KEYS if t in st]
+    if "player_teammates_played_with" in st:
+        out.append(orphan_check(st["player_teammates_played_with"], "teammate_player_id", prof, "player_id",
+                                "player_teammates_played_with", "orphan_teammate_player_id"))
+    out.append(duplicate_check(prof, ["player_id"], "player_profiles"))
     return _union(out)

@@ -114,9 +114,13 @@ def test_summary_and_invariants(built):
     row = s[(p1, cur)]
     assert row.total_injury_days == 164 and row.season_start_value is not None
     checks = {(r.table_name, r.check_name): r.failures for r in built["checks"].collect()}
-    assert all(v == 0 for (t, c), v in checks.items() if c.startswith("orphan_"))
+    assert all(v == 0 for (t, c), v in checks.items() if c.startswith("orphan_") and t.startswith("fact_"))
     assert checks[("dim_player", "duplicate_current_player_nk")] == 0
     assert checks[("dim_player", "overlapping_validity")] == 0
+    assert checks[("player_performances", "orphan_player_id")] == 1       # staging FK (player 99)
+    assert checks[("player_market_value", "orphan_player_id")] == 1
+    assert checks[("dim_player", "null_player_name")] == 0
+    assert checks[("player_profiles", "duplicate_player_id")] == 0
     assert checks[("dim_season", "current_season_count_not_1")] == 1   # '24/25' and '2024' share a start year
     assert checks[("fact_national_performance", "negative_goals")] == 1
     assert checks[("fact_teammate_relationship", "self_pair")] == 0
