@@ -134,7 +134,7 @@ def category_dim(spark: SparkSession, d: str, rules=PART_RULES) -> DataFrame:
     return sequence_keys(rows, ["category", "severity"], "category_sk", bounded=True)  # ≤ one row per rule
 
 
-def line_transfer_code(c: Column | None = None) -> Column:
+def line_transfer_code() -> Column:
     """Our rules from a line's flags to a seeded transfer type code."""
     rf, ls, disc = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_discount")
     return (F.when((rf == "R") & (ls == "F"), "LOAN_RETURN").when(rf == "R", "END_LOAN")

@@ -14,7 +14,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import exprs as X
 from ..operators import dimensions as D
 from ..operators import facts as FX
 from ..operators.merge import pick_one
@@ -239,4 +238,4 @@ def run_pipeline(spark: SparkSession, src_dir: str, root: str, run_ts: str, unkn
 
 
 __all__ = ["load_staging", "read_staging", "build_warehouse", "write_warehouse", "open_warehouse", "verify",
-           "run_pipeline", "player_batch", "X"]
+           "run_pipeline", "player_batch"]

@@ -109,5 +109,5 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
 
 __all__ = [
     "write_table", "overwrite_partitions", "write_if_empty", "table_has_rows", "version_path", "write_manifest",
-    "read_manifest", "list_tables", "audit_counts", "audit_delta", "scratch_table_path", "uuid",
+    "read_manifest", "list_tables", "audit_counts", "audit_delta", "scratch_table_path",
 ]
