@@ -85,7 +85,7 @@ def list_tables(spark: SparkSession, root: str) -> DataFrame:
 
 def audit_counts(tables: Mapping[str, DataFrame], run_ts, kinds: Mapping[str, str] | None = None) -> DataFrame:
     """Row count per table, stamped with the run time."""
-    return table_counts(tables, kinds).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
+    return table_counts(tables, kinds).withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
 
 
 def audit_delta(before: DataFrame, after: DataFrame) -> DataFrame:
