@@ -101,6 +101,19 @@ def audit_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def save_bucketed(df: DataFrame, table: str, bucket_by: Sequence[str], num_buckets: int,
+                  sort_by: Sequence[str] | None = None, partition_by: Sequence[str] | None = None,
+                  mode: str = "overwrite") -> str:
+    """Catalog table bucketed (and sorted) by a join key: later joins of tables
+    bucketed the same way on that key read co-located buckets and shuffle
+    neither side."""
+    w = df.write.mode(mode).bucketBy(num_buckets, *bucket_by).sortBy(*(sort_by or bucket_by))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.format("parquet").saveAsTable(table)
+    return table
+
+
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     from ..session import scratch_path
 
@@ -109,5 +122,5 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
 
 __all__ = [
     "write_table", "overwrite_partitions", "write_if_empty", "table_has_rows", "version_path", "write_manifest",
-    "read_manifest", "list_tables", "audit_counts", "audit_delta", "scratch_table_path",
+    "read_manifest", "list_tables", "audit_counts", "audit_delta", "scratch_table_path", "save_bucketed",
 ]

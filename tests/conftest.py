@@ -19,6 +19,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="starloom-test-wh-"))
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
