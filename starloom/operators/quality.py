@@ -220,6 +220,29 @@ def warehouse_checks(wh: Mapping[str, DataFrame]) -> DataFrame:
     return _union(out)
 
 
+# staging source → fact it feeds (for the count of rows dropped at the player join)
+FACT_SOURCES = {
+    "player_performances": "fact_player_performance", "player_injuries": "fact_injury",
+    "transfer_history": "fact_transfer", "player_national_performances": "fact_national_performance",
+    "player_teammates_played_with": "fact_teammate_relationship",
+}
+
+
+def dropped_rows(st: Mapping[str, DataFrame], players: DataFrame) -> DataFrame:
+    """Source rows a fact loses at the inner join to the current player
+    (unknown or NULL player id), per fact."""
+    cur = players.where(F.col("is_current")).select(F.col("player_nk").alias("__k")).distinct()
+    out = []
+    for src, fact in FACT_SOURCES.items():
+        if src not in st:
+            continue
+        k = st[src].groupBy(F.col("player_id").alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+        lost = k.join(cur, "__k", "left_anti").agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("failures"))
+        out.append(lost.select(F.lit(fact).alias("table_name"), F.lit("dropped_unknown_player").alias("check_name"),
+                               "failures"))
+    return _union(out)
+
+
 STAGING_FOREIGN_KEYS = ("player_injuries", "player_market_value", "player_latest_market_value",
                         "player_national_performances", "player_performances", "player_teammates_played_with",
                         "transfer_history")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import dimensions as D
 from ..operators import facts as FX
 from ..operators.merge import pick_one
-from ..operators.quality import run_passed, staging_checks, table_counts, warehouse_checks
+from ..operators.quality import dropped_rows, run_passed, staging_checks, table_counts, warehouse_checks
 from ..operators.scd2 import scd2_initial, scd2_merge
 from ..operators.summary import season_summary, values_by_season
 from ..sources import sinks
@@ -253,7 +253,7 @@ def run_pipeline(spark: SparkSession, src_dir: str, root: str, run_ts: str, unkn
     stored = {n: spark.read.parquet(p) for n, p in paths.items()}
     counts, checks, passed = verify(stored)
     if "player_profiles" in st:
-        checks = checks.unionByName(staging_checks(st))
+        checks = checks.unionByName(staging_checks(st)).unionByName(dropped_rows(st, stored["dim_player"]))
         passed = run_passed(checks)
     audit = sinks.audit_delta(before, counts).withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
     return status, counts, checks, passed, audit

@@ -121,6 +121,8 @@ def test_summary_and_invariants(built):
     assert checks[("player_market_value", "orphan_player_id")] == 1
     assert checks[("dim_player", "null_player_name")] == 0
     assert checks[("player_profiles", "duplicate_player_id")] == 0
+    assert checks[("fact_player_performance", "dropped_unknown_player")] == 1     # player 99 (T8)
+    assert checks[("fact_injury", "dropped_unknown_player")] == 0
     assert checks[("dim_season", "current_season_count_not_1")] == 1   # '24/25' and '2024' share a start year
     assert checks[("fact_national_performance", "negative_goals")] == 1
     assert checks[("fact_teammate_relationship", "self_pair")] == 0
