@@ -743,7 +743,7 @@ def q_csv_staging(spark, d):
     return read_csv_typed(spark, path, StructType.fromDDL(CUSTOMER_DDL))
 
 
-def q_pipeline_reload(spark, d):
+def q_warehouse_reload(spark, d):
     """Build a small star into a fresh folder, reload a
     subset, skip a loaded fact, list the tables with their counts."""
     root = scratch_path(spark, "star-warehouse")
@@ -814,7 +814,7 @@ QUERIES = {
     "member_sample": q_member_sample,
     "epoch_date": q_epoch_date,
     "csv_staging": q_csv_staging,
-    "pipeline_reload": q_pipeline_reload,
+    "warehouse_reload": q_warehouse_reload,
 }
 
 
