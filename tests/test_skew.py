@@ -22,9 +22,10 @@ def test_previous_and_next_match_window_under_skew(spark):
     w = Window.partitionBy("member").orderBy("seq")
     want = {r.seq: (r.p, r.n) for r in df.select("seq", F.lag("v").over(w).alias("p"),
                                                  F.lead("v").over(w).alias("n")).collect()}
-    got = previous_in_group(df, ["member"], ["seq"], ["v"], prefix="p_")
-    got = next_in_group(got, ["member"], ["seq"], ["v"], prefix="n_")
-    assert {r.seq: (r.p_v, r.n_v) for r in got.collect()} == want
+    for hot in (None, 5_000, 10**9):  # all by position; hot member split off; all by window
+        got = previous_in_group(df, ["member"], ["seq"], ["v"], prefix="p_", hot_rows=hot)
+        got = next_in_group(got, ["member"], ["seq"], ["v"], prefix="n_", hot_rows=hot)
+        assert {r.seq: (r.p_v, r.n_v) for r in got.collect()} == want
 
 
 def test_hot_member_is_spread_over_tasks(spark):
