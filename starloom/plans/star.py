@@ -764,7 +764,8 @@ def q_warehouse_reload(spark, d):
     kinds = {n: ("dimension" if n.startswith("dim_") else "fact") for n in paths}
     sinks.write_manifest(spark, root, paths, kinds)
     listed = sinks.list_tables(spark, root)
-    counts = Q.table_counts({r["table_name"]: spark.read.parquet(r["path"]) for r in listed.collect()}, kinds)
+    manifest = listed.collect()  # one row per table
+    counts = Q.table_counts({r["table_name"]: spark.read.parquet(r["path"]) for r in manifest}, kinds)
     return counts
 
 
