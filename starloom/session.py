@@ -27,6 +27,8 @@ def local_session(cpus: int | str = "*", app: str = "starloom", shuffle_partitio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # checkpoint files of DataFrames that are no longer referenced are removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
