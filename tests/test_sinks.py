@@ -44,3 +44,16 @@ def test_subset_reload(spark, tmp_dir):
     assert [r.table_name for r in again.collect()] == ["player_market_value", "player_latest_market_value"]
     st = W.read_staging(spark, stage)
     assert st["player_market_value"].where(F.col("value").isNull()).count() == 0
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from starloom.__main__ import main
+
+    src = write_fixture(os.path.join(tmp_dir, "src"))
+    root = os.path.join(tmp_dir, "dw")
+    assert main(["stage", "--src", src, "--warehouse", root], spark) == 0
+    assert main(["build", "--warehouse", root, "--run-ts", "2025-03-01 00:00:00"], spark) == 0
+    assert main(["report", "--warehouse", root, "top_scorers"], spark) == 0
+    assert main(["report", "--warehouse", root, "value_trend", "%Lionel%"], spark) == 0
+    out = capsys.readouterr().out
+    assert "15 tables written" in out and "Lionel Test" in out
