@@ -78,14 +78,14 @@ def shared(spark: SparkSession, d: str, name: str, build):
     return hit[1]
 
 
-def member_batch(spark: SparkSession, d: str, position: Column | None = None) -> DataFrame:
+def member_batch(spark: SparkSession, d: str) -> DataFrame:
     """Customers as members: profile ⟕ nation (J1), renamed."""
     c = T(spark, d, "customer")
     n = T(spark, d, "nation").select(F.col("n_nationkey").alias("__nk"), F.col("n_name").alias("nation_name"))
     j = c.join(F.broadcast(n), c.c_nationkey == F.col("__nk"), "left")  # 25 nations: bounded
     return j.select(
         F.col("c_custkey").alias("player_nk"), F.col("c_name").alias("player_name"),
-        (position if position is not None else F.col("c_mktsegment")).alias("position"),
+        F.col("c_mktsegment").alias("position"),
         F.col("c_nationkey").cast("string").alias("current_club_nk"), "nation_name",
     )
 
