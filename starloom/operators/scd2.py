@@ -59,10 +59,13 @@ def scd2_merge(
     run_ts,
     sk_col: str,
     hash_col: str = HASH,
+    start: int | None = None,
 ) -> DataFrame:
     """Merge a batch (one row per key) into a type-2 dimension.
 
-    Members missing from the batch stay as they are (no deletes).
+    Members missing from the batch stay as they are (no deletes).  New
+    versions are numbered after ``start`` (default: the largest key of
+    ``dim``).
     """
     ts = _ts(run_ts)
     batch_h = batch.where(F.col(nk).isNotNull()).withColumn(hash_col, row_hash(*tracked))
@@ -88,7 +91,7 @@ def scd2_merge(
         .withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
         .withColumn("is_current", F.lit(True))
     )
-    fresh = sequence_keys(fresh, [nk], sk_col, start=max_key(dim, sk_col))
+    fresh = sequence_keys(fresh, [nk], sk_col, start=max_key(dim, sk_col) if start is None else start)
     have = set(fresh.columns)
     fresh = fresh.select(*[
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in dim.schema.fields

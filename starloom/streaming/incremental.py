@@ -2,64 +2,80 @@
 
 The reference loads in batches only; its incremental path is the SCD2 merge
 (B9).  :func:`start_scd2_stream` drives that same merge from Structured
-Streaming with ``foreachBatch``: each micro-batch keeps the last snapshot per
-key, merges it into the stored dimension, writes the result to a new version
-folder and then moves the pointer — so a failed batch leaves the previous
-version readable, and a replayed batch (after a driver restart, from the
-stream checkpoint) merges to the same result because the merge is
-idempotent.
+Streaming with ``foreachBatch``.
+
+The dimension is stored partitioned by a hash bucket of the natural key, so
+a micro-batch reads only the buckets its keys fall into (partition pruning),
+merges them, and replaces only those partitions (dynamic partition
+overwrite); the rest of the dimension is neither read nor rewritten.  The
+merged rows are checkpointed first, so the partitions being replaced are
+never read by the job that replaces them.  New version keys are
+``batch_id · 2^32 + n``: no scan for the current maximum, and a micro-batch
+replayed after a failure (same id, same data) assigns the same keys, while
+the hash merge makes the replay change nothing already applied.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import pick_one
 from ..operators.scd2 import scd2_initial, scd2_merge
+from ..session import checkpoint_root
+
+BUCKET = "nk_bucket"
+KEYS_PER_BATCH = 2 ** 32
+
+
+def key_bucket(nk: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(nk)), F.lit(buckets)).cast("int")
 
 
-def _pointer(root: str) -> str:
-    return os.path.join(root, "_current")
+def _data(root: str) -> str:
+    return os.path.join(root, "data")
 
 
 def current_version(spark: SparkSession, root: str) -> DataFrame | None:
-    """The stored dimension (latest committed version), or None."""
+    """The stored dimension, or None before the first batch."""
     try:
-        row = spark.read.json(_pointer(root)).first()
+        return spark.read.parquet(_data(root))
     except Exception:  # noqa: BLE001 - nothing committed yet
         return None
-    return spark.read.parquet(row["path"]) if row else None
 
 
 def merge_batch(batch: DataFrame, root: str, nk: str, tracked: Sequence[str], sk_col: str,
-                order_col: str, run_ts_col: str | None = None) -> str:
-    """Merge one batch of snapshots into the dimension stored under ``root``."""
+                order_col: str, run_ts_col: str | None = None, batch_id: int = 0, buckets: int = 64) -> list[int]:
+    """Merge one batch of snapshots; returns the buckets it rewrote."""
     spark = batch.sparkSession
-    latest = pick_one(batch, [nk], [(order_col, "desc", "last")])
+    checkpoint_root(spark)
+    latest = pick_one(batch.where(F.col(nk).isNotNull()), [nk], [(order_col, "desc", "last")])
     stamp = (latest.agg(F.max(run_ts_col)).first()[0] if run_ts_col else None) or "1970-01-01 00:00:00"
-    body = latest.drop(*(c for c in (order_col, run_ts_col) if c))
+    body = latest.drop(*(c for c in (order_col, run_ts_col) if c)).withColumn(BUCKET, key_bucket(nk, buckets))
+    touched = sorted(r[0] for r in body.select(BUCKET).distinct().collect())  # at most `buckets` values
+    start = batch_id * KEYS_PER_BATCH
     dim = current_version(spark, root)
     if dim is None:
-        new = scd2_initial(body, nk, tracked, str(stamp), sk_col)
+        new = scd2_initial(body, nk, tracked, str(stamp), sk_col, start=start)
     else:
-        new = scd2_merge(dim, body, nk, tracked, str(stamp), sk_col)
-    path = os.path.join(root, f"v-{uuid.uuid4().hex[:12]}")
-    new.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(path,)], "path STRING").coalesce(1).write.mode("overwrite").json(_pointer(root))
-    return path
+        part = dim.where(F.col(BUCKET).isin(touched))
+        new = scd2_merge(part, body, nk, tracked, str(stamp), sk_col, start=start)
+    new = new.checkpoint(eager=True)
+    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(_data(root)))
+    return touched
 
 
 def start_scd2_stream(stream: DataFrame, root: str, checkpoint: str, nk: str, tracked: Sequence[str],
-                      sk_col: str, order_col: str, run_ts_col: str | None = None, available_now: bool = True):
+                      sk_col: str, order_col: str, run_ts_col: str | None = None, buckets: int = 64,
+                      available_now: bool = True):
     """Start the streaming query; returns the ``StreamingQuery``."""
-    def each(df: DataFrame, _epoch: int) -> None:
+    def each(df: DataFrame, batch_id: int) -> None:
         if not df.isEmpty():
-            merge_batch(df, root, nk, tracked, sk_col, order_col, run_ts_col)
+            merge_batch(df, root, nk, tracked, sk_col, order_col, run_ts_col, batch_id, buckets)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -1,6 +1,8 @@
 import os
 
-from starloom.streaming.incremental import current_version, start_scd2_stream
+from pyspark.sql import functions as F
+
+from starloom.streaming.incremental import current_version, key_bucket, merge_batch, start_scd2_stream
 
 SCHEMA = "nk INT, name STRING, pos STRING, seq LONG, snap_ts STRING"
 
@@ -12,15 +14,34 @@ def test_stream_of_snapshots_builds_scd2(spark, tmp_dir):
     spark.createDataFrame([(1, "A", "GK", 1, "2024-01-01 00:00:00"), (2, "B", "DF", 1, "2024-01-01 00:00:00"),
                            (2, "B", "MF", 2, "2024-01-01 00:00:00")], SCHEMA).write.parquet(os.path.join(src, "b1"))
     stream = spark.readStream.schema(SCHEMA).parquet(os.path.join(src, "*"))
-    q = start_scd2_stream(stream, root, ckpt, "nk", ("name", "pos"), "sk", "seq", "snap_ts")
-    q.awaitTermination()
+    start_scd2_stream(stream, root, ckpt, "nk", ("name", "pos"), "sk", "seq", "snap_ts").awaitTermination()
     first = {r.nk: r.pos for r in current_version(spark, root).collect()}
     assert first == {1: "GK", 2: "MF"}  # last snapshot per key in a batch wins
     spark.createDataFrame([(1, "A", "FW", 3, "2024-02-01 00:00:00"), (3, "C", "GK", 3, "2024-02-01 00:00:00")],
                           SCHEMA).write.parquet(os.path.join(src, "b2"))
-    q = start_scd2_stream(spark.readStream.schema(SCHEMA).parquet(os.path.join(src, "*")), root, ckpt, "nk",
-                          ("name", "pos"), "sk", "seq", "snap_ts")
-    q.awaitTermination()
+    start_scd2_stream(spark.readStream.schema(SCHEMA).parquet(os.path.join(src, "*")), root, ckpt, "nk",
+                      ("name", "pos"), "sk", "seq", "snap_ts").awaitTermination()
+    dim = current_version(spark, root)
+    rows = sorted((r.nk, r.pos, r.is_current) for r in dim.collect())
+    assert rows == [(1, "FW", True), (1, "GK", False), (2, "MF", True), (3, "GK", True)]
+    assert dim.select("sk").distinct().count() == 4
+    assert dim.where("is_current").groupBy("nk").count().where("count > 1").count() == 0
+
+
+def test_only_touched_buckets_are_rewritten_and_replay_is_idempotent(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "dim")
+    base = spark.range(200).select(F.col("id").cast("int").alias("nk"), F.lit("x").alias("name"),
+                                   F.lit("p").alias("pos"), F.lit(1).cast("long").alias("seq"))
+    merge_batch(base, root, "nk", ("name", "pos"), "sk", "seq", batch_id=0, buckets=16)
+    before = {r.nk: r.sk for r in current_version(spark, root).collect()}
+    change = spark.createDataFrame([(5, "x", "q", 2)], "nk INT, name STRING, pos STRING, seq LONG")
+    touched = merge_batch(change, root, "nk", ("name", "pos"), "sk", "seq", batch_id=1, buckets=16)
+    bucket_of_5 = spark.createDataFrame([(5,)], "nk INT").select(key_bucket("nk", 16)).first()[0]
+    assert touched == [bucket_of_5]
+    again = merge_batch(change, root, "nk", ("name", "pos"), "sk", "seq", batch_id=1, buckets=16)  # replay
+    assert again == touched
     dim = current_version(spark, root)
-    rows = sorted((r.sk, r.nk, r.pos, r.is_current) for r in dim.collect())
-    assert rows == [(1, 1, "GK", False), (2, 2, "MF", True), (3, 1, "FW", True), (4, 3, "GK", True)]
+    assert dim.count() == 201                                   # one new version, replay added nothing
+    new = dim.where("nk = 5 AND is_current").first()
+    assert new.pos == "q" and new.sk == 2 ** 32 + 1
+    assert {r.nk: r.sk for r in dim.where("nk <> 5").collect()} == {k: v for k, v in before.items() if k != 5}
