@@ -21,7 +21,6 @@ from ..session import checkpoint_root
 
 _PID = "__sl_pid"
 _MID = "__sl_mid"
-_CNT = "__sl_cnt"
 _OFF = "__sl_off"
 
 
@@ -52,8 +51,8 @@ def sequence_keys(
 
     ``order_by`` must be a total order over the rows (add tie-breakers), so that
     keys repeat run after run.  Scales with the cluster: one range shuffle, a
-    checkpoint, and a broadcast of one row per partition (bounded by the
-    partition count, not by the data).
+    checkpoint, and a broadcast of one offset per partition (bounded by the
+    partition count, not by the data), computed once.
 
     ``bounded=True`` is for inputs whose size has a fixed bound that does not
     grow with the data (seasons, rule outcomes, seeded codes): a plain window
@@ -76,9 +75,14 @@ def sequence_keys(
         .withColumn(_MID, F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
+    # One count per partition (bounded by the partition count, not the data):
+    # computed once here, so later uses of the keyed frame do not rescan it.
+    counts = sorted((r[0], r[1]) for r in ranged.groupBy(_PID).agg(F.count(F.lit(1))).collect())
+    running, rows = 0, []
+    for pid, n in counts:
+        rows.append((pid, running))
+        running += n
+    offsets = spark.createDataFrame(rows, f"{_PID} INT, {_OFF} LONG")
     pos = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
     return (
         ranged.join(F.broadcast(offsets), _PID)

@@ -70,11 +70,15 @@ def _date(c: str) -> Column:
 _SHARED: dict = {}
 
 
-def shared(spark: SparkSession, d: str, name: str, build):
+def shared(spark: SparkSession, d: str, name: str, build, materialize: bool = False):
+    """Build once per session and data folder; ``materialize`` stores the
+    result as a reliable checkpoint (a table that is read, not recomputed,
+    by every later query)."""
     key = (id(spark), os.path.abspath(d), name)
     hit = _SHARED.get(key)
     if hit is None or hit[0] is not spark:
-        hit = _SHARED[key] = (spark, build())
+        df = build()
+        hit = _SHARED[key] = (spark, df.checkpoint(eager=True) if materialize else df)
     return hit[1]
 
 
@@ -220,7 +224,7 @@ def _build_merged_members(spark, d):
 
 
 def _merged_members(spark, d):
-    return shared(spark, d, "merged_members", lambda: _build_merged_members(spark, d))
+    return shared(spark, d, "merged_members", lambda: _build_merged_members(spark, d), materialize=True)
 
 
 def q_scd2_merge(spark, d):
@@ -421,7 +425,7 @@ def _build_pairs_fact(spark, d):
 
 
 def pairs_fact(spark, d):
-    return shared(spark, d, "pairs_fact", lambda: _build_pairs_fact(spark, d))
+    return shared(spark, d, "pairs_fact", lambda: _build_pairs_fact(spark, d), materialize=True)
 
 
 def q_fact_pairs(spark, d):
