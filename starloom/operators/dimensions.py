@@ -33,8 +33,10 @@ def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
 
     Days come from ``spark.range`` so generation is spread over tasks.
     """
-    n = spark.range(1).select(F.datediff(F.lit(end).cast("date"), F.lit(start).cast("date"))).first()[0]
-    days = spark.range(0, int(n) + 1).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("d"))
+    import datetime as _dt
+
+    n = (_dt.date.fromisoformat(str(end)[:10]) - _dt.date.fromisoformat(str(start)[:10])).days
+    days = spark.range(0, n + 1).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("d"))
     return _calendar_rows(days)
 
 
