@@ -3,7 +3,7 @@
     python -m starloom stage  --src CSV_DIR --warehouse ROOT [--tables a,b]
     python -m starloom build  --warehouse ROOT --run-ts "2025-03-01 00:00:00" [--unknown drop|member]
     python -m starloom verify --warehouse ROOT
-    python -m starloom run    --src CSV_DIR --warehouse ROOT --run-ts ...
+    python -m starloom run    --src CSV_DIR --warehouse ROOT --run-ts ... [--catalog DB --buckets N]
     python -m starloom report --warehouse ROOT top_scorers|injury_impact|value_trend PATTERN|...
 
 Each command prints small result tables (counts, checks, reports) with
@@ -47,6 +47,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     r.add_argument("--warehouse", required=True)
     r.add_argument("--run-ts", required=True)
     r.add_argument("--unknown", choices=("drop", "member"), default="drop")
+    r.add_argument("--catalog", default=None, help="also store as bucketed tables of this database")
+    r.add_argument("--buckets", type=int, default=64)
     q = sub.add_parser("report", help="an analyst query")
     q.add_argument("--warehouse", required=True)
     q.add_argument("name", choices=("top_scorers", "value_trend", "injury_impact", "star_sample", "transfer_flows",
@@ -74,7 +76,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         checks.where("failures > 0").orderBy("table_name", "check_name").show(200, truncate=False)
         passed.show()
     elif a.cmd == "run":
-        status, counts, checks, passed, audit = W.run_pipeline(spark, a.src, a.warehouse, a.run_ts, a.unknown)
+        status, counts, checks, passed, audit = W.run_pipeline(spark, a.src, a.warehouse, a.run_ts, a.unknown,
+                                                               a.catalog, a.buckets)
         status.show(truncate=False)
         audit.orderBy("table_name").show(50, truncate=False)
         checks.where("failures > 0").orderBy("table_name", "check_name").show(200, truncate=False)

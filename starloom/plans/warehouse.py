@@ -232,13 +232,16 @@ def verify(wh: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame
     return counts, checks, run_passed(checks)
 
 
-def run_pipeline(spark: SparkSession, src_dir: str, root: str, run_ts: str, unknown: str = "drop"):
+def run_pipeline(spark: SparkSession, src_dir: str, root: str, run_ts: str, unknown: str = "drop",
+                 catalog: str | None = None, buckets: int = 64):
     """The whole run: staging → warehouse → verification, like the reference's
     orchestrator but as one Spark application.
 
     Returns ``(status, counts, checks, passed, audit)``: staging status per
     source, counts per warehouse table with OK/EMPTY, all checks in long form,
     the pass flag, and the before/after row counts of this run (S12).
+    With ``catalog`` the built tables are also stored as catalog tables of
+    that database, bucketed by ``player_sk`` (see :func:`save_to_catalog`).
     """
     import os
 
@@ -256,6 +259,8 @@ def run_pipeline(spark: SparkSession, src_dir: str, root: str, run_ts: str, unkn
         checks = checks.unionByName(staging_checks(st)).unionByName(dropped_rows(st, stored["dim_player"]))
         passed = run_passed(checks)
     audit = sinks.audit_delta(before, counts).withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
+    if catalog:
+        save_to_catalog(spark, stored, catalog, buckets)
     return status, counts, checks, passed, audit
 
 
