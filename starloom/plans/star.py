@@ -149,12 +149,14 @@ def line_transfer_code() -> Column:
 # --- B1, B2 ----------------------------------------------------------------------
 
 def q_dim_date(spark, d):
+    """Calendar over the whole years of the order and ship dates."""
     dates = T(spark, d, "orders").select(F.col("o_orderdate").alias("d")).unionByName(
         T(spark, d, "lineitem").select(F.col("l_shipdate").alias("d")))
     return D.calendar_covering(dates, "d")
 
 
 def q_dim_date_extend(spark, d):
+    """A 1996–1998 calendar extended by the order dates it lacks."""
     cal = D.calendar(spark, "1996-01-01", "1998-12-31")
     return D.extend_calendar(cal, T(spark, d, "orders"), "o_orderdate")
 
@@ -162,6 +164,7 @@ def q_dim_date_extend(spark, d):
 # --- B3, B4, B5, B6 ----------------------------------------------------------------
 
 def q_dim_agent_distinct(spark, d):
+    """Distinct agents (nation of each customer), NULL ids skipped."""
     c = T(spark, d, "customer")
     n = T(spark, d, "nation")
     prof = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
@@ -170,6 +173,7 @@ def q_dim_agent_distinct(spark, d):
 
 
 def q_dim_team_upsert(spark, d):
+    """SCD1 upsert of suppliers as teams; batch values win, known keys stay."""
     rows = team_rows(spark, d)
     existing = sequence_keys(rows.where(F.col("s_acctbal") < 5000).drop("s_acctbal"), ["team_nk"], "team_sk")
     batch = rows.where(F.col("s_acctbal") >= 2500).select(
@@ -178,20 +182,24 @@ def q_dim_team_upsert(spark, d):
 
 
 def q_dim_competition_slug(spark, d):
+    """Slug key from the part name, tier from the brand digits."""
     return competition_dim(spark, d)
 
 
 def q_dim_season(spark, d):
+    """Seasons of the order dates, parsed years, current = latest start."""
     return season_dim(spark, d)
 
 
 # --- B7, B10 -----------------------------------------------------------------------
 
 def q_category_rules(spark, d):
+    """Ordered keyword rules over part names → distinct categories."""
     return category_dim(spark, d)
 
 
 def q_category_insert_if_absent(spark, d):
+    """Categories of a grown rule set inserted if absent."""
     old = category_dim(spark, d, PART_RULES_OLD)
     new = D.category_rows(T(spark, d, "part"), "p_name", PART_RULES, PART_DEFAULT).select(
         F.col("injury_category").alias("category"), F.col("injury_severity").alias("severity"))
@@ -199,6 +207,7 @@ def q_category_insert_if_absent(spark, d):
 
 
 def q_transfer_type_seed(spark, d):
+    """The seeded transfer types with the number of lines using each."""
     types = D.dim_transfer_type(spark)
     used = T(spark, d, "lineitem").groupBy(line_transfer_code().alias("transfer_type_code")).agg(
         F.count(F.lit(1)).alias("n_transfers"))
@@ -209,6 +218,7 @@ def q_transfer_type_seed(spark, d):
 # --- B8, B9, B11 ---------------------------------------------------------------------
 
 def q_scd2_initial(spark, d):
+    """First type-2 load of customers as members."""
     return member_dim(spark, d)
 
 
@@ -228,6 +238,7 @@ def _merged_members(spark, d):
 
 
 def q_scd2_merge(spark, d):
+    """Second run — changed members closed and re-versioned, new members added."""
     return _merged_members(spark, d)
 
 
@@ -239,6 +250,7 @@ def q_scd2_history(spark, d):
 
 
 def q_scd2_current(spark, d):
+    """Current versions with the orders resolved to them."""
     dim = _merged_members(spark, d)
     cur = current_view(dim, ["player_sk", "player_nk", "player_name", "position", "current_club_nk"])
     o = lookup_sk(T(spark, d, "orders"), dim, "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
@@ -288,6 +300,7 @@ def performance_fact(spark, d):
 
 
 def q_fact_performance(spark, d):
+    """The line fact with NK→SK lookups and per-match ratios."""
     return performance_fact(spark, d).drop("l_orderkey")
 
 
@@ -305,10 +318,12 @@ def value_history(spark, d):
 
 
 def q_fact_value_history(spark, d):
+    """Values with the previous value of the same member."""
     return value_history(spark, d).drop("ts")
 
 
 def q_fact_value_latest(spark, d):
+    """The latest value per member."""
     e = T(spark, d, "events")
     latest = e.groupBy("user_id").agg(
         F.max_by(F.struct("event_id", "ts", "value"), F.struct("ts", "event_id")).alias("__l"))
@@ -356,6 +371,7 @@ def transfer_fact(spark, d):
 
 
 def q_fact_transfer(spark, d):
+    """Transfers between nations in two roles, typed by our rules."""
     return transfer_fact(spark, d)
 
 
@@ -383,12 +399,14 @@ def interval_fact(spark, d):
 
 
 def q_fact_interval(spark, d):
+    """Order → ship intervals, open ones with a NULL end key."""
     return interval_fact(spark, d)
 
 
 # --- X5, X6 ------------------------------------------------------------------------------
 
 def q_fact_national(spark, d):
+    """Per member and nation: count, total, rate, first date."""
     o = T(spark, d, "orders")
     c = T(spark, d, "customer").select("c_custkey", "c_nationkey")
     f = o.join(c, o.o_custkey == c.c_custkey)
@@ -429,6 +447,7 @@ def pairs_fact(spark, d):
 
 
 def q_fact_pairs(spark, d):
+    """Given pairs, self pairs dropped, one row per pair."""
     return pairs_fact(spark, d)
 
 
@@ -467,6 +486,7 @@ def summary_fact(spark, d):
 
 
 def q_season_summary(spark, d):
+    """The per-member, per-season aggregate."""
     return summary_fact(spark, d)
 
 
@@ -480,12 +500,14 @@ def _named_summary(spark, d):
 
 
 def q_top_scorers(spark, d):
+    """Top 10 members by season total."""
     j = _named_summary(spark, d).where(F.col("total_goals") > 0)
     return j.select("player_name", "season_name", "total_goals", "total_assists", "total_matches").orderBy(
         F.col("total_goals").desc_nulls_last(), "player_name", "season_name").limit(10)
 
 
 def q_value_trend(spark, d):
+    """Values of members whose name matches a pattern."""
     o = T(spark, d, "orders")
     c = T(spark, d, "customer").where(F.col("c_name").like("%7")).select("c_custkey", "c_name")
     return o.join(c, o.o_custkey == c.c_custkey).select(
@@ -494,12 +516,14 @@ def q_value_trend(spark, d):
 
 
 def q_interval_impact(spark, d):
+    """Member seasons with more than 100 interval days."""
     j = _named_summary(spark, d).where(F.col("total_injury_days") > 100)
     return j.select("player_name", "season_name", "total_injury_days", "total_games_missed", "total_matches").orderBy(
         F.col("total_injury_days").desc_nulls_first(), "player_name", "season_name")
 
 
 def q_star_sample(spark, d):
+    """Star join of the line fact with all its dimensions, top 5."""
     f = performance_fact(spark, d)
     j = (f.join(member_dim(spark, d).select("player_sk", "player_name"), "player_sk")
          .join(team_dim(spark, d).select("team_sk", "team_name"), "team_sk")
@@ -511,6 +535,7 @@ def q_star_sample(spark, d):
 
 
 def q_flows(spark, d):
+    """Transfer flows between nations by type."""
     f = transfer_fact(spark, d)
     g = f.groupBy("from_team_sk", "to_team_sk", "transfer_type_code").agg(
         F.count(F.lit(1)).alias("n_transfers"), F.sum("transfer_fee").alias("total_fee"))
@@ -521,6 +546,7 @@ def q_flows(spark, d):
 
 
 def q_pair_synergy(spark, d):
+    """The top 10 pairs."""
     f = pairs_fact(spark, d)
     n = nation_dim(spark, d)
     a = n.select(F.col("nation_sk").alias("player_sk"), F.col("n_name").alias("player_name"))
@@ -531,6 +557,7 @@ def q_pair_synergy(spark, d):
 
 
 def q_team_comparison(spark, d):
+    """Totals and averages per supplier and nation."""
     li = T(spark, d, "lineitem")
     g = li.groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum(X.to_money("l_quantity")).alias("total_quantity"),
@@ -543,6 +570,7 @@ def q_team_comparison(spark, d):
 
 
 def q_rank_by_season_group(spark, d):
+    """Rank of members within season and segment (top 3)."""
     o = T(spark, d, "orders")
     c = T(spark, d, "customer").select("c_custkey", "c_mktsegment")
     g = o.join(c, o.o_custkey == c.c_custkey).groupBy(
@@ -555,6 +583,7 @@ def q_rank_by_season_group(spark, d):
 # --- Q1..Q17 ---------------------------------------------------------------------------------
 
 def q_dq_counts(spark, d):
+    """Per-fact check counts in long form."""
     li = T(spark, d, "lineitem")
     o = T(spark, d, "orders")
     e = T(spark, d, "events")
@@ -575,6 +604,7 @@ def q_dq_counts(spark, d):
 
 
 def q_dq_orphans(spark, d):
+    """Orphan checks (customers thinned by a negative balance)."""
     c = T(spark, d, "customer")
     thinned = c.where(F.col("c_acctbal") >= 0)
     o, li = T(spark, d, "orders"), T(spark, d, "lineitem")
@@ -587,6 +617,7 @@ def q_dq_orphans(spark, d):
 
 
 def q_dq_duplicates(spark, d):
+    """Duplicate-key checks."""
     li, o = T(spark, d, "lineitem"), T(spark, d, "orders")
     dup_rows = li.groupBy("l_orderkey", "l_linenumber").count().where(F.col("count") > 1).agg(
         F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("failures")).select(
@@ -600,6 +631,7 @@ def q_dq_duplicates(spark, d):
 
 
 def q_dq_range_unique_notnull(spark, d):
+    """Q9–Q14: range, unique, not-null and self-pair checks."""
     cal = q_dim_date(spark, d)
     seasons = season_dim(spark, d)
     li, o, c = T(spark, d, "lineitem"), T(spark, d, "orders"), T(spark, d, "customer")
@@ -659,12 +691,14 @@ def _star_frames(spark, d):
 
 
 def q_table_status(spark, d):
+    """Counts with OK/EMPTY and the pass flag."""
     kinds = {t: ("dimension" if t in DIM_SOURCES else "fact" if t in FACT_SOURCES else "other") for t in STAR_TABLES}
     counts = Q.table_counts(_star_frames(spark, d), kinds)
     return counts.withColumn("run_passed", F.every(F.col("status") == "OK").over(Window.partitionBy()))
 
 
 def q_warehouse_summary(spark, d):
+    """Rows per kind and in total."""
     kinds = {t: ("dimension" if t in DIM_SOURCES else "fact") for t in DIM_SOURCES + FACT_SOURCES}
     frames = {t: T(spark, d, t) for t in DIM_SOURCES + FACT_SOURCES}
     return Q.warehouse_summary(Q.table_counts(frames, kinds))
@@ -673,6 +707,7 @@ def q_warehouse_summary(spark, d):
 # --- P15, F15, F16 -----------------------------------------------------------------------------
 
 def q_clean_nulls_dates(spark, d):
+    """P15/F15: '' and 'nan' to NULL, lenient dates in several formats."""
     e = T(spark, d, "events")
     et = F.col("event_type")
     raw = (F.when(et == "signup", F.date_format("ts", "yyyy-MM-dd"))
@@ -686,6 +721,7 @@ def q_clean_nulls_dates(spark, d):
 
 
 def q_clean_text_columns(spark, d):
+    """P15 on the document table's text columns (whole texts)."""
     doc = T(spark, d, "documents")
     return doc.select("doc_id", X.null_if_blank("lang").alias("lang"), X.null_if_blank("source").alias("source"),
                       X.null_if_blank("text").isNull().alias("text_missing"),
@@ -693,6 +729,7 @@ def q_clean_text_columns(spark, d):
 
 
 def q_epoch_date(spark, d):
+    """F16: epoch seconds and back to a date."""
     e = T(spark, d, "events")
     epoch = X.epoch_seconds("ts")
     return e.select("event_id", epoch.alias("epoch_seconds"), X.epoch_to_date(epoch).alias("value_date"),
@@ -702,6 +739,7 @@ def q_epoch_date(spark, d):
 # --- J8, S12, A4, N5 ---------------------------------------------------------------------------
 
 def q_get_or_create_members(spark, d):
+    """Inferred 'Unknown' members for order keys missing from the dimension."""
     c = T(spark, d, "customer").where(F.col("c_acctbal") >= 0).select(
         F.col("c_custkey").alias("player_nk"), F.col("c_name").alias("player_name"),
         F.col("c_mktsegment").alias("position"))
@@ -712,6 +750,7 @@ def q_get_or_create_members(spark, d):
 
 
 def q_audit_delta(spark, d):
+    """Counts before and after a load."""
     o, li, e = T(spark, d, "orders"), T(spark, d, "lineitem"), T(spark, d, "events")
     before = Q.table_counts({"orders": o.where(F.col("o_orderdate") < "2000-01-01"),
                              "lineitem": li.where(F.col("l_shipdate") < "2000-01-01"),
@@ -721,12 +760,14 @@ def q_audit_delta(spark, d):
 
 
 def q_category_frequency(spark, d):
+    """A4/O2: parts per category, most first."""
     p = T(spark, d, "part").select(X.categorize("p_name", PART_RULES, PART_DEFAULT).alias("__c"))
     return p.groupBy(F.col("__c.category").alias("category"), F.col("__c.severity").alias("severity")).agg(
         F.count(F.lit(1)).alias("n_parts")).orderBy(F.col("n_parts").desc(), "category")
 
 
 def q_member_sample(spark, d):
+    """First 5 customers and suppliers by key."""
     c = T(spark, d, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("member_key"),
                                        F.col("c_name").alias("member_name")).orderBy("member_key").limit(5)
     s = T(spark, d, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("member_key"),
@@ -740,6 +781,7 @@ CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUB
 
 
 def q_csv_staging(spark, d):
+    """CSV written to the shared folder and read back typed."""
     from pyspark.sql.types import StructType
 
     path = scratch_path(spark, "csv-staging")
