@@ -9,10 +9,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe
+from starloom.llm import bpe, ngram_join
 from starloom.llm.common import read
 
 
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its shingle count, component and number of links."""
+    return ngram_join.ngram_join(read(spark, folder, "documents"))
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded with the 49k word vocabulary."""
     vocab = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +25,7 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_ngram_join": op3_ngram_join,
     "op9_bpe": op9_bpe,
 }
 
