@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, ngram_join
+from starloom.llm import bpe, ngram_join, ppm
 from starloom.llm.common import read
 
 
@@ -18,6 +18,11 @@ def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_join(read(spark, folder, "documents"))
 
 
+def op4_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document, learnt from six of seven folds."""
+    return ppm.held_out_scores(read(spark, folder, "documents"))
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded with the 49k word vocabulary."""
     vocab = public_tokenizers.path("word_bpe_49k.json")
@@ -26,6 +31,7 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_ngram_join": op3_ngram_join,
+    "op4_ppm": op4_ppm,
     "op9_bpe": op9_bpe,
 }
 
