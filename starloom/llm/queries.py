@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, ngram_join, ppm
+from starloom.llm import bpe, ngram_join, ppm, toxicity
 from starloom.llm.common import read
 
 
@@ -23,6 +23,11 @@ def op4_ppm(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.held_out_scores(read(spark, folder, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document, learnt from labelled rows of four of five folds."""
+    return toxicity.scores(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded with the 49k word vocabulary."""
     vocab = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +37,7 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_ppm": op4_ppm,
+    "op7_toxicity": op7_toxicity,
     "op9_bpe": op9_bpe,
 }
 
