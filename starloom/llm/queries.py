@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, ngram_join, ppm, toxicity
+from starloom.llm import bpe, langid, ngram_join, ppm, topk, toxicity
 from starloom.llm.common import read
 
 
@@ -23,11 +23,21 @@ def op4_ppm(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.held_out_scores(read(spark, folder, "documents"))
 
 
+def op5_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learnt from four of five folds."""
+    return langid.predictions(read(spark, folder, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learnt from labelled rows of four of five folds."""
     return toxicity.scores(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best of all vectors for every 20th vector."""
+    return topk.top_k(read(spark, folder, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded with the 49k word vocabulary."""
     vocab = public_tokenizers.path("word_bpe_49k.json")
@@ -37,7 +47,9 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_ppm": op4_ppm,
+    "op5_langid": op5_langid,
     "op7_toxicity": op7_toxicity,
+    "op8_topk": op8_topk,
     "op9_bpe": op9_bpe,
 }
 
