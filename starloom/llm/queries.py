@@ -6,13 +6,22 @@ the columns that its contract names.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import bpe, langid, ngram_join, ppm, topk, toxicity
+from starloom.llm import bpe, langid, ngram_join, ppm, sharding, topk, toxicity, url_filters, urls
 from starloom.llm.common import read
 
 
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard of every document."""
+    docs = read(spark, folder, "documents").select("doc_id", "source", "n_chars")
+    return sharding.place(docs, ["doc_id"])
+
+
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its shingle count, component and number of links."""
     return ngram_join.ngram_join(read(spark, folder, "documents"))
@@ -27,6 +36,47 @@ def op5_langid(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learnt from four of five folds."""
     return langid.predictions(read(spark, folder, "documents"))
 
+#: The list history is derived from the hosts and paths of the pages, and dates from hashes; days count from 2024-01-01.
+_DAY_0, _DAY = 1_704_067_200, 86_400
+
+
+def _hashed(text):
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def _captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch time in 2024, in seconds."""
+    return pages.select("page_id", "url", (F.lit(_DAY_0) + F.pmod(F.col("page_id") * 7919, F.lit(525_600)) * 60).alias("fetched_at"))
+
+
+def _list_history(pages: DataFrame) -> DataFrame:
+    """Entries of four lists: blocked, unblocked and blocked again hosts, domains, paths, and trusted hosts."""
+    hosts = pages.select(urls.host(F.col("url")).alias("x"), urls.path(F.col("url")).alias("p")).where("x != ''").distinct()
+    one = hosts.select("x").distinct().withColumn("k", _hashed(F.col("x")))
+    domain = hosts.select(F.regexp_extract("x", "([^.]+[.][^.]+)$", 1).alias("x")).where("x != ''").distinct().withColumn("k", _hashed(F.col("x")))
+    path = hosts.select(F.concat("x", F.lit("/"), F.regexp_extract("p", "^/*([^/]+)", 1)).alias("x")).where("x not like '%/'").distinct().withColumn("k", _hashed(F.col("x")))
+
+    def entry(frame, name, kind, action, when, day):
+        return frame.where(when).select(F.lit(name).alias("list"), F.lit(kind).alias("kind"), F.col("x").alias("pattern"), F.lit(action).alias("action"), (F.lit(_DAY_0) + F.expr(day) * _DAY).alias("dated_at"))
+
+    parts = [
+        entry(one, "abuse", "host", "block", "k % 3 = 0", "k % 200"),
+        entry(one, "abuse", "host", "remove", "k % 6 = 0", "k % 200 + 40"),
+        entry(one, "abuse", "host", "block", "k % 12 = 0", "k % 200 + 90"),
+        entry(one, "gambling", "host", "block", "x rlike 'casino|bets'", "60"),
+        entry(domain, "brands", "domain", "block", "k % 4 = 1", "k % 300"),
+        entry(domain, "brands", "domain", "remove", "k % 8 = 1", "k % 300 + 30"),
+        entry(path, "paths", "path", "block", "k % 5 = 2", "k % 250"),
+        entry(one, "trusted", "host", "allow", "k % 10 = 3", "k % 100"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page with the verdict of the lists as they stood when it was fetched."""
+    pages = read(spark, folder, "pages")
+    return url_filters.filter_urls(_captures(pages), _list_history(pages)).drop("url")
+
 
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score of every document, learnt from labelled rows of four of five folds."""
@@ -45,12 +95,53 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_sharding": op2_sharding,
     "op3_ngram_join": op3_ngram_join,
     "op4_ppm": op4_ppm,
     "op5_langid": op5_langid,
+    "op6_url_filters": op6_url_filters,
     "op7_toxicity": op7_toxicity,
     "op8_topk": op8_topk,
     "op9_bpe": op9_bpe,
 }
 
-SQL: dict[str, str] = {}
+_OP6_HOST = "rtrim(lower(regexp_extract(coalesce(url, ''), '" + urls.HOST + "', 1)), '.')"
+_OP6_PATH = "regexp_extract(coalesce(url, ''), '" + urls.PATH + "', 1)"
+_OP6 = f"""
+WITH cap AS (SELECT page_id, url, {_OP6_HOST} AS host, {_OP6_PATH} AS path,
+                    {_DAY_0} + ((page_id * 7919) % 525600) * 60 AS fetched_at FROM pages),
+hosts AS (SELECT DISTINCT host AS x FROM cap WHERE host <> ''),
+one AS (SELECT x, ('0x' || substr(md5(x), 1, 8))::BIGINT AS k FROM hosts),
+domain AS (SELECT x, ('0x' || substr(md5(x), 1, 8))::BIGINT AS k FROM (SELECT DISTINCT regexp_extract(x, '([^.]+[.][^.]+)$', 1) AS x FROM hosts) WHERE x <> ''),
+path AS (SELECT x, ('0x' || substr(md5(x), 1, 8))::BIGINT AS k
+         FROM (SELECT DISTINCT host || '/' || regexp_extract(path, '^/*([^/]+)', 1) AS x FROM cap WHERE host <> '') WHERE x NOT LIKE '%/'),
+entries AS (
+  SELECT 'abuse' AS list, 'host' AS kind, x AS pattern, 1 AS rank, k % 200 AS day FROM one WHERE k % 3 = 0
+  UNION ALL SELECT 'abuse', 'host', x, 0, k % 200 + 40 FROM one WHERE k % 6 = 0
+  UNION ALL SELECT 'abuse', 'host', x, 1, k % 200 + 90 FROM one WHERE k % 12 = 0
+  UNION ALL SELECT 'gambling', 'host', x, 1, 60 FROM one WHERE regexp_matches(x, 'casino|bets')
+  UNION ALL SELECT 'brands', 'domain', x, 1, k % 300 FROM domain WHERE k % 4 = 1
+  UNION ALL SELECT 'brands', 'domain', x, 0, k % 300 + 30 FROM domain WHERE k % 8 = 1
+  UNION ALL SELECT 'paths', 'path', x, 1, k % 250 FROM path WHERE k % 5 = 2
+  UNION ALL SELECT 'trusted', 'host', x, 2, k % 100 FROM one WHERE k % 10 = 3),
+held AS (SELECT list, kind, pattern, rank, {_DAY_0} + day * {_DAY} AS a,
+                {_DAY_0} + lead(day) OVER (PARTITION BY list, kind, pattern ORDER BY day) * {_DAY} AS b
+         FROM (SELECT list, kind, pattern, day, max(rank) AS rank FROM entries GROUP BY ALL)),
+steps AS (SELECT *, list_filter(string_split(path, '/'), lambda s: s <> '') AS s, string_split(host, '.') AS l FROM cap WHERE host <> ''),
+keys AS (
+  SELECT DISTINCT url, fetched_at, 'host' AS kind, host AS pattern FROM steps
+  UNION ALL SELECT DISTINCT url, fetched_at, 'domain', array_to_string(l[i:], '.') FROM steps, unnest(range(1, len(l) + 1)) AS r(i)
+  UNION ALL SELECT DISTINCT url, fetched_at, 'path', host || '/' || array_to_string(s[1:i], '/') FROM steps, unnest(range(1, len(s) + 1)) AS r(i)),
+hit AS (SELECT url, fetched_at, h.list, h.kind, h.pattern, h.rank,
+               row_number() OVER (PARTITION BY url, fetched_at ORDER BY h.rank DESC, length(h.pattern) DESC, h.list, h.kind, h.pattern) AS place,
+               count(*) OVER (PARTITION BY url, fetched_at) AS n
+        FROM keys k JOIN held h ON h.kind = k.kind AND h.pattern = k.pattern AND h.rank > 0 AND k.fetched_at >= h.a AND (h.b IS NULL OR k.fetched_at < h.b))
+SELECT c.page_id, c.fetched_at, c.host,
+       CASE WHEN n IS NULL THEN 'none' WHEN rank = 2 THEN 'allow' ELSE 'block' END AS verdict,
+       coalesce(n, 0) AS n_active, list, pattern
+FROM cap c LEFT JOIN hit ON hit.url = c.url AND hit.fetched_at = c.fetched_at AND hit.place = 1
+"""
+
+SQL: dict[str, str] = {
+    "op6_url_filters": _OP6,
+}
