@@ -47,11 +47,11 @@ ORDER = 5
 #: Most nodes of the trie, 16 bytes each, besides the 65,792 of the shortest contexts.
 NODES = 1 << 21
 #: Text bytes of a block of documents, and of those behind a word bucket.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Different words a task gathers before it deals out their counts.
 GATHERED = 400_000
 #: Deepest nodes a task gathers before it deals them out, and text bytes coded at a time.
-GATHERED_NODES, STREAM_BYTES = 2_000_000, 4_000_000
+GATHERED_NODES, STREAM_BYTES = 2_000_000, 1_000_000
 END = b""
 _SYMBOLS = 256
 
@@ -236,9 +236,9 @@ class Model:
             self.out_kinds += np.bincount(here, minlength=len(self.contexts))
         # nodes of the longest contexts in a hash table: most bytes end there
         deep = slice(np.searchsorted(codes, np.uint64(ORDER) << np.uint64(56)), len(codes))
-        size = 1 << max(4, int(3 * (deep.stop - deep.start)).bit_length())
+        size = 1 << max(4, int(1.5 * (deep.stop - deep.start)).bit_length())
         self.shift = np.uint64(64 - size.bit_length() + 1)
-        self.keys, self.scores = np.zeros(size, np.uint64), np.zeros(size)
+        self.keys, self.scores = np.zeros(size, np.uint64), np.zeros(size, np.float32)
         place = np.searchsorted(self.contexts, context[deep])
         left, score = codes[deep], np.log10(self.counts[deep]) - np.log10(self.total[place] + self.kinds[place])
         slot = self._slot(left)
@@ -360,10 +360,9 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
         return pd.DataFrame({"block": ask["block"], "bucket": ask["bucket"], "counts": [np.fromiter(map(count.__getitem__, x), dtype="<i8", count=len(x)).tobytes() for x in lists]})
 
     def added(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        lists = [words(t) for t in part["text"]]
         found = {END}
-        for x in lists:
-            found.update(x)
+        for t in part["text"]:
+            found.update(words(t))
         by = _bucketed(list(found), buckets)
         place: dict[bytes, int] = {}
         counts = []
@@ -373,9 +372,10 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
         n = np.concatenate(counts)
         base, known = np.log10((n + 1) / (tokens + types + 1)), n > 0
         out = []
-        for x in lists:
-            at = np.fromiter(map(place.__getitem__, [*x, END]), dtype=np.int64, count=len(x) + 1)
-            out.append((len(x) + 1, int(known[at].sum()), float(base[at].sum())))
+        for t in part["text"]:
+            x = [*words(t), END]
+            at = np.fromiter(map(place.__getitem__, x), dtype=np.int64, count=len(x))
+            out.append((len(x), int(known[at].sum()), float(base[at].sum())))
         made = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score"])
         model = _model(table)
         made["score"] = np.concatenate([model.texts(some) for some in _lists(iter([part]))])
