@@ -12,10 +12,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, langid, ngram_join, ppm, sharding, topk, toxicity, url_filters, urls
+from starloom.llm import bpe, decontamination, langid, ngram_join, ppm, sharding, topk, toxicity, url_filters, urls
 from starloom.llm.common import read
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item that match, with the best window."""
+    found = decontamination.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "similarity")
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document."""
     docs = read(spark, folder, "documents").select("doc_id", "source", "n_chars")
@@ -95,6 +101,7 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
     "op3_ngram_join": op3_ngram_join,
     "op4_ppm": op4_ppm,
