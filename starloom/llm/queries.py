@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, decontamination, langid, ngram_join, ppm, sharding, topk, toxicity, url_filters, urls
+from starloom.llm import bpe, decontamination, langid, ngram_join, ppm, sharding, topk, toxicity, url_filters, urls, warc
 from starloom.llm.common import read
 
 
@@ -100,6 +100,11 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(read(spark, folder, "documents"), vocab))
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    return warc.round_trip(read(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -110,6 +115,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_topk": op8_topk,
     "op9_bpe": op9_bpe,
+    "op10_warc": op10_warc,
 }
 
 _OP6_HOST = "rtrim(lower(regexp_extract(coalesce(url, ''), '" + urls.HOST + "', 1)), '.')"
