@@ -36,6 +36,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from starloom.llm.common import text_of
 
@@ -102,6 +103,10 @@ class Vocabulary:
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(pattern)
+        # letters beyond Latin change with the Unicode version: for them the library that defines the format says what they are
+        library = Tokenizer.from_str(file.decode())
+        self.normalised, self.cut, self.byte_of = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str, byte_of
+        self.beyond = regex.compile("[^\x00-\u024f]")
         self.white = regex.compile(r"\p{White_Space}+")
         self.kept: dict[str, bytes] = {}
         self.former: dict[str, bytes] = {}
@@ -183,7 +188,11 @@ class Vocabulary:
     def chunk(self, text: str) -> bytes:
         if text.isascii() and text.isalpha():  # one piece
             return self.piece(text)
-        return b"".join([self.known(p, self.piece) for p in self.pieces.findall(text)])
+        if self.beyond.search(text):
+            pieces = [bytes(self.byte_of[c] for c in p).decode() for p, _ in self.cut(text)]
+        else:
+            pieces = self.pieces.findall(text)
+        return b"".join([self.known(p, self.piece) for p in pieces])
 
     def known(self, text: str, encoder) -> bytes:
         """From the table, or encoded now; of a full table the entries in use move to a new one."""
@@ -199,9 +208,10 @@ class Vocabulary:
         return ids
 
     def plain(self, text: str) -> bytes:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # letter by letter: no final sigma
-        text = text.lower()
+        if not text.isascii() and self.beyond.search(text):
+            text = self.normalised(text)
+        else:
+            text = unicodedata.normalize("NFC", text).lower()
         odd = any(c in text for c in "\x1c\x1d\x1e\x1f")  # split() takes them for white space, the pattern doesn't
         chunks = self.white.split(text) if odd else text.split()
         found = list(map(self.kept.get, chunks))
