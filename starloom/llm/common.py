@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import os
 import uuid
 
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,14 @@ def text_of(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
+#: Rows of an Arrow batch: texts of a few KB on average, some of a hundred, fit a task's share of memory.
+BATCH_ROWS = 1_000
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table of whole texts; sessions with Spark's default batch size get a smaller one."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 10_000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
@@ -44,6 +53,18 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"llm-{spark.sparkContext.applicationId}", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def give_back() -> None:
+    """A Python worker's freed memory back to its machine, where the C library can.
+
+    Workers are reused; what they keep after a large batch would count against
+    the executor's memory in every later task.
+    """
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def blocks_for(total: int, per_block: int) -> int:
     """How many blocks hold ``total`` at about ``per_block`` each."""
     return max(1, math.ceil((total or 0) / per_block))

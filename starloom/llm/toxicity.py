@@ -18,9 +18,11 @@ function of it, fitted on labelled rows that the models haven't seen; the score
 of a text without words is that of a measure of 0.
 
 Counts are of documents per word (repeats within a text count once).  Models
-learn from a sample of labelled rows: all, or as many (by hash of the id) as
-hold SAMPLE_BYTES of text.  This bounds what is collected: expressions with
-their counts, and a histogram for the logistic function.
+learn from a sample of labelled rows: of each class all, or as many (by hash of
+the id) as hold its SAMPLE_BYTES of text; ordinary rows count more where they
+are sampled more thinly, so that both classes keep their shares.  This bounds
+what is collected: expressions with their counts, and a histogram for the
+logistic function.
 
 Defined cases: null text counts as empty text; labels are joined by id, the
 largest label of an id counts, null labels and ids don't; without a toxic or
@@ -47,8 +49,8 @@ from starloom.llm.common import fold, stored, text_of
 CONTEXT = 7
 #: Kneser-Ney discount of the shared model.
 DISCOUNT = 0.75
-#: Bytes of labelled text that the models learn from at the most.
-SAMPLE_BYTES = 48_000_000
+#: Bytes of ordinary and of toxic labelled text that the models learn from at the most.
+SAMPLE_BYTES = 6_000_000, 4_000_000
 #: Words remembered per Python worker; the table starts anew beyond it.
 WORDS_KEPT = 500_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -186,21 +188,26 @@ def logistic(x: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> tuple[fl
     return float(b[0]), float(max(b[1], 0))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_bytes: int = SAMPLE_BYTES, folds: int = 5) -> Callable[[DataFrame], Column]:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_bytes: tuple[int, int] = SAMPLE_BYTES, folds: int = 5) -> Callable[[DataFrame], Column]:
     """Learns from rows whose fold of the id isn't 0; returns what makes a score column for a frame."""
     key = F.col(id_col)
     known = labels.where(F.col(label_col).isNotNull() & key.isNotNull()).groupBy(key.alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic")).where("toxic in (0, 1)")
     given = docs.select(key.alias("id"), text_of(F.col(text_col)).alias("text")).where(key.isNotNull() & (fold(key, folds) != 0))
-    size = given.select("id", F.octet_length("text").alias("n")).join(known, "id").agg(F.sum("n")).first()[0] or 0
-    share = int(1e6 * min(1.0, sample_bytes / max(size, 1)))
-    rows = given.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < share).join(known, "id").select("toxic", "text", (fold(F.col("id"), folds) == folds - 1).alias("fit"))
-    rows = stored(rows, "toxicity-sample")
-    table = weights(_counts(rows.where("not fit")))
+    size = {r["toxic"]: r["n"] for r in given.select("id", F.octet_length("text").alias("n")).join(known, "id").groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+    share = [int(1e6 * min(1.0, most / max(size.get(c, 0), 1))) for c, most in enumerate(sample_bytes)]
+    place = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000))
+    rows = given.where(place < max(share)).join(known, "id").where(place < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    rows = stored(rows.select("toxic", "text", (fold(F.col("id"), folds) == folds - 1).alias("fit")), "toxicity-sample")
+    weight = share[1] / max(share[0], 1)
+    counts = _counts(rows.where("not fit"))
+    counts["ordinary"] *= weight
+    table = weights(counts)
+    del counts
     seen = rows.where("fit").select("toxic", F.round(measure(rows, table, "text") / _STEP).alias("x")).groupBy("x", "toxic").count().toPandas()
     seen = seen.pivot_table(index="x", columns="toxic", values="count", fill_value=0) if len(seen) else seen
     if not len(seen) or 0 not in seen or 1 not in seen:
         return lambda df: F.lit(0.0)
-    intercept, slope = logistic(seen.index.to_numpy(float) * _STEP, seen[1].to_numpy(float), seen[0].to_numpy(float))
+    intercept, slope = logistic(seen.index.to_numpy(float) * _STEP, seen[1].to_numpy(float), seen[0].to_numpy(float) * weight)
     return lambda df: 1 / (1 + F.exp(-(F.lit(intercept) + F.lit(slope) * measure(df, table, text_col))))
 
 
