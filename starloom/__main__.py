@@ -17,16 +17,17 @@ import argparse
 import os
 import sys
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
-    builder = SparkSession.builder.appName("starloom")
-    if not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        from .session import local_session
+    """The submitted session; a local one only where no master is set (by spark-submit, its files or the environment)."""
+    if os.environ.get("SPARK_MASTER") or SparkConf().contains("spark.master"):
+        return SparkSession.builder.appName("starloom").getOrCreate()
+    from .session import local_session
 
-        return local_session()
-    return builder.getOrCreate()
+    return local_session()
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:

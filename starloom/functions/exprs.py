@@ -57,7 +57,8 @@ OPEN_VALID_TO = "9999-12-31 00:00:00"
 # Severity score 1..5 from days missed: <=7, <=28, <=90, <=180, more.
 SEVERITY_THRESHOLDS = (7, 28, 90, 180)
 # Date formats accepted by the lenient date parser, tried in order.
-LENIENT_DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy", "MMM d, yyyy", "yyyy-MM-dd HH:mm:ss")
+LENIENT_DATE_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd.MM.yyyy", "MMM d, yyyy", "yyyy-MM-dd HH:mm:ss",
+                        "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy")
 
 
 def _c(c: ColumnOrName) -> Column:

@@ -213,6 +213,3 @@ def player_current(dim_player: DataFrame, columns: Sequence[str] = PLAYER_CURREN
     have = set(dim_player.columns)
     return dim_player.filter(F.col("is_current")).select(*[c for c in columns if c in have])
 
-
-def lit_or_col(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v)

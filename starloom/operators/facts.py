@@ -29,6 +29,10 @@ TRANSFER_TYPE_RULES = (
 )
 
 
+# An inferred member is valid from before any fact.
+INFERRED_VALID_FROM = "1900-01-01 00:00:00"
+
+
 def transfer_type_code(text: str | Column, rules=TRANSFER_TYPE_RULES, default: str = "PERMANENT") -> Column:
     t = F.lower(F.col(text) if isinstance(text, str) else text)
     out = None
@@ -45,12 +49,19 @@ def _player(fact: DataFrame, players: DataFrame, key: str, out: str = "player_sk
     return lookup_sk(fact, players, key, "player_nk", "player_sk", out_col=out, how=how, current_only=True)
 
 
+def _unknown_ids(*pairs: tuple[str, str]) -> list[Column]:
+    """The source id where the key is NULL: a unique constraint keeps NULLs apart."""
+    return [F.when(F.col(sk).isNull(), F.col(nk).cast("string")).alias(f"__unknown_{i}") for i, (sk, nk) in enumerate(pairs)]
+
+
 def ensure_players(players: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """J8 for the player dimension: inferred current members named 'Unknown'."""
     k = keys.select(F.col(key).cast("int").alias("player_nk"))
     return get_or_create_members(
         players, k, "player_nk", "player_sk",
-        defaults={"player_name": F.lit(X.UNKNOWN_TEXT), "is_current": F.lit(True)},
+        defaults={"player_name": F.lit(X.UNKNOWN_TEXT), "is_current": F.lit(True),
+                  "valid_from": F.lit(INFERRED_VALID_FROM).cast("timestamp_ntz"),
+                  "source_row_hash": F.md5(F.lit("inferred"))},
     )
 
 
@@ -139,12 +150,13 @@ def fact_market_value(history: DataFrame, latest: DataFrame, players: DataFrame,
     src = src.where(F.col("value").isNotNull() & F.col("value_date").isNotNull())
     f = _player(src, players, "player_id", unknown=unknown)
     f = f.withColumn("date_sk", X.date_key("value_date"))
-    # UNIQUE(player_sk, date_sk, value_source): keep the highest value of a day
+    # UNIQUE(player_sk, date_sk, value_source): keep the highest value of a day; the constraint
+    # keeps NULL keys apart, so the source id stands in for an unknown player
     f = pick_one(f.select("player_sk", "date_sk", "value_source", "value_date", "value", "is_latest_value", "player_id"),
-                 ["player_sk", "date_sk", "value_source"], [("value", "desc", "last")])
+                 ["player_sk", "player_id", "date_sk", "value_source"], [("value", "desc", "last")])
     f = f.withColumn("market_value", X.to_money("value"))
     # W2 without a per-player window: a hot player stays spread over tasks
-    f = previous_in_group(f, ["player_sk", "value_source"], ["date_sk"], ["market_value"], prefix="__prev_")
+    f = previous_in_group(f, ["player_sk", "player_id", "value_source"], ["date_sk"], ["market_value"], prefix="__prev_")
     f = (f.withColumnRenamed("__prev_market_value", "previous_value")
          .withColumn("value_change", F.col("market_value") - F.col("previous_value"))
          .withColumn("value_change_pct", X.pct_change("market_value", "previous_value"))
@@ -207,10 +219,11 @@ def fact_national_performance(nat: DataFrame, players: DataFrame, teams: DataFra
         F.col("matches").alias("total_matches"), F.col("goals").alias("total_goals"),
         X.ratio("goals", "matches").alias("goals_per_match"),
         F.concat_ws("|", "player_id", "team_id").alias("source_record_id"),
+        *_unknown_ids(("player_sk", "player_id"), ("national_team_sk", "team_id")),
     )
-    f = pick_one(f, ["player_sk", "national_team_sk"],
+    f = pick_one(f, ["player_sk", "national_team_sk", "__unknown_0", "__unknown_1"],
                  [("total_matches", "desc", "last"), ("first_game_date_sk", "asc", "last"),
-                  "source_record_id", ("total_goals", "desc", "last")])
+                  "source_record_id", ("total_goals", "desc", "last")]).drop("__unknown_0", "__unknown_1")
     return _number(f, "national_performance_sk", ["player_sk", ("national_team_sk", "asc", "first")])
 
 
@@ -219,14 +232,17 @@ def fact_teammate_relationship(pairs: DataFrame, players: DataFrame, unknown: st
     most shared minutes, then most joint goals, then highest ppg)."""
     f = _player(pairs, players, "player_id", unknown=unknown)
     f = _player(f, players, "teammate_player_id", out="teammate_player_sk", unknown=unknown)
-    f = f.where(F.col("player_sk") != F.col("teammate_player_sk"))
+    # a pair with an unknown member is no self pair unless its source ids say so
+    f = f.where(~F.col("player_id").eqNullSafe(F.col("teammate_player_id"))
+                & F.coalesce(F.col("player_sk") != F.col("teammate_player_sk"), F.lit(True)))
     f = f.select(
         "player_sk", "teammate_player_sk", F.col("minutes_played_with").alias("minutes_played_together"),
         "ppg_played_with", "joint_goal_participation",
         X.chemistry_score("joint_goal_participation", "minutes_played_with").alias("chemistry_score"),
         F.concat_ws("|", "player_id", "teammate_player_id").alias("source_record_id"),
+        *_unknown_ids(("player_sk", "player_id"), ("teammate_player_sk", "teammate_player_id")),
     )
-    f = pick_one(f, ["player_sk", "teammate_player_sk"],
+    f = pick_one(f, ["player_sk", "teammate_player_sk", "__unknown_0", "__unknown_1"],
                  [("minutes_played_together", "desc", "last"), ("joint_goal_participation", "desc", "last"),
-                  ("ppg_played_with", "desc", "last")])
+                  ("ppg_played_with", "desc", "last")]).drop("__unknown_0", "__unknown_1")
     return _number(f, "teammate_fact_sk", ["player_sk", "teammate_player_sk"])

@@ -97,17 +97,6 @@ def max_key(df: DataFrame, key_col: str) -> int:
     return int(v) if v is not None else 0
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it is proven to hold at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame
-    is returned unhinted, so AQE picks a shuffle join (or a runtime broadcast
-    when the measured size is small after all).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_sk(
     fact: DataFrame,
     dim: DataFrame,
@@ -118,7 +107,6 @@ def lookup_sk(
     how: str = "left",
     current_only: bool = False,
     cast_to: str | None = None,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Natural key → surrogate key.
 
@@ -130,8 +118,6 @@ def lookup_sk(
     out_col = out_col or sk_col
     d = dim.filter(F.col("is_current")) if current_only else dim
     d = d.select(F.col(dim_key).alias("__lk_nk"), F.col(sk_col).alias(out_col))
-    if broadcast_rows:
-        d = broadcast_if_small(d, broadcast_rows)
     k = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     if cast_to:
         k = k.cast(cast_to)

@@ -74,7 +74,8 @@ def scd2_merge(
 
     probe = batch_h.select(F.col(nk), F.col(hash_col).alias("__bh"))
     j = current.join(probe, nk, "left")
-    changed = F.col("__bh").isNotNull() & (F.col("__bh") != F.col(hash_col))
+    # null-safe: an inferred member may hold no hash, and the first real version must close it
+    changed = F.col("__bh").isNotNull() & ~F.col("__bh").eqNullSafe(F.col(hash_col))
     current_after = j.select(*[
         (F.when(changed, ts).otherwise(F.col("valid_to")).alias("valid_to") if c == "valid_to"
          else F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current") if c == "is_current"
@@ -85,13 +86,15 @@ def scd2_merge(
     cur_h = current.select(F.col(nk), F.col(hash_col).alias("__ch"))
     fresh = (
         batch_h.join(cur_h, nk, "left")
-        .where(F.col("__ch").isNull() | (F.col("__ch") != F.col(hash_col)))
+        .where(~F.col("__ch").eqNullSafe(F.col(hash_col)))
         .drop("__ch")
         .withColumn("valid_from", ts)
         .withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
         .withColumn("is_current", F.lit(True))
     )
     fresh = sequence_keys(fresh, [nk], sk_col, start=max_key(dim, sk_col) if start is None else start)
+    if "is_inferred" in dim.columns and "is_inferred" not in fresh.columns:
+        fresh = fresh.withColumn("is_inferred", F.lit(False))
     have = set(fresh.columns)
     fresh = fresh.select(*[
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in dim.schema.fields

@@ -8,24 +8,16 @@ get their global position in (group, order) order from
 group is spread over many tasks), and each row fetches the row at position
 ``pos ± 1`` by an equi-join on a unique key — no key is hot on either side.
 The neighbour counts only when it belongs to the same group.
-
-With ``hot_rows`` the work is split like a skew join: group sizes are
-counted (combined map-side), groups above ``hot_rows`` take the position
-join, all others a plain window; the list of hot groups is bounded by
-rows / ``hot_rows`` and is broadcast only behind a size check.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keys import broadcast_if_small, sequence_keys
-
-# Groups with more rows than this take the position join (default split).
-HOT_GROUP_ROWS = 1_000_000
+from .keys import sequence_keys
 
 _POS = "__wl_pos"
 
@@ -56,17 +48,6 @@ def join_neighbour(
     )
 
 
-def _by_position(df, group_by, order_by, values, offset, prefix):
-    seq = sequence_keys(df, [*group_by, *order_by], _POS)
-    return join_neighbour(seq, _POS, group_by, values, offset, prefix).drop(_POS)
-
-
-def _by_window(df, group_by, order_by, values, offset, prefix):
-    w = Window.partitionBy(*group_by).orderBy(*order_by)
-    fn = F.lag if offset < 0 else F.lead
-    return df.select("*", *[fn(v, abs(offset)).over(w).alias(f"{prefix}{v}") for v in values])
-
-
 def neighbour_in_group(
     df: DataFrame,
     group_by: Sequence[str],
@@ -74,35 +55,25 @@ def neighbour_in_group(
     values: Sequence[str],
     offset: int = -1,
     prefix: str = "previous_",
-    hot_rows: int | None = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``prefix + v = lag(v, -offset)`` (offset < 0) or ``lead(v, offset)``
     (offset > 0) over ``partition by group_by order by order_by``.
 
     ``order_by`` must make the order total within a group (add a unique
     tie-breaker).  Adds one column per value; NULL where the neighbour falls
-    outside the group.  ``hot_rows=None`` sends every group through the
-    position join.
+    outside the group.  Groups of every size take the same path.
     """
-    if hot_rows is None:
-        return _by_position(df, group_by, order_by, values, offset, prefix)
-    sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__wl_n"))
-    hot = sizes.where(F.col("__wl_n") > hot_rows).select(*[F.col(g).alias(f"__wl_h_{g}") for g in group_by])
-    hot = broadcast_if_small(hot, 2_000_000)
-    cond = [F.col(g).eqNullSafe(F.col(f"__wl_h_{g}")) for g in group_by]
-    hot_rows_df = df.join(hot, cond, "left_semi")
-    cold_rows_df = df.join(hot, cond, "left_anti")
-    return _by_window(cold_rows_df, group_by, order_by, values, offset, prefix).unionByName(
-        _by_position(hot_rows_df, group_by, order_by, values, offset, prefix))
+    seq = sequence_keys(df, [*group_by, *order_by], _POS)
+    return join_neighbour(seq, _POS, group_by, values, offset, prefix).drop(_POS)
 
 
 def previous_in_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str],
-                      prefix: str = "previous_", hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
-    """``lag(v) over (partition by group_by order by order_by)``, hot groups split off."""
-    return neighbour_in_group(df, group_by, order_by, values, -1, prefix, hot_rows)
+                      prefix: str = "previous_") -> DataFrame:
+    """``lag(v) over (partition by group_by order by order_by)``."""
+    return neighbour_in_group(df, group_by, order_by, values, -1, prefix)
 
 
 def next_in_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str],
-                  prefix: str = "next_", hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
-    """``lead(v) over (partition by group_by order by order_by)``, hot groups split off."""
-    return neighbour_in_group(df, group_by, order_by, values, 1, prefix, hot_rows)
+                  prefix: str = "next_") -> DataFrame:
+    """``lead(v) over (partition by group_by order by order_by)``."""
+    return neighbour_in_group(df, group_by, order_by, values, 1, prefix)

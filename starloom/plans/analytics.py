@@ -13,7 +13,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.keys import broadcast_if_small
 from ..operators.quality import duplicate_check, orphan_check
 
 
@@ -30,7 +29,7 @@ def value_trend(wh: Mapping[str, DataFrame], name_pattern: str) -> DataFrame:
     """Market values of players whose name matches a LIKE pattern."""
     mv, p, d = wh["fact_market_value"], wh["dim_player"], wh["dim_date"]
     j = mv.join(p.where(F.col("player_name").like(name_pattern)).select("player_sk", "player_name"), "player_sk") \
-        .join(broadcast_if_small(d.select("date_sk", F.col("date_value").alias("full_date")), 400_000), "date_sk")
+        .join(d.select("date_sk", F.col("date_value").alias("full_date")), "date_sk")
     return j.select("player_name", "full_date", "market_value", "value_source").orderBy("full_date", "player_name")
 
 

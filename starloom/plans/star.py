@@ -785,10 +785,22 @@ def q_csv_staging(spark, d):
     from pyspark.sql.types import StructType
 
     path = scratch_path(spark, "csv-staging")
-    T(spark, d, "customer").write.mode("overwrite").option("header", True).csv(path)
+    customer = T(spark, d, "customer")  # columns in another order than the schema's: they are found by name
+    customer.select(*reversed(customer.columns)).write.mode("overwrite").option("header", True).csv(path)
     return read_csv_typed(spark, path, StructType.fromDDL(CUSTOMER_DDL))
 
 
+def q_run_passed(spark, d):
+    """Q15: the pass flag of a clean and of a dirty table; row counts don't decide."""
+    orders = T(spark, d, "orders")
+    clean = Q.run_passed(Q.count_checks(orders, "orders", {
+        "null_key": F.col("o_orderkey").isNull(), "negative_price": F.col("o_totalprice") < 0}))
+    dirty = Q.run_passed(Q.count_checks(orders, "orders", {
+        "null_key": F.col("o_orderkey").isNull(), "price_over_1000": F.col("o_totalprice") > 1000}))
+    return clean.select(F.lit("clean").alias("case_name"), "passed").unionByName(
+        dirty.select(F.lit("dirty").alias("case_name"), "passed"))
+
+
 def q_warehouse_reload(spark, d):
     """Build a small star into a fresh folder, reload a
     subset, skip a loaded fact, list the tables with their counts."""
@@ -802,9 +814,8 @@ def q_warehouse_reload(spark, d):
         paths[name] = sinks.write_table(df, os.path.join(root, name),
                                         partition_by=["season_name"] if name == "fact_performance" else None)
     # Reload one season of the fact (dynamic partition overwrite)
-    fp = spark.read.parquet(paths["fact_performance"])
-    sinks.overwrite_partitions(fp.where(F.col("season_name") == "99/00"), paths["fact_performance"] + "_reload",
-                               ["season_name"])
+    sinks.overwrite_partitions(tables["fact_performance"].where(F.col("season_name") == "99/00"),
+                               paths["fact_performance"], ["season_name"])
     # A second load of a non-empty fact is skipped
     sinks.write_if_empty(tables["fact_performance"], paths["fact_performance"], ["season_name"])
     kinds = {n: ("dimension" if n.startswith("dim_") else "fact") for n in paths}
@@ -861,6 +872,7 @@ QUERIES = {
     "member_sample": q_member_sample,
     "epoch_date": q_epoch_date,
     "csv_staging": q_csv_staging,
+    "run_passed": q_run_passed,
     "warehouse_reload": q_warehouse_reload,
 }
 

@@ -501,6 +501,8 @@ SQL = {
           CAST(make_timestamp(epoch_seconds * 1000000) AS DATE) = CAST(ts AS DATE) AS same_day
         FROM (SELECT *, CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS epoch_seconds FROM events) e""",
     "csv_staging": "SELECT * FROM customer",
+    "run_passed": """SELECT 'clean' AS case_name, bool_and(o_orderkey IS NOT NULL AND NOT coalesce(o_totalprice < 0, FALSE)) AS passed FROM orders
+        UNION ALL SELECT 'dirty', bool_and(o_orderkey IS NOT NULL AND NOT coalesce(o_totalprice > 1000, FALSE)) FROM orders""",
     "warehouse_reload": f"""SELECT table_name, table_kind, n_rows, CASE WHEN n_rows > 0 THEN 'OK' ELSE 'EMPTY' END AS status
         FROM (SELECT 'dim_date' AS table_name, 'dimension' AS table_kind, CAST(count(*) AS BIGINT) AS n_rows
               FROM ({DIM_DATE}) a

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from ..operators.quality import dropped_rows, run_passed, staging_checks, table_
 from ..operators.scd2 import scd2_initial, scd2_merge
 from ..operators.summary import season_summary, values_by_season
 from ..sources import sinks
-from ..sources.readers import read_source, source_exists
+from ..sources.readers import is_missing, read_source, source_exists
 from ..sources.schemas import LOAD_ORDER, catalogue
 
 PLAYER_TRACKED = ("player_name", "position", "current_club_nk", "contract_expires", "agent_sk")
@@ -63,15 +64,17 @@ def load_staging(spark: SparkSession, src_dir: str, stage_dir: str, tables: Iter
 
 
 def read_staging(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
-    """The staged tables that exist (any file system Spark can read)."""
+    """The staged tables (any file system Spark can read); one whose source was missing is empty."""
     import os
 
     out = {}
     for name in LOAD_ORDER:
         try:
             out[name] = spark.read.parquet(os.path.join(stage_dir, name))
-        except Exception:  # noqa: BLE001 - not staged (missing source)
-            continue
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
+            out[name] = spark.createDataFrame([], catalogue()[name].schema)
     return out
 
 
@@ -124,7 +127,10 @@ def build_facts(st: Mapping[str, DataFrame], d: dict[str, DataFrame], unknown: s
     if unknown == "member":
         ids = None
         for t, c in (("player_performances", "player_id"), ("player_market_value", "player_id"),
-                     ("transfer_history", "player_id"), ("player_injuries", "player_id")):
+                     ("player_latest_market_value", "player_id"), ("transfer_history", "player_id"),
+                     ("player_injuries", "player_id"), ("player_national_performances", "player_id"),
+                     ("player_teammates_played_with", "player_id"),
+                     ("player_teammates_played_with", "teammate_player_id")):
             k = st[t].select(F.col(c).alias("player_id"))
             ids = k if ids is None else ids.unionByName(k)
         players = FX.ensure_players(players, ids, "player_id")

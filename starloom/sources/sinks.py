@@ -4,20 +4,24 @@ Tables are parquet directories under a warehouse root.  A table is never
 overwritten while it is being read: a rebuilt table (SCD2 merge, upsert) is
 written to a new version directory and the manifest — a small table of
 (table_name → path) written by Spark itself — is replaced afterwards.
-Overwrites are whole-table (S3) or per partition (S15), never chunked
-appends, so a failed job leaves the previous version in place (T9).
+A failed job leaves the previous version in place (T9) where tables are
+written to version directories, as the warehouse's are; :func:`write_table`
+on an existing path (S3) replaces it, and a failure there can leave it empty.
 """
 
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import table_counts
+from .readers import is_missing
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> str:
@@ -39,8 +43,10 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 def table_has_rows(spark: SparkSession, path: str) -> bool:
     try:
         return spark.read.parquet(path).limit(1).count() > 0
-    except Exception:  # noqa: BLE001 - a missing path is an empty target
-        return False
+    except AnalysisException as e:
+        if is_missing(e):
+            return False
+        raise
 
 
 def write_if_empty(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> bool:
@@ -61,18 +67,25 @@ def write_manifest(spark: SparkSession, root: str, entries: Mapping[str, str], k
     rows = [(name, path, kinds.get(name, "table")) for name, path in sorted(entries.items())]
     m = spark.createDataFrame(rows, "table_name STRING, path STRING, table_kind STRING")
     path = os.path.join(root, "_manifest", f"m-{uuid.uuid4().hex[:12]}")
-    m.coalesce(1).write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(path,)], "manifest STRING").coalesce(1).write.mode("overwrite").json(
+    m.coalesce(1).write.parquet(path)
+    # a pointer file of its own per manifest, committed by Spark; the newest counts
+    spark.createDataFrame([(time.time_ns(), path)], "written LONG, manifest STRING").coalesce(1).write.mode("append").json(
         os.path.join(root, "_manifest_pointer"))
     return path
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest manifest; None where there is no warehouse.  A warehouse whose pointers can't be read raises."""
     try:
-        ptr = spark.read.json(os.path.join(root, "_manifest_pointer")).first()
-    except Exception:  # noqa: BLE001 - no warehouse yet
-        return None
-    return spark.read.parquet(ptr["manifest"]) if ptr else None
+        pointers = spark.read.schema("written LONG, manifest STRING").json(os.path.join(root, "_manifest_pointer"))
+    except AnalysisException as e:
+        if is_missing(e):
+            return None
+        raise
+    newest = pointers.agg(F.max(F.struct("written", "manifest")).alias("p")).first()["p"]
+    if newest is None:
+        raise RuntimeError(f"no manifest pointer can be read under {root}; the stored warehouse is not replaced")
+    return spark.read.parquet(newest["manifest"])
 
 
 def list_tables(spark: SparkSession, root: str) -> DataFrame:
@@ -114,13 +127,7 @@ def save_bucketed(df: DataFrame, table: str, bucket_by: Sequence[str], num_bucke
     return table
 
 
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    from ..session import scratch_path
-
-    return scratch_path(spark, name)
-
-
 __all__ = [
     "write_table", "overwrite_partitions", "write_if_empty", "table_has_rows", "version_path", "write_manifest",
-    "read_manifest", "list_tables", "audit_counts", "audit_delta", "scratch_table_path", "save_bucketed",
+    "read_manifest", "list_tables", "audit_counts", "audit_delta", "save_bucketed",
 ]

@@ -20,12 +20,14 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import pick_one
 from ..operators.scd2 import scd2_initial, scd2_merge
 from ..session import checkpoint_root
+from ..sources.readers import is_missing
 
 BUCKET = "nk_bucket"
 KEYS_PER_BATCH = 2 ** 32
@@ -43,8 +45,10 @@ def current_version(spark: SparkSession, root: str) -> DataFrame | None:
     """The stored dimension, or None before the first batch."""
     try:
         return spark.read.parquet(_data(root))
-    except Exception:  # noqa: BLE001 - nothing committed yet
-        return None
+    except AnalysisException as e:
+        if is_missing(e):
+            return None
+        raise
 
 
 def merge_batch(batch: DataFrame, root: str, nk: str, tracked: Sequence[str], sk_col: str,
