@@ -169,7 +169,7 @@ def top_k(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
         return pd.DataFrame({"query_block": [part["query_block"].iloc[0]], "floors": [floors.astype("<f8").tobytes()], "n": [len(floors)]})
 
     # the floors: a query block against one block of candidates
-    start = queries.withColumn("block", F.lit(first)).withColumn("floors", F.lit(None).cast("binary")).join(candidates.where(F.col("block") == first), "block")
+    start = queries.withColumn("block", F.explode(F.sequence(F.lit(first), F.lit(first)))).withColumn("floors", F.lit(None).cast("binary")).join(candidates.where(F.col("block") == first), "block")
     head = stored(start.mapInPandas(searched, kind), "topk-head")
     floors = head.groupBy("query_block").applyInPandas(floors_of, "query_block int, floors binary, n int")
     # then all the others, each pair of blocks a row
