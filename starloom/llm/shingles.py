@@ -13,7 +13,7 @@ import xxhash
 
 WIDTH = 5
 #: Words remembered per Python worker; the table starts anew beyond it.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 100_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 NONE = np.zeros(0, np.uint64)
