@@ -118,8 +118,8 @@ def decided(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_r
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Writes archives and index files to ``folder``; returns the directory, sorted by no order in particular."""
-    rows = stored(decided(pages, id_col, url_col, payload_col, min_revisit), "warc-records")
-    total, size = rows.agg(F.count("*"), F.sum(F.octet_length("payload"))).first()
+    rows = decided(pages, id_col, url_col, payload_col, min_revisit)
+    total, size = pages.agg(F.count("*"), F.sum(F.octet_length(F.col(payload_col)))).first()
     per_block = max(BLOCK_RECORDS, math.ceil(total / (DIRECTORY / 2)))
     files = min(blocks_for(size or 0, ARCHIVE_BYTES) + 1, DIRECTORY // 2)
 
