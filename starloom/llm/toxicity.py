@@ -50,7 +50,7 @@ CONTEXT = 7
 #: Kneser-Ney discount of the shared model.
 DISCOUNT = 0.75
 #: Bytes of ordinary and of toxic labelled text that the models learn from at the most.
-SAMPLE_BYTES = 6_000_000, 4_000_000
+SAMPLE_BYTES = 4_000_000, 3_000_000
 #: Words remembered per Python worker; the table starts anew beyond it.
 WORDS_KEPT = 500_000
 _WORD = re.compile(r"[^\W\d_]+")
