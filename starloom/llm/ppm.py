@@ -14,12 +14,14 @@ code length for every text.
 * Every task counts the words and the deepest nodes of its share; word counts
   meet by word bucket, nodes by the last two bytes of their context, where the
   nodes of shorter contexts are summed from them.
-* The trie is sent to all tasks, so its size is bounded: of more than NODES
-  nodes, contexts seen least often are left out with all their bytes, and the
-  next shorter context stands in.
-* Documents are dealt into blocks.  For the base score a block asks each word
-  bucket once for the training counts of its different words.  Words and counts
-  travel as packed arrays.
+* The trie stays a table, a row per block and order; only the nodes of contexts
+  of one byte and none, 65,792 at the most, are sent to all tasks.
+* Documents are dealt into blocks.  A block asks each word bucket once for the
+  training counts of its different words, and each block of the trie for the log
+  probabilities of its different deepest nodes: a node's shorter contexts of two
+  bytes and more are all in the same block of the trie.  Words, nodes and answers
+  travel as packed arrays.  Of more than ASKING blocks of documents, every ASKING
+  get a copy of the trie's blocks, so that no task's share grows with their number.
 
 Defined cases: null text counts as empty text, whose only token is the end; a
 null id has fold 0; without training texts N and V are 0 and all bytes equally
@@ -44,8 +46,10 @@ from starloom.llm.shingles import words
 
 #: Longest context in bytes, the word's start included.
 ORDER = 5
-#: Most nodes of the trie, 16 bytes each, besides the 65,792 of the shortest contexts.
-NODES = 1 << 21
+#: Nodes in a row of what a block of documents asks; more are asked in several rows.
+ASK_NODES = 1 << 16
+#: Blocks of documents that ask the same copy of the trie's blocks.
+ASKING = 256
 #: Text bytes of a block of documents, and of those behind a word bucket.
 BLOCK_BYTES = 8_000_000
 #: Different words a task gathers before it deals out their counts.
@@ -53,6 +57,7 @@ GATHERED = 400_000
 #: Deepest nodes a task gathers before it deals them out, and text bytes coded at a time.
 GATHERED_NODES, STREAM_BYTES = 2_000_000, 1_000_000
 END = b""
+_WORDS, _NODES = 0, 1
 _SYMBOLS = 256
 
 
@@ -137,24 +142,23 @@ def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code, out
 
 
-def _context_totals(code: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """code: sorted.  For each node how often its context was seen."""
-    first = np.flatnonzero(np.r_[True, code[1:] >> np.uint64(8) != code[:-1] >> np.uint64(8)])
-    return np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(code)])) if len(code) else n
+def _block_of(codes: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of the trie, by the last two bytes of the context."""
+    return (((codes >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % blocks
 
 
-def _step(n: np.ndarray) -> np.ndarray:
-    return np.floor(8 * np.log2(n)).astype(np.int64)
+def _distinct(sorted_codes: np.ndarray) -> np.ndarray:
+    return sorted_codes[np.r_[True, sorted_codes[1:] != sorted_codes[:-1]]] if len(sorted_codes) else sorted_codes
 
 
-def trie(texts: DataFrame, blocks: int, most: int = NODES) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, counts) of the nodes, sorted by code.  texts: text."""
+def trie_blocks(texts: DataFrame, blocks: int) -> DataFrame:
+    """block, level, codes, counts: the nodes by block and order, sorted by code; those of order 1 still in parts.  texts: text."""
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def packed() -> pd.DataFrame:
-            block = (((codes >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % blocks
+            block = _block_of(codes, blocks)
             by = np.argsort(block, kind="stable")
             first = np.flatnonzero(np.r_[True, np.diff(block[by]) != 0])
             return pd.DataFrame({"block": block[by][first], "codes": [x.astype("<u8").tobytes() for x in np.split(codes[by], first[1:])], "counts": [x.astype("<u4").tobytes() for x in np.split(counts[by], first[1:])]})
@@ -179,7 +183,15 @@ def trie(texts: DataFrame, blocks: int, most: int = NODES) -> tuple[np.ndarray,
             out.append((order, code.astype("<u8").tobytes(), n.astype("<i8").tobytes()))
         code, n = _summed(_shorter(code, 1), n)
         out.append((1, code.astype("<u8").tobytes(), n.astype("<i8").tobytes()))
-        return pd.DataFrame(out, columns=["level", "codes", "counts"])
+        made = pd.DataFrame(out, columns=["level", "codes", "counts"])
+        made.insert(0, "block", part["block"].iloc[0])
+        return made
+
+    return stored(texts.mapInPandas(dealt, "block long, codes binary, counts binary").groupBy("block").applyInPandas(met, "block long, level int, codes binary, counts binary"), "ppm-nodes")
+
+
+def lowest_nodes(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of the nodes of contexts of one byte and none, of ``trie_blocks``."""
 
     def lowest(part: pd.DataFrame) -> pd.DataFrame:
         """The nodes of contexts of one byte and none: 65,792 at the most."""
@@ -187,61 +199,32 @@ def trie(texts: DataFrame, blocks: int, most: int = NODES) -> tuple[np.ndarray,
         none = _summed(_shorter(one[0], 0), one[1])
         return pd.DataFrame({"codes": [x[0].astype("<u8").tobytes() for x in (one, none)], "counts": [x[1].astype("<i8").tobytes() for x in (one, none)]})
 
-    nodes = stored(texts.mapInPandas(dealt, "block long, codes binary, counts binary").groupBy("block").applyInPandas(met, "level int, codes binary, counts binary"), "ppm-nodes")
-    high = nodes.where("level > 1").select("codes", "counts")
+    return _gathered(nodes.where("level = 1").groupBy("level").applyInPandas(lowest, "codes binary, counts binary").collect())  # 65,792 nodes at the most
 
-    def histogram(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for code, n in zip(batch["codes"], batch["counts"]):
-                step, times = np.unique(_step(_context_totals(np.frombuffer(code, "<u8"), np.frombuffer(n, "<i8"))), return_counts=True)
-                yield pd.DataFrame({"step": step, "n": times})
 
-    least, held = 10**9, 0
-    for step, n in sorted(((r["step"], r["n"]) for r in high.mapInPandas(histogram, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()), reverse=True):
-        if held + n > most:
-            break
-        least, held = step, held + n
-
-    def chosen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for code, n in zip(batch["codes"], batch["counts"]):
-                code, n = np.frombuffer(code, "<u8"), np.frombuffer(n, "<i8")
-                keep = _step(_context_totals(code, n)) >= least
-                yield pd.DataFrame({"codes": [code[keep].tobytes()], "counts": [n[keep].tobytes()]})
-
-    low = nodes.where("level = 1").groupBy("level").applyInPandas(lowest, "codes binary, counts binary")
-    rows = high.mapInPandas(chosen, high.schema).unionByName(low).collect()  # NODES + 65,792 nodes at the most
+def _gathered(rows: list) -> tuple[np.ndarray, np.ndarray]:
     code = np.concatenate([np.frombuffer(r["codes"], "<u8") for r in rows] or [np.zeros(0, "<u8")])
     n = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows] or [np.zeros(0, "<i8")])
     order = np.argsort(code)
     return code[order], n[order]
 
 
-class Model:
-    """Log10 probabilities from the nodes of a trie."""
+def trie(texts: DataFrame, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of all nodes, sorted by code, in the driver: for small training sets."""
+    nodes = trie_blocks(texts, blocks)
+    code, n = _gathered(nodes.where("level > 1").collect())
+    low = lowest_nodes(nodes)
+    return np.concatenate([low[0], code]), np.concatenate([low[1], n])
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray):
-        self.codes, self.counts = codes, counts.astype(np.float64)
-        context = codes >> np.uint64(8)  # nodes of one context stand together
-        self.contexts, first = np.unique(context, return_index=True)
-        self.total = np.add.reduceat(self.counts, first) if len(codes) else np.zeros(0)
-        self.kinds = np.diff(np.r_[first, len(codes)]).astype(np.float64)
-        # after an escape from a context: the counts and kinds that the next shorter one loses
-        self.out_total, self.out_kinds = np.zeros(len(self.contexts)), np.zeros(len(self.contexts))
-        for order in range(1, ORDER + 1):
-            some = slice(*np.searchsorted(codes, [np.uint64(order) << np.uint64(56), np.uint64(order + 1) << np.uint64(56)]))
-            at, seen = _find(codes, _shorter(codes[some], order - 1))
-            here = np.searchsorted(self.contexts, context[some])[seen]
-            self.out_total += np.bincount(here, weights=self.counts[at[seen]], minlength=len(self.contexts))
-            self.out_kinds += np.bincount(here, minlength=len(self.contexts))
-        # nodes of the longest contexts in a hash table: most bytes end there
-        deep = slice(np.searchsorted(codes, np.uint64(ORDER) << np.uint64(56)), len(codes))
-        size = 1 << max(4, int(1.5 * (deep.stop - deep.start)).bit_length())
+
+class Scores:
+    """Scores by node, in a hash table."""
+
+    def __init__(self, codes: np.ndarray, scores: np.ndarray):
+        size = 1 << max(4, int(1.5 * len(codes)).bit_length())
         self.shift = np.uint64(64 - size.bit_length() + 1)
         self.keys, self.scores = np.zeros(size, np.uint64), np.zeros(size, np.float32)
-        place = np.searchsorted(self.contexts, context[deep])
-        left, score = codes[deep], np.log10(self.counts[deep]) - np.log10(self.total[place] + self.kinds[place])
-        slot = self._slot(left)
+        left, score, slot = codes, scores, self._slot(codes)
         self.probes = 0
         while len(left):
             free = self.keys[slot] == 0
@@ -254,8 +237,8 @@ class Model:
     def _slot(self, code: np.ndarray) -> np.ndarray:
         return (code * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
 
-    def score(self, codes: np.ndarray) -> np.ndarray:
-        """Log10 probability of the byte at each deepest node."""
+    def get(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, places of the codes that the table doesn't hold, where no score is set)"""
         out = np.empty(len(codes))
         left, slot = np.arange(len(codes)), self._slot(codes)
         missing = []
@@ -268,7 +251,34 @@ class Model:
             left, slot = left[on], (slot[on] + 1) & (len(self.keys) - 1)
             if not len(left):
                 break
-        missing = np.concatenate([*missing, left])
+        return out, np.concatenate([*missing, left])
+
+
+class Model:
+    """Log10 probabilities from the nodes of a trie."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        self.codes, self.counts = codes, counts.astype(np.float64)
+        context = codes >> np.uint64(8)  # nodes of one context stand together
+        self.contexts, first = np.unique(context, return_index=True)
+        self.total = np.add.reduceat(self.counts, first) if len(codes) else np.zeros(0)
+        self.kinds = np.diff(np.r_[first, len(codes)]).astype(np.float64)
+        # after an escape from a context: the counts and kinds that the next shorter one loses
+        self.out_total, self.out_kinds = np.zeros(len(self.contexts)), np.zeros(len(self.contexts))
+        for order in range(1, ORDER + 1):
+            some = slice(*np.searchsorted(codes, [np.uint64(order) << np.uint64(56), np.uint64(order + 1) << np.uint64(56)]))
+            at, seen = _find(codes, _shorter(codes[some], order - 1))
+            here = np.searchsorted(self.contexts, context[some])[seen]
+            self.out_total += np.bincount(here, weights=self.counts[at[seen]], minlength=len(self.contexts))
+            self.out_kinds += np.bincount(here, minlength=len(self.contexts))
+        # nodes of the longest contexts in a hash table: most bytes end there
+        deep = slice(np.searchsorted(codes, np.uint64(ORDER) << np.uint64(56)), len(codes))
+        place = np.searchsorted(self.contexts, context[deep])
+        self.deep = Scores(codes[deep], np.log10(self.counts[deep]) - np.log10(self.total[place] + self.kinds[place]))
+
+    def score(self, codes: np.ndarray) -> np.ndarray:
+        """Log10 probability of the byte at each deepest node."""
+        out, missing = self.deep.get(codes)
         if len(missing):
             code, place = np.unique(codes[missing], return_inverse=True)
             out[missing] = self._escaped(code)[place]
@@ -297,11 +307,6 @@ class Model:
         out[left] -= np.log10(np.maximum(_SYMBOLS - cut_kinds[left], 1))
         return out
 
-    def texts(self, lists: list[list[bytes]]) -> np.ndarray:
-        """Log10 probability of each text, its end included."""
-        data, at, text = _stream(lists)
-        return np.bincount(text, weights=self.score(_codes(data, at)), minlength=len(lists))
-
 
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(table):
@@ -324,10 +329,45 @@ def _lists(batches: Iterator[pd.DataFrame]) -> Iterator[list[list[bytes]]]:
         yield some
 
 
+def _deepest(lists: Iterator[list[list[bytes]]]) -> np.ndarray:
+    """The sorted distinct deepest nodes of some texts."""
+    found, held = [], 0
+    for some in lists:
+        data, at, _ = _stream(some)
+        found.append(_distinct(np.sort(_codes(data, at))))
+        held += len(found[-1])
+        if held >= GATHERED_NODES:
+            found = [_distinct(np.sort(np.concatenate(found)))]
+            held = 0
+    return _distinct(np.sort(np.concatenate(found))) if found else np.zeros(0, np.uint64)
+
+
+def _asks(codes: np.ndarray, blocks: int, most: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(block of the trie, places among the codes), ``most`` at a time."""
+    block = _block_of(codes, blocks)
+    by = np.argsort(block, kind="stable")
+    for some in np.split(by, np.flatnonzero(np.diff(block[by])) + 1):
+        for i in range(0, len(some), most):
+            yield int(block[some[0]]), some[i : i + most]
+
+
+def _planes(codes: np.ndarray) -> bytes:
+    """The ORDER + 1 bytes of deepest nodes, first bytes first: sorted nodes compress well so."""
+    return codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, ORDER::-1].T.tobytes()
+
+
+def _from_planes(planes: bytes) -> np.ndarray:
+    rows = np.frombuffer(planes, np.uint8).reshape(ORDER + 1, -1)
+    out = np.full(rows.shape[1], np.uint64(ORDER) << np.uint64(56), dtype=np.uint64)
+    for k, row in enumerate(rows):
+        out |= row.astype(np.uint64) << np.uint64(8 * (ORDER - k))
+    return out
+
+
 # -- documents --------------------------------------------------------------------------
 
 
-def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: str = "text", nodes: int = NODES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col: str = "text", nodes: int = ASK_NODES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """id, n_tokens, n_known, train_tokens, train_types, base_score, score per row of ``docs``.
 
     ``trained`` tells which rows the model learns from.
@@ -338,26 +378,38 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
     counts = stored(word_counts(docs.where(trained).select(text.alias("text")), buckets), "ppm-words")
     tokens, types = (x or 0 for x in counts.agg(F.sum("tokens"), F.sum("types")).first())
     spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(trie(docs.where(trained).select(text.alias("text")), buckets, nodes))
+    whole = trie_blocks(docs.where(trained).select(text.alias("text")), buckets)
+    low = spark.sparkContext.broadcast(lowest_nodes(whole))
+    copies = blocks_for(buckets, ASKING)
     given = docs.select(F.pmod(F.xxhash64(F.col(id_col), text), F.lit(buckets)).alias("block"), text.alias("text"), F.col(id_col).alias("key"))
 
     def asked(part: pd.DataFrame) -> pd.DataFrame:
         found: set[bytes] = {END}
         for t in part["text"]:
             found.update(words(t))
-        by = _bucketed(list(found), buckets)
-        return pd.DataFrame({"bucket": list(by), "block": part["block"].iloc[0], "words": [b" ".join(x) for x in by.values()]})
+        block = int(part["block"].iloc[0])
+        out = [(_WORDS, bucket, 0, block, 0, b" ".join(x)) for bucket, x in _bucketed(list(found), buckets).items()]
+        del found
+        codes = _deepest(_lists(iter([part])))
+        out += [(_NODES, of, block % copies, block, n, _planes(codes[at])) for n, (of, at) in enumerate(_asks(codes, buckets, nodes))]
+        return pd.DataFrame(out, columns=["kind", "part", "copy", "block", "n", "ask"])
 
     def answered(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         if not len(ask):
-            return pd.DataFrame({"block": [], "bucket": [], "counts": []})
-        lists = [x.split(b" ") for x in ask["words"]]
-        count = dict.fromkeys((w for x in lists for w in x), 0)
-        for some, n in zip(have["words"], have["counts"]):
-            for w, c in zip(some.split(b" "), np.frombuffer(n, "<i8").tolist()):
-                if w in count:
-                    count[w] = c
-        return pd.DataFrame({"block": ask["block"], "bucket": ask["bucket"], "counts": [np.fromiter(map(count.__getitem__, x), dtype="<i8", count=len(x)).tobytes() for x in lists]})
+            return pd.DataFrame({"block": [], "kind": [], "part": [], "n": [], "answer": []})
+        if ask["kind"].iloc[0] == _WORDS:
+            lists = [x.split(b" ") for x in ask["ask"]]
+            count = dict.fromkeys((w for x in lists for w in x), 0)
+            for some, n in zip(have["keys"], have["counts"]):
+                for w, c in zip(some.split(b" "), np.frombuffer(n, "<i8").tolist()):
+                    if w in count:
+                        count[w] = c
+            answer = [np.fromiter(map(count.__getitem__, x), dtype="<i8", count=len(x)).tobytes() for x in lists]
+        else:
+            asked_nodes = [_from_planes(x) for x in ask["ask"]]
+            model = _block_model(have, asked_nodes, *low.value)
+            answer = [model.score(x).astype("<f4").tobytes() for x in asked_nodes]
+        return pd.DataFrame({"block": ask["block"], "kind": ask["kind"], "part": ask["part"], "n": ask["n"], "answer": answer})
 
     def added(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         found = {END}
@@ -366,7 +418,8 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
         by = _bucketed(list(found), buckets)
         place: dict[bytes, int] = {}
         counts = []
-        for bucket, n in zip(answers["bucket"], answers["counts"]):
+        of_words = answers[answers["kind"] == _WORDS]
+        for bucket, n in zip(of_words["part"], of_words["answer"]):
             place.update(zip(by[bucket], range(len(place), len(place) + len(by[bucket]))))
             counts.append(np.frombuffer(n, "<i8"))
         n = np.concatenate(counts)
@@ -377,27 +430,42 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
             at = np.fromiter(map(place.__getitem__, x), dtype=np.int64, count=len(x))
             out.append((len(x), int(known[at].sum()), float(base[at].sum())))
         made = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score"])
-        model = _model(table)
-        made["score"] = np.concatenate([model.texts(some) for some in _lists(iter([part]))])
+        del found, by, place
+        codes = _deepest(_lists(iter([part])))
+        asks = [at for _, at in _asks(codes, buckets, nodes)]
+        score = np.full(len(codes), np.nan, dtype=np.float32)
+        of_nodes = answers[answers["kind"] == _NODES]
+        for n, x in zip(of_nodes["n"], of_nodes["answer"]):
+            score[asks[n]] = np.frombuffer(x, "<f4")
+        table = Scores(codes, score)
+        sums = []
+        for some in _lists(iter([part])):
+            data, at, text = _stream(some)
+            sums.append(np.bincount(text, weights=table.get(_codes(data, at))[0], minlength=len(some)))
+        made["score"] = np.concatenate(sums)
         made.insert(0, "id", part["key"].to_numpy())
         return made
 
-    asks = given.groupBy("block").applyInPandas(asked, "bucket long, block long, words binary")
-    answers = asks.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInPandas(answered, "block long, bucket long, counts binary")
+    asks = given.groupBy("block").applyInPandas(asked, "kind int, part long, copy long, block long, n int, ask binary")
+    have = counts.select(F.lit(_WORDS).alias("kind"), F.col("bucket").alias("part"), F.lit(0).cast("long").alias("copy"), F.col("words").alias("keys"), "counts")
+    have = have.unionByName(whole.where("level > 1").select(F.lit(_NODES).alias("kind"), F.col("block").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"), F.col("codes").alias("keys"), "counts"))
+    key = ["kind", "part", "copy"]
+    answers = asks.groupBy(*key).cogroup(have.groupBy(*key)).applyInPandas(answered, "block long, kind int, part long, n int, answer binary")
     kind = dict(docs.dtypes)[id_col]
     made = given.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(added, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
     return made.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), F.lit(types).cast("long").alias("train_types"), "base_score", "score")
 
 
-_MODELS: dict[int, Model] = {}
-
-
-def _model(table) -> Model:
-    """One model per Python worker and broadcast."""
-    if id(table.value) not in _MODELS:
-        _MODELS.clear()
-        _MODELS[id(table.value)] = Model(*table.value)
-    return _MODELS[id(table.value)]
+def _block_model(have: pd.DataFrame, asked: list[np.ndarray], low_codes: np.ndarray, low_counts: np.ndarray) -> Model:
+    """The model of the contexts in a block of the trie, with the contexts of one byte that the asked nodes end in."""
+    ends = np.zeros(256, bool)
+    for x in asked:
+        ends[((x >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64)] = True
+    keep = (low_codes < np.uint64(1 << 56)) | ends[((low_codes >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64)]
+    codes = np.concatenate([low_codes[keep], *(np.frombuffer(x, "<u8") for x in have["keys"])])
+    counts = np.concatenate([low_counts[keep], *(np.frombuffer(x, "<i8") for x in have["counts"])])
+    order = np.argsort(codes)
+    return Model(codes[order], counts[order])
 
 
 def held_out_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, out: int = 2) -> DataFrame:

@@ -80,3 +80,14 @@ def test_fewer_nodes_and_empty(spark, texts, no_texts):
     assert len(some) == 15 and all(r.score <= 0 for r in some)
     none = ppm.lm_scores(texts, ppm.F.lit(False)).where("doc_id = 4").first()
     assert none.train_tokens == 0 and none.n_known == 0 and none.score == pytest.approx(-8 * math.log10(256))
+
+
+def test_whole_trie_however_large(spark, rows, monkeypatch):
+    """Small asks, many blocks and copies of the trie; nothing of the trie is bounded."""
+    monkeypatch.setattr(ppm, "ASKING", 3, raising=False)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.score) for r in ppm.lm_scores(docs, ppm.F.lit(True), nodes=7, block_bytes=300).collect()), key=str)
+    lists = [(i, (t or "").encode().lower().split()) for i, t in rows]
+    model = escape_model([b" ".join(w) + b"\n" for _, w in lists], ppm.ORDER)
+    want = sorted(((i, brute(model, b" ".join(w) + b"\n", ppm.ORDER)) for i, w in lists), key=str)
+    assert [x[0] for x in got] == [x[0] for x in want] and np.allclose([x[1] for x in got], [x[1] for x in want])
