@@ -10,10 +10,14 @@ Rejection is by distance: a text is rejected if it has no letter, or if its
 cosine distance to the nearest centroid is beyond that centroid's radius, the
 largest distance that its own training texts of similar length had, times
 SLACK.  Short texts are far from any centroid, so radii are kept per length
-class.
+class.  A centroid with fewer than FEW different texts of a length class says
+little about their distances: there the largest radius of any centroid counts,
+if it is larger; without any there is no radius and no rejection.
 
-Centroids, document frequencies and radii are learnt from a sample of labelled
-rows: all, or as many (by hash of the id) as hold SAMPLE_BYTES of text.
+Document frequencies and radii are aggregates over all labelled rows.  Centroids
+are found per language, from all its different texts or (by hash of the text)
+about SAMPLE_ROWS of them, repeated texts weighing as often as they occur.  A
+language of few rows is learnt from all of them, however large the corpus.
 
 Defined cases: null text, empty text and text without a letter are ``und`` with
 score 0 and rejected; without rows to learn from every text is; a null language
@@ -30,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +44,10 @@ from starloom.llm.common import fold, text_of
 FEATURES = 1 << 14
 #: Centroids per language.
 CENTROIDS = 4
-#: Bytes of labelled text to learn from, and most rows of it, at the most.
-SAMPLE_BYTES, SAMPLE_ROWS = 16_000_000, 3_000
+#: Different texts of a language that its centroids are found from, about.
+SAMPLE_ROWS = 1_000
+#: Different texts of a length class that a centroid's radius takes.
+FEW = 10
 #: How far beyond the training texts' distance a text may be.
 SLACK = 2.0
 UNKNOWN = "und"
@@ -76,6 +83,9 @@ class Centroids:
     def __init__(self, names: list[str], idf: np.ndarray, centres: np.ndarray, radii: dict[tuple[int, int], float]):
         self.names, self.idf, self.centres, self.radii = names, idf, centres, radii
         self.columns = np.ascontiguousarray(centres.T)
+        self.of: dict[str, range] = {}
+        for i, name in enumerate(names):
+            self.of[name] = range(self.of[name].start if name in self.of else i, i + 1)
 
     def nearest(self, text: str) -> tuple[str, float, bool]:
         """(language, cosine, rejected)"""
@@ -90,11 +100,23 @@ class Centroids:
         known = [r for s in (size - 1, size, size + 1) if (r := self.radii.get((best, s))) is not None]
         return self.names[best], score, bool(known) and 1 - score > SLACK * max(known)
 
+    def own_nearest(self, text: str, lang: str) -> tuple[int, int, float] | None:
+        """(centroid, length class, distance) of the nearest centroid of the text's own language."""
+        found, own = counts(text), self.of.get(lang)
+        if found is None or own is None:
+            return None
+        at = np.flatnonzero(found)
+        cosine = vector(at, found[at], self.idf) @ self.columns[at, own.start : own.stop]
+        best = int(np.argmax(cosine))
+        return own.start + best, length_class(found), 1 - float(cosine[best])
+
 
-def _cluster(vectors: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
-    """Spherical k-means; fewer centroids than k where texts don't differ."""
+def _cluster(vectors: np.ndarray, weight: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
+    """Spherical k-means of different texts; fewer centroids than k where there are fewer."""
+    vectors *= weight[:, None].astype(np.float32)
     rng = np.random.default_rng(seed)
     centres = vectors[rng.choice(len(vectors), size=min(k, len(vectors)), replace=False)]
+    centres = centres / np.linalg.norm(centres, axis=1, keepdims=True)
     for _ in range(15):
         own = np.argmax(vectors @ centres.T, axis=1)
         sums = np.stack([vectors[own == c].sum(axis=0) for c in range(len(centres)) if (own == c).any()])
@@ -102,42 +124,94 @@ def _cluster(vectors: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     return centres
 
 
-def learn(texts: pd.DataFrame) -> Centroids:
-    """texts: text, lang."""
-    found = []
-    for lang, text in zip(texts["lang"], texts["text"]):
-        if (c := counts(text)) is not None:
-            at = np.flatnonzero(c).astype(np.int32)
-            found.append((lang, (at, c[at].astype(np.int32))))
-    df = np.zeros(FEATURES)
-    for _, (at, _) in found:
-        df[at] += 1
-    idf = np.log((1 + len(found)) / (1 + df)) + 1
-    names, centres, radii = [], [], {}
-    for lang in sorted({lang for lang, _ in found}):
-        own = [c for name, c in found if name == lang]
-        vectors = np.zeros((len(own), FEATURES), dtype=np.float32)
-        for row, (at, n) in zip(vectors, own):
-            row[at] = vector(at, n, idf)
-        mine = _cluster(vectors, CENTROIDS)
-        cosine = vectors @ mine.T
-        for best, score, (_, n) in zip(np.argmax(cosine, axis=1), cosine.max(axis=1), own):
-            key = len(names) + int(best), length_class(n)
-            radii[key] = max(radii.get(key, 0.0), 1 - float(score))
-        names += [lang] * len(mine)
-        centres.append(mine)
-    return Centroids(names, idf, np.concatenate(centres) if centres else np.zeros((0, FEATURES), np.float32), radii)
+def _frequencies(given: DataFrame) -> tuple[int, np.ndarray]:
+    """Texts with a letter, and how many of them have each n-gram place."""
+
+    def seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df = np.zeros(FEATURES + 1, dtype=np.int64)  # the last one: texts
+        for batch in batches:
+            for text in batch["text"]:
+                if (c := counts(text)) is not None:
+                    df[:-1] += c > 0
+                    df[-1] += 1
+        at = np.flatnonzero(df)
+        yield pd.DataFrame({"at": at, "n": df[at]})
+
+    out = np.zeros(FEATURES + 1)
+    for r in given.select("text").mapInPandas(seen, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # FEATURES + 1 rows at the most
+        out[r["at"]] = r["n"]
+    return int(out[-1]), out[:-1]
+
+
+def _sample(given: DataFrame) -> DataFrame:
+    """lang, text, n: all different texts of a language with few, about SAMPLE_ROWS of the others, and how often each occurs."""
+    of = F.xxhash64("text", F.lit(5))  # by text alone: copies are taken or left together
+    sizes = given.groupBy("lang").agg(F.approx_count_distinct(of).alias("texts"))
+    share = F.ceil(F.least(F.lit(1.0), F.lit(1.2) * SAMPLE_ROWS / F.col("texts")) * 1_000_000_000)
+    taken = given.join(F.broadcast(sizes), "lang").where(F.pmod(of, F.lit(1_000_000_000)) < share)
+    return taken.groupBy("lang", "text").agg(F.count("*").alias("n"))
+
+
+def _centres(sample: DataFrame, idf: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Names and centroids, by name."""
+
+    def clustered(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("text")
+        vectors, weight = np.zeros((len(part), FEATURES), dtype=np.float32), []
+        for text, n in zip(part["text"], part["n"]):
+            if (c := counts(text)) is not None:
+                at = np.flatnonzero(c)
+                vectors[len(weight), at] = vector(at, c[at], idf)
+                weight.append(n)
+        vectors = vectors[: len(weight)]
+        centres = _cluster(vectors, np.array(weight), CENTROIDS) if weight else vectors
+        return pd.DataFrame({"lang": part["lang"].iloc[0], "n": range(len(centres)), "centre": [c.astype("<f4").tobytes() for c in centres]})
+
+    rows = sorted(sample.groupBy("lang").applyInPandas(clustered, "lang string, n int, centre binary").collect(), key=lambda r: (r["lang"], r["n"]))
+    centres = np.stack([np.frombuffer(r["centre"], "<f4") for r in rows]) if rows else np.zeros((0, FEATURES), np.float32)
+    return [r["lang"] for r in rows], centres
+
+
+def _radii(given: DataFrame, model: Centroids) -> dict[tuple[int, int], float]:
+    """The radius of each centroid by length class, over all training texts."""
+    sent = given.sparkSession.sparkContext.broadcast(model)
+
+    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        most: dict[tuple[int, int], tuple[float, set[int]]] = {}
+        for batch in batches:
+            for text, lang in zip(batch["text"], batch["lang"]):
+                if (found := sent.value.own_nearest(text, lang)) is not None:
+                    centre, size, far = found
+                    before, texts = most.get((centre, size), (0.0, set()))
+                    if len(texts) < FEW:
+                        texts.add(xxhash.xxh64_intdigest(text) >> 1)
+                    most[centre, size] = max(before, far), texts
+        # FEW texts of a task tell as much as all of them
+        yield pd.DataFrame([(c, s, far, h) for (c, s), (far, texts) in most.items() for h in texts], columns=["centre", "size", "far", "text"])
+
+    rows = given.select("text", "lang").mapInPandas(distances, "centre int, size int, far double, text long")
+    found = rows.groupBy("centre", "size").agg(F.max("far").alias("far"), F.count_distinct("text").alias("texts")).collect()
+    tells = [r for r in found if r["texts"] >= FEW and r["far"] > 1e-6]  # else too few texts, or all of one vector
+    out = {(r["centre"], r["size"]): r["far"] for r in tells}
+    widest: dict[int, float] = {}
+    for r in tells:
+        widest[r["size"]] = max(widest.get(r["size"], 0.0), r["far"])
+    for r in found:
+        around = [widest[s] for s in (r["size"] - 1, r["size"], r["size"] + 1) if s in widest]
+        if (r["centre"], r["size"]) not in out and around:
+            out[r["centre"], r["size"]] = max(r["far"], *around)
+    return out
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5) -> Centroids:
     """Learns from labelled rows whose fold of the id isn't 0."""
     key = F.col(id_col)
-    given = docs.select(key.alias("id"), text_of(F.col(text_col)).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & (fold(key, folds) != 0))
-    size, rows = given.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    share = int(1e6 * min(1.0, SAMPLE_BYTES / max(size or 0, 1), SAMPLE_ROWS / max(rows, 1)))
-    # by text too, so that rows without an id, or of one, aren't taken or left together
-    sample = given.where(F.pmod(F.xxhash64("id", "text", F.lit(5)), F.lit(1_000_000)) < share).select("text", "lang")
-    return learn(sample.toPandas())
+    given = docs.where(F.col(lang_col).isNotNull() & (fold(key, folds) != 0)).select(text_of(F.col(text_col)).alias("text"), F.col(lang_col).alias("lang"))
+    n, df = _frequencies(given)
+    idf = np.log((1 + n) / (1 + df)) + 1
+    names, centres = _centres(_sample(given), idf)
+    model = Centroids(names, idf, centres, {})
+    return Centroids(names, idf, centres, _radii(given, model))
 
 
 def answers(docs: DataFrame, model: Centroids, text_col: str = "text") -> Column:

@@ -41,6 +41,21 @@ def test_languages(corpus, no_texts):
     assert langid.keep_known(docs.unionByName(far.withColumn("lang", langid.F.lit(None).cast("string")))).where("doc_id = 1 and text like 'qx%'").count() == 0
 
 
+def test_small_language_in_a_large_corpus(spark, monkeypatch):
+    """A language far below the sample's share is learnt whole and kept."""
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 60)
+    rng = random.Random(7)
+    words = WORDS | {"es": ["el", "perro", "casa", "rápido", "niño"]}
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(20)), lang) for i in range(3000) for lang in ["es" if i % 150 == 0 else rng.choice(list(WORDS))]]
+    rows += [(9000 + i, "hola amigo mío qué tal", "one text") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.predictions(docs).collect()}
+    small = [got[i] for i, _, lang in rows if lang == "es"]
+    assert len(small) == 20 and all(r.lang_pred == "es" and not r.rejected for r in small)
+    assert not any(got[9000 + i].rejected for i in range(3))
+    assert sum(r.rejected for r in got.values()) == 0
+
+
 def test_learning_nothing(spark):
     docs = spark.createDataFrame([(1, "the house", None)], "doc_id long, text string, lang string")
     assert langid.predictions(docs).first().lang_pred == "und"
