@@ -7,8 +7,10 @@ the common weight is 0.75 or more of the united weight.
 
 1. A window that matches holds 0.75 of the item's shingles, so of any
    n - ceil(0.75 n) + 1 of them at least one.  Only these (the ones with the
-   smallest hashes) are looked up, and a window is laid where one is found, so
-   that the shingle stands in the window where it stands in the item.
+   smallest hashes) are looked up.  A whole window and an item of n shingles each
+   share ceil(6 n / 7) at least, so that the window holds all looked up but
+   n - ceil(6 n / 7): every window that holds as many is laid, wherever in it
+   they stand.
 2. Each window and item has a 64-bit SimHash.  It is cut into RADIUS + 1 blocks;
    fingerprints within RADIUS bits agree in a block at least, so that the join on
    (length, block, bits) returns all of them, and their distance is then counted.
@@ -25,7 +27,7 @@ Defined cases: null and empty texts and items have no shingles and match
 nothing; an item of fewer than five words has its whole sequence as its one
 shingle; a document shorter than an item is one window; documents equal in id
 and text count once, the others each by themselves, null ids included; of equal
-similarities the first window laid is returned; repeated items are items each (of
+similarities the first window is returned; repeated items are items each (of
 the same id: once); empty tables give an empty result; of the documents only id
 and text are read, whatever other columns are called.
 """
@@ -100,13 +102,20 @@ def prepared_items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def windows(docs: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """doc_id, doc_hash, length, start, shingles of the windows to look at.  items: of one width, one group."""
-    probes = items.select("length", F.explode("probes").alias("p")).select("length", F.col("p.h").alias("h"), F.col("p.at").alias("at")).distinct()
+    size = F.size("shingles")
+    least = F.size("probes") - size + F.ceil(size * (2 * PERCENT) / (100 + PERCENT)).cast("int")
+    probes = items.select("length", F.xxhash64("shingles").alias("of"), F.greatest(least, F.lit(1)).alias("least"), F.explode(F.array_distinct(F.col("probes.h"))).alias("h")).distinct()
     cut = docs.withColumn("w", _words(F.col("text"))).withColumn("s", _fixed_shingles(F.col("w"), width))
     spread = cut.select("doc_id", "doc_hash", F.size("w").alias("n"), F.posexplode_outer("s").alias("pos", "h"))  # outer: else the filter for empty arrays computes them again
     hits = spread.join(F.broadcast(probes), "h")  # GROUP_SHINGLES rows, or one item's, at the most
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("length")))
+    found = hits.groupBy("doc_id", "doc_hash", "n", "length", "of", "least").agg(F.array_sort(F.collect_list("pos")).alias("at"))
+    # between the last of ``least`` places in a row at the window's end and the first at its start
+    runs = F.transform(F.slice("at", F.lit(1), F.greatest(F.size("at") - F.col("least") + 1, F.lit(0))), lambda first, i: F.struct((F.get("at", i + F.col("least") - 1) - F.col("length") + width).alias("lo"), first.alias("hi")))
+    fit = F.transform(F.filter(runs, lambda r: r["lo"] <= r["hi"]), lambda r: F.sequence(r["lo"], r["hi"]))
+    fit = F.filter(F.array_distinct(F.flatten(fit)), lambda x: (x >= 0) & (x <= F.col("n") - F.col("length")))
+    starts = F.when(F.col("n") <= F.col("length"), F.array(F.lit(0))).otherwise(fit)
     # distinct first: a document's windows are at most its words times the lengths of items
-    laid = hits.select("doc_id", "doc_hash", "length", start.alias("start")).distinct().groupBy("doc_id", "doc_hash").agg(F.collect_list(F.struct("length", "start")).alias("laid"))
+    laid = found.select("doc_id", "doc_hash", "length", F.explode(starts).alias("start")).distinct().groupBy("doc_id", "doc_hash").agg(F.collect_list(F.struct("length", "start")).alias("laid"))
     laid = laid.select(F.col("doc_id").alias("of_id"), F.col("doc_hash").alias("of_hash"), "laid")
     found = docs.join(laid, docs["doc_id"].eqNullSafe(F.col("of_id")) & (docs["doc_hash"] == F.col("of_hash")))
     found = found.withColumn("w", _words(F.col("text"))).withColumn("s", _fixed_shingles(F.col("w"), width))

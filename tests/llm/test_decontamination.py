@@ -53,6 +53,30 @@ def test_brute_force(spark, texts, no_texts):
     assert D.clean(texts, bench.where("false")).count() == texts.count()
 
 
+def test_inserted_deleted_and_moved_words(spark):
+    """Windows at the threshold hold the shingles, but not in the item's places."""
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(2000)]
+    items = [(i, [rng.choice(words) for _ in range(rng.choice([40, 60, 120]))]) for i in range(8)]
+    docs = []
+    for i in range(40):
+        part = list(items[i % 8][1])
+        for _ in range(rng.choice([1, 1, 2])):
+            at = rng.randrange(len(part))
+            if rng.random() < 0.5:
+                part[at:at] = [rng.choice(words) for _ in range(rng.randrange(1, 4))]
+            else:
+                del part[at : at + rng.randrange(1, 4)]
+        if i % 4 == 0:  # halves change places: every shingle but the middle ones is there
+            part = items[i % 8][1]
+            part = part[len(part) // 2 :] + part[: len(part) // 2]
+        docs.append((i, " ".join(rng.choices(words, k=rng.randrange(20)) + part + rng.choices(words, k=rng.randrange(20)))))
+    texts = [(i, " ".join(x)) for i, x in items]
+    got = {(r.doc_id, r.item_id): r.similarity for r in D.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(texts, "item_id long, text string")).collect()}
+    want = brute(docs, texts)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
 def test_null_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d e f g"), (None, "other words here"), (1, "a b c d e f g")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "A b c d e f g")], "item_id long, text string")
