@@ -2,6 +2,7 @@
 
     python -m starloom stage  --src CSV_DIR --warehouse ROOT [--tables a,b]
     python -m starloom build  --warehouse ROOT --run-ts "2025-03-01 00:00:00" [--unknown drop|member]
+                              [--load append|if_empty|rebuild]
     python -m starloom verify --warehouse ROOT
     python -m starloom run    --src CSV_DIR --warehouse ROOT --run-ts ... [--catalog DB --buckets N]
     python -m starloom report --warehouse ROOT top_scorers|injury_impact|value_trend PATTERN|...
@@ -41,6 +42,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     b.add_argument("--warehouse", required=True)
     b.add_argument("--run-ts", required=True)
     b.add_argument("--unknown", choices=("drop", "member"), default="drop")
+    b.add_argument("--load", choices=("append", "if_empty", "rebuild"), default="append")
     v = sub.add_parser("verify", help="counts and all quality checks")
     v.add_argument("--warehouse", required=True)
     r = sub.add_parser("run", help="stage + build + verify")
@@ -48,6 +50,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     r.add_argument("--warehouse", required=True)
     r.add_argument("--run-ts", required=True)
     r.add_argument("--unknown", choices=("drop", "member"), default="drop")
+    r.add_argument("--load", choices=("append", "if_empty", "rebuild"), default="append")
+    r.add_argument("--max-rejected", type=float, default=None, help="share of a fact's rows whose loss fails the run")
     r.add_argument("--catalog", default=None, help="also store as bucketed tables of this database")
     r.add_argument("--buckets", type=int, default=64)
     q = sub.add_parser("report", help="an analyst query")
@@ -57,6 +61,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     q.add_argument("arg", nargs="?", default=None)
     a = p.parse_args(argv)
 
+    from .operators.quality import labelled
     from .plans import analytics as N
     from .plans import warehouse as W
 
@@ -67,21 +72,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         W.load_staging(spark, a.src, stage_dir, tables).show(truncate=False)
     elif a.cmd == "build":
         st = W.read_staging(spark, stage_dir)
-        prev = W.open_warehouse(spark, a.warehouse)
-        wh = W.build_warehouse(spark, st, a.run_ts, prev or None, a.unknown)
-        paths = W.write_warehouse(spark, wh, a.warehouse)
-        print(f"{len(paths)} tables written")
+        lines = W.load_warehouse(spark, st, a.warehouse, a.run_ts, a.unknown, a.load)
+        lines.orderBy("table_name", "reason").show(100, truncate=False)
     elif a.cmd == "verify":
         counts, checks, passed = W.verify(W.open_warehouse(spark, a.warehouse))
         counts.orderBy("table_kind", "table_name").show(50, truncate=False)
-        checks.where("failures > 0").orderBy("table_name", "check_name").show(200, truncate=False)
+        labelled(checks).where("failures > 0").orderBy("table_name", "check_name").show(200, truncate=False)
         passed.show()
     elif a.cmd == "run":
         status, counts, checks, passed, audit = W.run_pipeline(spark, a.src, a.warehouse, a.run_ts, a.unknown,
-                                                               a.catalog, a.buckets)
+                                                               a.catalog, a.buckets, a.load, a.max_rejected)
         status.show(truncate=False)
         audit.orderBy("table_name").show(50, truncate=False)
-        checks.where("failures > 0").orderBy("table_name", "check_name").show(200, truncate=False)
+        labelled(checks).where("failures > 0").orderBy("table_name", "check_name").show(200, truncate=False)
         passed.show()
     elif a.cmd == "report":
         wh = W.open_warehouse(spark, a.warehouse)

@@ -67,11 +67,6 @@ def _c(c: ColumnOrName) -> Column:
 
 # --- F1, F2, F3 -------------------------------------------------------------
 
-def lenient_int(c: ColumnOrName) -> Column:
-    """F1 on dirty input: cast to int, NULL when it does not parse."""
-    return _c(c).try_cast("int")
-
-
 def first_digits_or(c: ColumnOrName, default: int = UNKNOWN_TIER) -> Column:
     """first run of digits as an int, ``default`` when there is none."""
     return F.coalesce(F.regexp_substr(_c(c), F.lit("[0-9]+")).try_cast("int"), F.lit(default))
@@ -214,14 +209,19 @@ def epoch_seconds(ts: ColumnOrName) -> Column:
 
 # --- F19..F26 ----------------------------------------------------------------
 
-def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
-    """Unrounded double ratio; NULL when the denominator is 0/NULL."""
-    return _c(num).cast("double") / F.nullif(_c(den), F.lit(0)).cast("double")
+def rate(num: ColumnOrName, den: ColumnOrName, scale: int = 4, times: int = 1) -> Column:
+    """``num * times / den`` as decimal(10, scale), rounded half away from zero.
+
+    NULL when the denominator is 0 or NULL, and where the quotient has more
+    digits than the declared column holds.
+    """
+    top = _c(num).cast("decimal(18,2)") * F.lit(times).cast("decimal(3,0)")
+    return (top / F.nullif(_c(den).cast("decimal(15,2)"), F.lit(0))).try_cast(f"decimal(10,{scale})")
 
 
 def pct_change(new: ColumnOrName, old: ColumnOrName) -> Column:
-    """(new - old) / old * 100 as double; NULL when old is 0/NULL."""
-    return ratio(_c(new) - _c(old), old) * F.lit(100.0)
+    """(new - old) / old * 100 as decimal(10,4); NULL when old is 0/NULL."""
+    return rate(_c(new) - _c(old), old, times=100)
 
 
 def severity_score(days: ColumnOrName, thresholds: Sequence[int] = SEVERITY_THRESHOLDS) -> Column:
@@ -235,7 +235,7 @@ def severity_score(days: ColumnOrName, thresholds: Sequence[int] = SEVERITY_THRE
 
 def chemistry_score(joint: ColumnOrName, minutes: ColumnOrName) -> Column:
     """F25 (our default): joint goal participations per 90 shared minutes."""
-    return ratio(joint, minutes) * F.lit(90.0)
+    return rate(joint, minutes, times=90)
 
 
 def status_label(n: ColumnOrName, ok: str = "OK", empty: str = "EMPTY") -> Column:
@@ -243,6 +243,11 @@ def status_label(n: ColumnOrName, ok: str = "OK", empty: str = "EMPTY") -> Colum
     return F.when(_c(n) > 0, F.lit(ok)).otherwise(F.lit(empty))
 
 
+def failure_label(n: ColumnOrName, severity: ColumnOrName) -> Column:
+    """the check's severity (INFO, WARNING, ERROR) when something failed, else OK."""
+    return F.when(_c(n) > 0, _c(severity)).otherwise(F.lit("OK"))
+
+
 def to_money(c: ColumnOrName, precision: int = 15, scale: int = 2) -> Column:
     """Exact decimal for money columns so sums are order-independent."""
     return _c(c).cast(f"decimal({precision},{scale})")

@@ -6,18 +6,31 @@ inner joins, T8; ``'member'`` first adds inferred members, J8), the other
 dimensions are optional (left joins, NULL key when unknown).  Dimensions are
 joined unhinted unless their size is bounded (calendar, seeds), so AQE picks a
 broadcast when the measured size allows it and a shuffle join otherwise.
+
+Equal source rows are combined into one with their number before anything is
+shuffled, and a fact row's key is the hash of its source row and its ordinal
+among the equal ones (W1): the key needs no order, and a row has the same key
+in every run.  Each builder's ``split_*`` form returns all source rows, the
+accepted ones as fact rows (``reject_reason`` NULL, one row each) and the
+others with the reason and their number in ``n_rows``, so that rows in = rows
+out + rows by reason.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from .keys import get_or_create_members, lookup_sk, sequence_keys
-from .merge import pick_one
+from .keys import content_key, frequent_keys, get_or_create_members, lookup_sk
+from .merge import order_value
 from .windows import previous_in_group
 
+REASON, ROWS = "reject_reason", "n_rows"
+_CONTENT = "__content"
+
 # Our rules (the reference gives none) from transfer text to a seeded code;
 # ordered, first match wins, substring match on the lower-cased text.
 TRANSFER_TYPE_RULES = (
@@ -44,14 +57,85 @@ def transfer_type_code(text: str | Column, rules=TRANSFER_TYPE_RULES, default: s
     return F.when(t.isNull() | (F.trim(t) == ""), F.lit("UNKNOWN")).otherwise(out.otherwise(F.lit(default)))
 
 
-def _player(fact: DataFrame, players: DataFrame, key: str, out: str = "player_sk", unknown: str = "drop") -> DataFrame:
-    how = "inner" if unknown == "drop" else "left"
-    return lookup_sk(fact, players, key, "player_nk", "player_sk", out_col=out, how=how, current_only=True)
+def _player(fact: DataFrame, players: DataFrame, key: str, out: str = "player_sk", hot: DataFrame | None = None) -> DataFrame:
+    return lookup_sk(fact, players, key, "player_nk", "player_sk", out_col=out, current_only=True, hot=hot)
+
+
+def _team(fact: DataFrame, teams: DataFrame, key: str, out: str, hot: DataFrame | None) -> DataFrame:
+    return lookup_sk(fact, teams, key, "team_nk", "team_sk", out_col=out, cast_to="string", hot=hot)
+
+
+def _hot(source: DataFrame, key: str, spread: bool, cast_to: str | None = None) -> DataFrame | None:
+    k = F.col(key).cast(cast_to) if cast_to else F.col(key)
+    return frequent_keys(source, k) if spread else None
+
+
+def _copies(source: DataFrame) -> DataFrame:
+    """Equal source rows once, with their number and the hash of their content."""
+    cells = source.groupBy(*source.columns).agg(F.count(F.lit(1)).alias(ROWS))
+    return cells.withColumn(_CONTENT, F.lower(F.hex(content_key(source.columns))))
+
+
+def _reason(*rules: tuple[str, Column]) -> Column:
+    """The first rule that holds, NULL for an accepted row."""
+    out = F.lit(None).cast("string")
+    for name, cond in reversed(rules):
+        out = F.when(cond, F.lit(name)).otherwise(out)
+    return out
+
 
+def _unknown(unknown: str, *rules: tuple[str, Column]) -> list[tuple[str, Column]]:
+    """Rules that hold only where unknown members aren't created."""
+    return list(rules) if unknown == "drop" else []
 
-def _unknown_ids(*pairs: tuple[str, str]) -> list[Column]:
-    """The source id where the key is NULL: a unique constraint keeps NULLs apart."""
-    return [F.when(F.col(sk).isNull(), F.col(nk).cast("string")).alias(f"__unknown_{i}") for i, (sk, nk) in enumerate(pairs)]
+
+def _record(*cols: str) -> Column:
+    """The source record's own key, NULL parts as ''."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]).alias("source_record_id")
+
+
+def _keyed(f: DataFrame, sk: str, run_ts) -> DataFrame:
+    """Accepted rows one by one under their keys; rejected ones keep their number."""
+    accepted = F.col(REASON).isNull()
+    f = f.withColumn("__ordinal", F.explode(F.when(accepted, F.sequence(F.lit(1).cast("long"), F.col(ROWS))).otherwise(
+        F.array(F.lit(1).cast("long")))))
+    key = F.when(accepted, F.unhex(F.md5(F.concat(F.col(_CONTENT), F.lit("|"), F.col("__ordinal").cast("string")))))
+    loaded = F.current_timestamp().cast("timestamp_ntz") if run_ts is None else F.lit(run_ts).cast("timestamp_ntz")
+    f = f.withColumn(sk, key).withColumn(ROWS, F.when(accepted, F.lit(1).cast("long")).otherwise(F.col(ROWS)))
+    f = f.withColumn("load_datetime", loaded)
+    rest = [c for c in f.columns if c not in (sk, REASON, ROWS, _CONTENT, "__ordinal")]
+    return f.select(sk, *rest, REASON, ROWS)
+
+
+def _one_per_grain(f: DataFrame, grain: Sequence[str], prefer: Sequence) -> DataFrame:
+    """Of the accepted rows of a grain the first by ``prefer`` (then by content) stays; the others are duplicates.
+
+    The winner comes from a combined aggregate and is found again by its
+    content hash, which no two rows share, so a grain of any size is never
+    one task.
+    """
+    order = F.struct(*[v for item in prefer for v in order_value(f, item)], F.col(_CONTENT))
+    best = f.where(F.col(REASON).isNull()).groupBy(*grain).agg(F.min_by(_CONTENT, order).alias("__best")).select("__best")
+    f = f.join(best, F.col(_CONTENT) == F.col("__best"), "left")
+    # the winner itself, then its own copies or the whole row as duplicates
+    accepted, won = F.col(REASON).isNull(), F.col("__best").isNotNull()
+    one = lambda reason, n: F.struct(reason.cast("string").alias("r"), n.cast("long").alias("n"))
+    duplicate = F.lit("duplicate")
+    parts = (F.when(~accepted, F.array(one(F.col(REASON), F.col(ROWS))))
+             .when(won, F.array(one(F.lit(None), F.lit(1)), one(duplicate, F.col(ROWS) - 1)))
+             .otherwise(F.array(one(duplicate, F.col(ROWS)))))
+    f = f.withColumn("__part", F.explode(parts)).where(F.col("__part.n") > 0)
+    return f.withColumn(REASON, F.col("__part.r")).withColumn(ROWS, F.col("__part.n")).drop("__part", "__best")
+
+
+def accepted(split: DataFrame) -> DataFrame:
+    """The fact rows of a split."""
+    return split.where(F.col(REASON).isNull()).drop(REASON, ROWS)
+
+
+def rejected(split: DataFrame) -> DataFrame:
+    """The rejected rows of a split: source record, reason and number."""
+    return split.where(F.col(REASON).isNotNull())
 
 
 def ensure_players(players: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -90,22 +174,12 @@ def ensure_seasons(seasons: DataFrame, names: DataFrame) -> DataFrame:
         "is_current_season": F.lit(False)})
 
 
-def _number(df: DataFrame, sk: str, order: list) -> DataFrame:
-    """Fact keys in ``order``, completed by every other column, so the order
-    is total and a rebuild gives each row the same key (rows equal in every
-    column are interchangeable)."""
-    named = {o for o in order if isinstance(o, str)} | {o[0] for o in order if isinstance(o, tuple)}
-    rest = [f.name for f in df.schema.fields
-            if f.name not in named and f.dataType.typeName() not in ("struct", "array", "map")]
-    return sequence_keys(df, [*order, *rest], sk)
-
-
-def fact_player_performance(perf: DataFrame, players: DataFrame, teams: DataFrame, comps: DataFrame,
-                            seasons: DataFrame, unknown: str = "drop") -> DataFrame:
-    """Player × season × competition × team rows with per-match ratios."""
-    f = perf.withColumn("__comp", X.slug("competition_name"))
-    f = _player(f, players, "player_id", unknown=unknown)
-    f = lookup_sk(f, teams, "team_id", "team_nk", "team_sk", cast_to="string")
+def split_player_performance(perf: DataFrame, players: DataFrame, teams: DataFrame, comps: DataFrame,
+                             seasons: DataFrame, unknown: str = "drop", run_ts=None, spread: bool = True) -> DataFrame:
+    """X1 with the rejected rows: player × season × competition × team rows with per-match rates."""
+    f = _copies(perf).withColumn("__comp", X.slug("competition_name"))
+    f = _player(f, players, "player_id", hot=_hot(perf, "player_id", spread))
+    f = _team(f, teams, "team_id", "team_sk", _hot(perf, "team_id", spread, "string"))
     f = lookup_sk(f, comps, "__comp", "competition_id", "competition_sk")
     f = lookup_sk(f, seasons, "season_name", "season_name", "season_sk")
     f = f.select(
@@ -113,18 +187,16 @@ def fact_player_performance(perf: DataFrame, players: DataFrame, teams: DataFram
         "nb_in_group", "nb_on_pitch", "goals", "assists", "own_goals", "subed_in", "subed_out",
         "yellow_cards", "second_yellow_cards", "direct_red_cards", "penalty_goals", "minutes_played",
         "goals_conceded", "clean_sheets",
-        X.ratio("goals", "nb_on_pitch").alias("goals_per_match"),
-        X.ratio("assists", "nb_on_pitch").alias("assists_per_match"),
-        X.ratio("minutes_played", "goals").alias("minutes_per_goal"),
+        X.rate("goals", "nb_on_pitch").alias("goals_per_match"),
+        X.rate("assists", "nb_on_pitch").alias("assists_per_match"),
+        X.rate("minutes_played", "goals", scale=2).alias("minutes_per_goal"),
         (F.col("yellow_cards") + F.col("second_yellow_cards") + F.col("direct_red_cards")).alias("cards_total"),
-        F.lit("club").alias("source_system"),
-        F.concat_ws("|", "player_id", "season_name", "competition_id", "team_id").alias("source_record_id"),
-    )
-    return _number(f, "performance_sk", ["player_sk", "season_name", "source_record_id", "competition_name",
-                                         "minutes_played", "goals", "assists", "nb_on_pitch"])
+        F.lit("club").alias("source_system"), _record("player_id", "season_name", "competition_id", "team_id"),
+        _reason(*_unknown(unknown, ("unknown_player", F.col("player_sk").isNull()))).alias(REASON), ROWS, _CONTENT)
+    return _keyed(f, "performance_sk", run_ts)
 
 
-def _value_date(df: DataFrame, c: str) -> Column:
+def value_date(df: DataFrame, c: str) -> Column:
     """``date_unix`` is a DATE in the DDL; epoch seconds are accepted too."""
     col = F.col(c)
     t = df.schema[c].dataType.typeName()
@@ -137,41 +209,41 @@ def _value_date(df: DataFrame, c: str) -> Column:
     return X.epoch_to_date(col.cast("long"))
 
 
-def fact_market_value(history: DataFrame, latest: DataFrame, players: DataFrame, unknown: str = "drop",
-                      include_latest: bool = True) -> DataFrame:
-    """Both value sources tagged by ``value_source`` (T20), with the change
-    against the previous value of the same player and source (W2)."""
-    h = history.select("player_id", _value_date(history, "date_unix").alias("value_date"), F.col("value"),
-                       F.lit("historical").alias("value_source"), F.lit(False).alias("is_latest_value"))
-    src = h
+def split_market_value(history: DataFrame, latest: DataFrame, players: DataFrame, unknown: str = "drop",
+                       include_latest: bool = True, run_ts=None, spread: bool = True) -> DataFrame:
+    """X2 with the rejected rows: both value sources tagged by ``value_source`` (T20), with the
+    change against the previous value of the same player and source (W2)."""
+    src = history.select("player_id", value_date(history, "date_unix").alias("value_date"),
+                         X.to_money("value").alias("market_value"), F.lit("historical").alias("value_source"))
     if include_latest:
-        src = h.unionByName(latest.select("player_id", _value_date(latest, "date_unix").alias("value_date"), F.col("value"),
-                                          F.lit("latest").alias("value_source"), F.lit(True).alias("is_latest_value")))
-    src = src.where(F.col("value").isNotNull() & F.col("value_date").isNotNull())
-    f = _player(src, players, "player_id", unknown=unknown)
+        src = src.unionByName(latest.select("player_id", value_date(latest, "date_unix").alias("value_date"),
+                                            X.to_money("value").alias("market_value"),
+                                            F.lit("latest").alias("value_source")))
+    f = _player(_copies(src), players, "player_id", hot=_hot(src, "player_id", spread))
     f = f.withColumn("date_sk", X.date_key("value_date"))
-    # UNIQUE(player_sk, date_sk, value_source): keep the highest value of a day; the constraint
-    # keeps NULL keys apart, so the source id stands in for an unknown player
-    f = pick_one(f.select("player_sk", "date_sk", "value_source", "value_date", "value", "is_latest_value", "player_id"),
-                 ["player_sk", "player_id", "date_sk", "value_source"], [("value", "desc", "last")])
-    f = f.withColumn("market_value", X.to_money("value"))
-    # W2 without a per-player window: a hot player stays spread over tasks
-    f = previous_in_group(f, ["player_sk", "player_id", "value_source"], ["date_sk"], ["market_value"], prefix="__prev_")
-    f = (f.withColumnRenamed("__prev_market_value", "previous_value")
-         .withColumn("value_change", F.col("market_value") - F.col("previous_value"))
-         .withColumn("value_change_pct", X.pct_change("market_value", "previous_value"))
-         .withColumn("source_record_id", F.concat_ws("|", "player_id", "value_date", "value_source")))
-    f = f.select("player_sk", "date_sk", "value_date", "market_value", "is_latest_value", "value_source",
-                 "previous_value", "value_change", "value_change_pct", "source_record_id")
-    return _number(f, "market_value_sk", ["player_sk", "date_sk", "value_source"])
-
-
-def fact_transfer(transfers: DataFrame, players: DataFrame, teams: DataFrame, seasons: DataFrame,
-                  transfer_types: DataFrame, unknown: str = "drop") -> DataFrame:
-    """from/to team in two roles (J4), type text → seeded code (our rules)."""
-    f = _player(transfers, players, "player_id", unknown=unknown)
-    f = lookup_sk(f, teams, "from_team_id", "team_nk", "team_sk", out_col="from_team_sk", cast_to="string")
-    f = lookup_sk(f, teams, "to_team_id", "team_nk", "team_sk", out_col="to_team_sk", cast_to="string")
+    f = f.withColumn(REASON, _reason(("no_date", F.col("value_date").isNull()), ("no_value", F.col("market_value").isNull()),
+                                     *_unknown(unknown, ("unknown_player", F.col("player_sk").isNull()))))
+    # UNIQUE(player_sk, date_sk, value_source): the highest value of a day; the constraint keeps
+    # NULL keys apart, so the source id stands in for an unknown player
+    f = _one_per_grain(f, ["player_sk", "player_id", "date_sk", "value_source"], [("market_value", "desc", "last")])
+    good = previous_in_group(f.where(F.col(REASON).isNull()), ["player_sk", "player_id", "value_source"], ["date_sk"],
+                             ["market_value"], span=F.trunc("value_date", "month"), prefix="__previous_")
+    f = good.withColumnRenamed("__previous_market_value", "previous_value").unionByName(
+        f.where(F.col(REASON).isNotNull()), allowMissingColumns=True)
+    f = f.select(
+        "player_sk", "date_sk", "value_date", "market_value", (F.col("value_source") == "latest").alias("is_latest_value"),
+        "value_source", "previous_value", (F.col("market_value") - F.col("previous_value")).cast("decimal(15,2)").alias("value_change"),
+        X.pct_change("market_value", "previous_value").alias("value_change_pct"),
+        _record("player_id", "value_date", "value_source"), REASON, ROWS, _CONTENT)
+    return _keyed(f, "market_value_sk", run_ts)
+
+
+def split_transfer(transfers: DataFrame, players: DataFrame, teams: DataFrame, seasons: DataFrame,
+                   transfer_types: DataFrame, unknown: str = "drop", run_ts=None, spread: bool = True) -> DataFrame:
+    """X3 with the rejected rows: from/to team in two roles (J4), type text → seeded code (our rules)."""
+    f = _player(_copies(transfers), players, "player_id", hot=_hot(transfers, "player_id", spread))
+    f = _team(f, teams, "from_team_id", "from_team_sk", _hot(transfers, "from_team_id", spread, "string"))
+    f = _team(f, teams, "to_team_id", "to_team_sk", _hot(transfers, "to_team_id", spread, "string"))
     f = lookup_sk(f, seasons, "season_name", "season_name", "season_sk")
     f = f.withColumn("__code", transfer_type_code("transfer_type"))
     f = lookup_sk(f, F.broadcast(transfer_types), "__code", "transfer_type_code", "transfer_type_sk")
@@ -179,18 +251,18 @@ def fact_transfer(transfers: DataFrame, players: DataFrame, teams: DataFrame, se
         "player_sk", "from_team_sk", "to_team_sk", X.date_key("transfer_date").alias("transfer_date_sk"),
         "season_sk", "transfer_type_sk", "season_name",
         X.to_money("transfer_fee").alias("transfer_fee"), X.to_money("value_at_transfer").alias("value_at_transfer"),
-        X.ratio("transfer_fee", "value_at_transfer").alias("fee_to_value_ratio"),
+        X.rate("transfer_fee", "value_at_transfer").alias("fee_to_value_ratio"),
         F.col("transfer_type").alias("transfer_type_text"),
-        F.concat_ws("|", "player_id", "transfer_date", "from_team_id", "to_team_id").alias("source_record_id"),
-    )
-    return _number(f, "transfer_sk", ["player_sk", "transfer_date_sk", "source_record_id", "transfer_type_text",
-                                      "transfer_fee", "value_at_transfer"])
+        _record("player_id", "transfer_date", "from_team_id", "to_team_id"),
+        _reason(*_unknown(unknown, ("unknown_player", F.col("player_sk").isNull()))).alias(REASON), ROWS, _CONTENT)
+    return _keyed(f, "transfer_sk", run_ts)
 
 
-def fact_injury(injuries: DataFrame, players: DataFrame, seasons: DataFrame, injury_types: DataFrame,
-                unknown: str = "drop", rules=X.INJURY_RULES, default=X.INJURY_DEFAULT) -> DataFrame:
-    """Nullable from/end date keys (J6), injury type by the same rules."""
-    f = _player(injuries, players, "player_id", unknown=unknown)
+def split_injury(injuries: DataFrame, players: DataFrame, seasons: DataFrame, injury_types: DataFrame,
+                 unknown: str = "drop", rules=X.INJURY_RULES, default=X.INJURY_DEFAULT, run_ts=None,
+                 spread: bool = True) -> DataFrame:
+    """X4 with the rejected rows: nullable from/end date keys (J6), injury type by the same rules."""
+    f = _player(_copies(injuries), players, "player_id", hot=_hot(injuries, "player_id", spread))
     f = lookup_sk(f, seasons, "season_name", "season_name", "season_sk")
     f = f.withColumn("__c", X.categorize("injury_reason", rules, default))
     t = injury_types.select(F.col("injury_category").alias("__cat"), F.col("injury_severity").alias("__sev"),
@@ -201,48 +273,97 @@ def fact_injury(injuries: DataFrame, players: DataFrame, seasons: DataFrame, inj
         "player_sk", X.date_key("from_date").alias("injury_from_date_sk"),
         X.date_key("end_date").alias("injury_end_date_sk"), "season_sk", "injury_type_sk", "season_name",
         "injury_reason", "days_missed", "games_missed",
-        X.ratio("days_missed", "games_missed").alias("avg_days_per_game"),
+        X.rate("days_missed", "games_missed", scale=2).alias("avg_days_per_game"),
         X.severity_score("days_missed").alias("severity_score"),
-        F.concat_ws("|", "player_id", "season_name", "from_date", "injury_reason").alias("source_record_id"),
-    )
-    return _number(f, "injury_sk", ["player_sk", "source_record_id", "injury_end_date_sk", "days_missed",
-                                    "games_missed"])
+        _record("player_id", "season_name", "from_date", "injury_reason"),
+        _reason(*_unknown(unknown, ("unknown_player", F.col("player_sk").isNull()))).alias(REASON), ROWS, _CONTENT)
+    return _keyed(f, "injury_sk", run_ts)
 
 
-def fact_national_performance(nat: DataFrame, players: DataFrame, teams: DataFrame,
-                              unknown: str = "drop") -> DataFrame:
-    """Unique (player, national team); the row with most matches wins."""
-    f = _player(nat, players, "player_id", unknown=unknown)
-    f = lookup_sk(f, teams, "team_id", "team_nk", "team_sk", out_col="national_team_sk", cast_to="string")
+def split_national_performance(nat: DataFrame, players: DataFrame, teams: DataFrame, unknown: str = "drop",
+                               run_ts=None, spread: bool = True) -> DataFrame:
+    """X5 with the rejected rows: unique (player, national team); the row with most matches wins."""
+    f = _player(_copies(nat), players, "player_id", hot=_hot(nat, "player_id", spread))
+    f = _team(f, teams, "team_id", "national_team_sk", _hot(nat, "team_id", spread, "string"))
     f = f.select(
         "player_sk", "national_team_sk", X.date_key("first_game_date").alias("first_game_date_sk"),
         F.col("matches").alias("total_matches"), F.col("goals").alias("total_goals"),
-        X.ratio("goals", "matches").alias("goals_per_match"),
-        F.concat_ws("|", "player_id", "team_id").alias("source_record_id"),
-        *_unknown_ids(("player_sk", "player_id"), ("national_team_sk", "team_id")),
-    )
-    f = pick_one(f, ["player_sk", "national_team_sk", "__unknown_0", "__unknown_1"],
-                 [("total_matches", "desc", "last"), ("first_game_date_sk", "asc", "last"),
-                  "source_record_id", ("total_goals", "desc", "last")]).drop("__unknown_0", "__unknown_1")
-    return _number(f, "national_performance_sk", ["player_sk", ("national_team_sk", "asc", "first")])
-
-
-def fact_teammate_relationship(pairs: DataFrame, players: DataFrame, unknown: str = "drop") -> DataFrame:
-    """Player twice (J4), self pairs dropped (P12), one row per pair (T19:
+        X.rate("goals", "matches").alias("goals_per_match"), _record("player_id", "team_id"),
+        _reason(*_unknown(unknown, ("unknown_player", F.col("player_sk").isNull()))).alias(REASON), ROWS, _CONTENT,
+        # a unique constraint keeps NULLs apart: the source id stands in for an unknown one
+        F.when(F.col("player_sk").isNull(), F.col("player_id").cast("string")).alias("__u0"),
+        F.when(F.col("national_team_sk").isNull(), F.col("team_id").cast("string")).alias("__u1"))
+    f = _one_per_grain(f, ["player_sk", "national_team_sk", "__u0", "__u1"],
+                       [("total_matches", "desc", "last"), ("first_game_date_sk", "asc", "last"),
+                        ("total_goals", "desc", "last")]).drop("__u0", "__u1")
+    return _keyed(f, "national_performance_sk", run_ts)
+
+
+def split_teammate_relationship(pairs: DataFrame, players: DataFrame, unknown: str = "drop", run_ts=None,
+                                spread: bool = True) -> DataFrame:
+    """X6 with the rejected rows: player twice (J4), self pairs dropped (P12), one row per pair (T19:
     most shared minutes, then most joint goals, then highest ppg)."""
-    f = _player(pairs, players, "player_id", unknown=unknown)
-    f = _player(f, players, "teammate_player_id", out="teammate_player_sk", unknown=unknown)
+    f = _player(_copies(pairs), players, "player_id", hot=_hot(pairs, "player_id", spread))
+    f = _player(f, players, "teammate_player_id", out="teammate_player_sk", hot=_hot(pairs, "teammate_player_id", spread))
     # a pair with an unknown member is no self pair unless its source ids say so
-    f = f.where(~F.col("player_id").eqNullSafe(F.col("teammate_player_id"))
-                & F.coalesce(F.col("player_sk") != F.col("teammate_player_sk"), F.lit(True)))
+    same = F.col("player_id").eqNullSafe(F.col("teammate_player_id")) | F.coalesce(
+        F.col("player_sk") == F.col("teammate_player_sk"), F.lit(False))
     f = f.select(
         "player_sk", "teammate_player_sk", F.col("minutes_played_with").alias("minutes_played_together"),
         "ppg_played_with", "joint_goal_participation",
         X.chemistry_score("joint_goal_participation", "minutes_played_with").alias("chemistry_score"),
-        F.concat_ws("|", "player_id", "teammate_player_id").alias("source_record_id"),
-        *_unknown_ids(("player_sk", "player_id"), ("teammate_player_sk", "teammate_player_id")),
-    )
-    f = pick_one(f, ["player_sk", "teammate_player_sk", "__unknown_0", "__unknown_1"],
-                 [("minutes_played_together", "desc", "last"), ("joint_goal_participation", "desc", "last"),
-                  ("ppg_played_with", "desc", "last")]).drop("__unknown_0", "__unknown_1")
-    return _number(f, "teammate_fact_sk", ["player_sk", "teammate_player_sk"])
+        _record("player_id", "teammate_player_id"),
+        _reason(("self_pair", same), *_unknown(unknown, ("unknown_player", F.col("player_sk").isNull()),
+                                               ("unknown_teammate", F.col("teammate_player_sk").isNull()))).alias(REASON),
+        ROWS, _CONTENT,
+        F.when(F.col("player_sk").isNull(), F.col("player_id").cast("string")).alias("__u0"),
+        F.when(F.col("teammate_player_sk").isNull(), F.col("teammate_player_id").cast("string")).alias("__u1"))
+    f = _one_per_grain(f, ["player_sk", "teammate_player_sk", "__u0", "__u1"],
+                       [("minutes_played_together", "desc", "last"), ("joint_goal_participation", "desc", "last"),
+                        ("ppg_played_with", "desc", "last")]).drop("__u0", "__u1")
+    return _keyed(f, "teammate_fact_sk", run_ts)
+
+
+def fact_player_performance(*args, **kwargs) -> DataFrame:
+    """The accepted rows of :func:`split_player_performance`."""
+    return accepted(split_player_performance(*args, **kwargs))
+
+
+def fact_market_value(*args, **kwargs) -> DataFrame:
+    """The accepted rows of :func:`split_market_value`."""
+    return accepted(split_market_value(*args, **kwargs))
+
+
+def fact_transfer(*args, **kwargs) -> DataFrame:
+    """The accepted rows of :func:`split_transfer`."""
+    return accepted(split_transfer(*args, **kwargs))
+
+
+def fact_injury(*args, **kwargs) -> DataFrame:
+    """The accepted rows of :func:`split_injury`."""
+    return accepted(split_injury(*args, **kwargs))
+
+
+def fact_national_performance(*args, **kwargs) -> DataFrame:
+    """The accepted rows of :func:`split_national_performance`."""
+    return accepted(split_national_performance(*args, **kwargs))
+
+
+def fact_teammate_relationship(*args, **kwargs) -> DataFrame:
+    """The accepted rows of :func:`split_teammate_relationship`."""
+    return accepted(split_teammate_relationship(*args, **kwargs))
+
+
+# --- append load (S7, S11) ------------------------------------------------------------
+
+def not_loaded(stored: DataFrame, batch: DataFrame, sk: str, grain: str | None = None) -> DataFrame:
+    """Rows of ``batch`` that the stored fact lacks.
+
+    A row is loaded when its key is; with ``grain`` (the source record's own
+    key, for facts with one row per record) also when its record is, whatever
+    its measures now say: stored rows are never changed.
+    """
+    new = batch.join(stored.select(sk), sk, "left_anti")
+    if grain:
+        new = new.join(stored.select(grain).distinct(), grain, "left_anti")
+    return new.select(*batch.columns)

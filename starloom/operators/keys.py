@@ -1,7 +1,9 @@
 """Surrogate keys and natural-key lookups.
 
-Key assignment never runs a window over the whole table in one partition.
-Rows are range-partitioned by the ordering columns, numbered inside each
+Fact rows are keyed by their content (:func:`content_key`): no order, no
+sort, and the same row has the same key in every run.  Dimension members are
+numbered (:func:`sequence_keys`), never by a window over the whole table in
+one partition: rows are range-partitioned by the ordering columns, numbered inside each
 partition, and shifted by the row count of all earlier partitions.  Since the
 partitions are ordered ranges, the result equals ``row_number() OVER (ORDER BY
 …)`` whatever the range boundaries were; the partitioned frame is
@@ -97,6 +99,31 @@ def max_key(df: DataFrame, key_col: str) -> int:
     return int(v) if v is not None else 0
 
 
+def content_key(columns: Sequence[str | Column]) -> Column:
+    """128 bits of MD5 over the text of the columns, NULL apart from every text.
+
+    Two rows share a key when they are equal in all of ``columns``; add an
+    ordinal among equal rows to tell copies apart.
+    """
+    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\x1e")) for c in columns]
+    return F.unhex(F.md5(F.concat_ws("\x1f", *parts)))
+
+
+#: Frequent keys that a lookup answers from a broadcast, at the most.
+HOT_KEYS = 1_000
+
+
+def frequent_keys(fact: DataFrame, fact_key: str | Column, fraction: float = 0.01) -> DataFrame:
+    """The HOT_KEYS keys met most often in a sample of ``fact`` (column ``__hot``).
+
+    Only what the sample says is frequent is treated apart, and both ways give
+    the same result, so the sample decides the work and never the rows.
+    """
+    k = F.col(fact_key) if isinstance(fact_key, str) else fact_key
+    met = fact.select(k.alias("__hot")).where(F.col("__hot").isNotNull()).sample(fraction, seed=7)
+    return met.groupBy("__hot").count().orderBy(F.col("count").desc(), "__hot").limit(HOT_KEYS).select("__hot")
+
+
 def lookup_sk(
     fact: DataFrame,
     dim: DataFrame,
@@ -107,6 +134,7 @@ def lookup_sk(
     how: str = "left",
     current_only: bool = False,
     cast_to: str | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Natural key → surrogate key.
 
@@ -114,6 +142,11 @@ def lookup_sk(
     ``current_only`` joins to the current SCD2 version (J7); ``how='left'``
     keeps facts with an unknown key (their key is NULL), ``'inner'`` drops them
     as the reference does (T8).  NULL fact keys never match (J6).
+
+    With ``hot`` (see :func:`frequent_keys`, of keys as the dimension holds
+    them) the members of those keys are sent to every task, HOT_KEYS rows at
+    the most; their fact rows, and those with a NULL key, are spread over all
+    partitions by their content, so no key gathers them in one.
     """
     out_col = out_col or sk_col
     d = dim.filter(F.col("is_current")) if current_only else dim
@@ -121,7 +154,18 @@ def lookup_sk(
     k = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     if cast_to:
         k = k.cast(cast_to)
-    return fact.join(d, k == F.col("__lk_nk"), how).drop("__lk_nk")
+    if hot is None:
+        return fact.join(d, k == F.col("__lk_nk"), how).drop("__lk_nk")
+    few = d.join(F.broadcast(hot), F.col("__lk_nk") == F.col("__hot")).select(
+        F.col("__lk_nk").alias("__lk_few"), F.col(out_col).alias("__lk_sk"))
+    met = fact.join(F.broadcast(few), k == F.col("__lk_few"), "left")
+    done = k.isNull() | F.col("__lk_few").isNotNull()
+    key = F.when(done, F.concat(F.lit("-"), F.xxhash64(*fact.columns).cast("string"))).otherwise(
+        F.concat(F.lit("="), k.cast("string")))
+    rest = d.where(F.col("__lk_nk").isNotNull()).withColumn("__lk_nk", F.concat(F.lit("="), F.col("__lk_nk").cast("string")))
+    out = met.withColumn("__lk_key", key).join(rest, F.col("__lk_key") == F.col("__lk_nk"), "left")
+    out = out.withColumn(out_col, F.coalesce("__lk_sk", out_col)).drop("__lk_nk", "__lk_key", "__lk_few", "__lk_sk")
+    return out if how == "left" else out.where(F.col(out_col).isNotNull())
 
 
 def get_or_create_members(

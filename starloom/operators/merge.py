@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .keys import max_key, sequence_keys
 
 
-def _order_value(df: DataFrame, item) -> list[Column]:
+def order_value(df: DataFrame, item) -> list[Column]:
     """One order item → comparable (null flag, value) columns for ``min_by``.
 
     ``item`` is a column name (ascending, NULLs first) or a tuple
@@ -52,7 +52,7 @@ def pick_one(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFram
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    order = F.struct(*[v for item in order_by for v in _order_value(df, item)])
+    order = F.struct(*[v for item in order_by for v in order_value(df, item)])
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("__pick"))
     return picked.select(*keys, *[F.col(f"__pick.{c}").alias(c) for c in rest])
 

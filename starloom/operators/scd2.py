@@ -5,12 +5,13 @@ reference's zone-less TIMESTAMP; NULL = open, T3),
 ``is_current`` and ``source_row_hash`` (MD5 over the tracked attributes).
 
 * :func:`scd2_initial` – first load: every batch row is a current version.
-* :func:`scd2_merge` – increment: compare the batch with the current versions
-  by hash; changed members get their current row closed and a new version,
-  new members get a first version, the rest is untouched.  A second run with
-  the same batch changes nothing (unlike the reference's insert-only load,
-  T11).  Only the current rows and the batch meet in a shuffle; closed history
-  passes through without one.
+* :func:`scd2_changes` – increment: one null-safe full outer join of the
+  current versions and the batch, by hash: changed members get their current
+  row closed and a new version, new members get a first version, the rest is
+  untouched.  A second run with the same batch changes nothing (unlike the
+  reference's insert-only load, T11).  Closed versions take no part: stored
+  apart, their files are only added to.
+* :func:`scd2_merge` – the whole dimension after such an increment.
 * :func:`scd2_from_snapshots` – full-history build from dated snapshots.
 """
 
@@ -22,8 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import OPEN_VALID_TO, row_hash
-from .keys import max_key, sequence_keys
-from .windows import join_neighbour, previous_in_group
+from ..session import checkpoint_root
+from .keys import content_key, max_key, sequence_keys
+from .windows import next_in_group, previous_in_group
 
 HASH = "source_row_hash"
 
@@ -51,55 +53,67 @@ def scd2_initial(
     return sequence_keys(rows, [nk], sk_col, start=start)
 
 
-def scd2_merge(
-    dim: DataFrame,
+def scd2_changes(
+    current: DataFrame,
     batch: DataFrame,
     nk: str,
     tracked: Sequence[str | Column],
     run_ts,
     sk_col: str,
+    start: int,
     hash_col: str = HASH,
-    start: int | None = None,
-) -> DataFrame:
-    """Merge a batch (one row per key) into a type-2 dimension.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(current versions that stay, versions that close now, new versions).
 
-    Members missing from the batch stay as they are (no deletes).  New
-    versions are numbered after ``start`` (default: the largest key of
-    ``dim``).
+    ``current`` holds the current versions, ``batch`` one row per key (NULL
+    keys are skipped); new versions are numbered after ``start``, the largest
+    key of the dimension.  Each side is shuffled once; the outcome is
+    checkpointed, so the three frames read it and not the join.
     """
-    ts = _ts(run_ts)
+    checkpoint_root(current.sparkSession)
     batch_h = batch.where(F.col(nk).isNotNull()).withColumn(hash_col, row_hash(*tracked))
-    current = dim.filter(F.col("is_current"))
-    history = dim.filter(~F.col("is_current"))
-
-    probe = batch_h.select(F.col(nk), F.col(hash_col).alias("__bh"))
-    j = current.join(probe, nk, "left")
+    old = current.select(F.col(nk).alias("__k"), F.struct(*current.columns).alias("__old"))
+    new = batch_h.select(F.col(nk).alias("__b"), F.struct(*batch_h.columns).alias("__new"))
+    j = old.join(new, F.col("__k") == F.col("__b"), "full_outer")
     # null-safe: an inferred member may hold no hash, and the first real version must close it
-    changed = F.col("__bh").isNotNull() & ~F.col("__bh").eqNullSafe(F.col(hash_col))
-    current_after = j.select(*[
-        (F.when(changed, ts).otherwise(F.col("valid_to")).alias("valid_to") if c == "valid_to"
-         else F.when(changed, F.lit(False)).otherwise(F.col("is_current")).alias("is_current") if c == "is_current"
-         else F.col(c))
-        for c in dim.columns
-    ])
-
-    cur_h = current.select(F.col(nk), F.col(hash_col).alias("__ch"))
-    fresh = (
-        batch_h.join(cur_h, nk, "left")
-        .where(~F.col("__ch").eqNullSafe(F.col(hash_col)))
-        .drop("__ch")
-        .withColumn("valid_from", ts)
-        .withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
-        .withColumn("is_current", F.lit(True))
-    )
-    fresh = sequence_keys(fresh, [nk], sk_col, start=max_key(dim, sk_col) if start is None else start)
-    if "is_inferred" in dim.columns and "is_inferred" not in fresh.columns:
+    same = F.col(f"__old.{hash_col}").eqNullSafe(F.col(f"__new.{hash_col}"))
+    j = j.select(F.when(F.col("__b").isNull(), "stays").when(F.col("__k").isNull(), "new").when(same, "stays")
+                 .otherwise("changes").alias("__kind"), "__old",
+                 F.when(F.col("__k").isNull() | ~same, F.col("__new")).alias("__new")).checkpoint()
+    stays = j.where("__kind = 'stays'").select("__old.*")
+    closes = j.where("__kind = 'changes'").select("__old.*").withColumn("valid_to", _ts(run_ts)).withColumn(
+        "is_current", F.lit(False))
+    fresh = j.where("__kind != 'stays'").select("__new.*")
+    fresh = (fresh.withColumn("valid_from", _ts(run_ts)).withColumn("valid_to", F.lit(None).cast("timestamp_ntz"))
+             .withColumn("is_current", F.lit(True)))
+    if "is_inferred" in current.columns and "is_inferred" not in fresh.columns:
         fresh = fresh.withColumn("is_inferred", F.lit(False))
+    fresh = sequence_keys(fresh, [nk], sk_col, start=start)
     have = set(fresh.columns)
     fresh = fresh.select(*[
-        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in dim.schema.fields
+        (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in current.schema.fields
     ])
-    return history.unionByName(current_after).unionByName(fresh)
+    return stays, closes, fresh
+
+
+def scd2_merge(
+    dim: DataFrame,
+    batch: DataFrame,
+    nk: str,
+    tracked: Sequence[str | Column],
+    run_ts,
+    sk_col: str,
+    hash_col: str = HASH,
+    start: int | None = None,
+) -> DataFrame:
+    """The whole type-2 dimension after a batch (one row per key).
+
+    Members missing from the batch stay as they are (no deletes).
+    """
+    current, history = dim.filter(F.col("is_current")), dim.filter(~F.col("is_current"))
+    stays, closes, fresh = scd2_changes(current, batch, nk, tracked, run_ts, sk_col,
+                                        max_key(dim, sk_col) if start is None else start, hash_col)
+    return history.unionByName(stays).unionByName(closes).unionByName(fresh)
 
 
 def scd2_from_snapshots(
@@ -116,20 +130,21 @@ def scd2_from_snapshots(
     A version starts where the hash differs from the previous snapshot of the
     same key; ``valid_to`` is the start of the next version.  ``tie_break``
     columns order snapshots of one key taken at the same time.  Previous and
-    next rows come from position joins (:mod:`.windows`), not per-member
-    windows, so a member with a very long history is still spread over many
-    tasks.
+    next rows come from windows by (key, day) (:mod:`.windows`), so a member
+    with a very long history is spread over many tasks; a version's key is
+    the hash of its member and start, so nothing is sorted for it.
     """
     order = [snapshot_ts, *tie_break]
+    day = F.col(snapshot_ts).cast("date")
     h = snapshots.withColumn(hash_col, row_hash(*tracked))
-    h = previous_in_group(h, [nk], order, [hash_col], prefix="__prev_")
+    h = previous_in_group(h, [nk], order, [hash_col], span=day, prefix="__prev_")
     starts = h.where(F.col(f"__prev_{hash_col}").isNull() | (F.col(f"__prev_{hash_col}") != F.col(hash_col))).drop(
         f"__prev_{hash_col}")
     v = starts.withColumn("valid_from", F.col(snapshot_ts).cast("timestamp_ntz")).drop(snapshot_ts)
-    # version keys follow (key, start) order, so they double as positions for the next-version join
-    v = sequence_keys(v, [nk, "valid_from", *tie_break], sk_col)
-    v = join_neighbour(v, sk_col, [nk], ["valid_from"], 1, "__next_")
+    v = next_in_group(v, [nk], ["valid_from", *tie_break], ["valid_from"], span=F.col("valid_from").cast("date"),
+                      prefix="__next_")
     return (v.withColumnRenamed("__next_valid_from", "valid_to")
+            .withColumn(sk_col, content_key([nk, F.unix_micros(F.col("valid_from").cast("timestamp")), *tie_break]))
             .withColumn("is_current", F.col("valid_to").isNull()))
 
 

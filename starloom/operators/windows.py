@@ -1,79 +1,53 @@
-"""Order-dependent columns that stay parallel under skew.
-
-``lag`` over ``partitionBy(member)`` sends every row of a member to one
-task; when one member holds a third of the rows, that task holds a third of
-the work.  The position join gives the same result without grouping: rows
-get their global position in (group, order) order from
-:func:`~starloom.operators.keys.sequence_keys` (range-partitioned, so a hot
-group is spread over many tasks), and each row fetches the row at position
-``pos ± 1`` by an equi-join on a unique key — no key is hot on either side.
-The neighbour counts only when it belongs to the same group.
+"""Neighbouring values in a group by two levels of windows.
+
+``lag`` over one member sends every row of that member to one task; when a
+member holds a third of all rows, that task holds a third of the work.  Here
+a member's rows are cut along their order into spans (a day, a month): inside
+a span the neighbour is a plain ``lag``; the first row of a span takes the
+last row of the span before, which comes from one combined aggregate per
+(member, span) and a window over those few rows.  It is handed over as an
+extra row of the span, so the wide rows are shuffled once, by (member, span),
+and are joined with nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import sequence_keys
-
-_POS = "__wl_pos"
+_SPAN, _RANK, _VALUES, _NEAR = "__wl_span", "__wl_rank", "__wl_values", "__wl_near"
 
 
-def join_neighbour(
-    seq: DataFrame,
-    pos_col: str,
-    group_by: Sequence[str],
-    values: Sequence[str],
-    offset: int,
-    prefix: str,
-) -> DataFrame:
-    """Rows already numbered by consecutive positions (``pos_col``) in group
-    order fetch ``values`` of the row ``offset`` places away, when it is in
-    the same group.  One equi-join on a unique key."""
-    other = seq.select(
-        (F.col(pos_col) - offset).alias(pos_col),
-        *[F.col(g).alias(f"__wl_g_{g}") for g in group_by],
-        *[F.col(v).alias(f"__wl_v_{v}") for v in values],
-    )
-    j = seq.join(other, pos_col, "left")
-    same: Column = F.lit(True)
-    for g in group_by:
-        same = same & F.col(g).eqNullSafe(F.col(f"__wl_g_{g}"))
-    return j.select(
-        *[F.col(c) for c in seq.columns],
-        *[F.when(same, F.col(f"__wl_v_{v}")).alias(f"{prefix}{v}") for v in values],
-    )
+def _neighbour(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str], span: Column,
+               step: int, prefix: str) -> DataFrame:
+    group = list(group_by)
+    near, edge = (F.lag, F.max_by) if step < 0 else (F.lead, F.min_by)
+    rows = df.withColumn(_SPAN, span).withColumn(_VALUES, F.struct(*values))
+    edges = rows.groupBy(*group, _SPAN).agg(edge(_VALUES, F.struct(*order_by)).alias(_VALUES))
+    of_group = Window.partitionBy(*group).orderBy(F.col(_SPAN).asc_nulls_first())
+    carried = edges.withColumn(_VALUES, near(_VALUES).over(of_group)).where(F.col(_VALUES).isNotNull())
+    # a carried row stands before (or after) all rows of the span itself
+    both = rows.withColumn(_RANK, F.lit(0)).unionByName(carried.withColumn(_RANK, F.lit(step)),
+                                                        allowMissingColumns=True)
+    of_span = Window.partitionBy(*group, _SPAN).orderBy(_RANK, *[F.col(c).asc_nulls_first() for c in order_by])
+    out = both.withColumn(_NEAR, near(_VALUES).over(of_span)).where(F.col(_RANK) == 0)
+    return out.select(*df.columns, *[F.col(f"{_NEAR}.{v}").alias(f"{prefix}{v}") for v in values])
 
 
-def neighbour_in_group(
-    df: DataFrame,
-    group_by: Sequence[str],
-    order_by: Sequence[str],
-    values: Sequence[str],
-    offset: int = -1,
-    prefix: str = "previous_",
-) -> DataFrame:
-    """``prefix + v = lag(v, -offset)`` (offset < 0) or ``lead(v, offset)``
-    (offset > 0) over ``partition by group_by order by order_by``.
+def previous_in_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str],
+                      span: Column, prefix: str = "previous_") -> DataFrame:
+    """``lag(v) over (partition by group_by order by order_by)`` for each of ``values``.
 
-    ``order_by`` must make the order total within a group (add a unique
-    tie-breaker).  Adds one column per value; NULL where the neighbour falls
-    outside the group.  Groups of every size take the same path.
+    ``order_by`` must make the order total within a group; ``span`` never
+    falls along it (a NULL span counts as the lowest) and cuts a group into
+    parts that fit a task.
     """
-    seq = sequence_keys(df, [*group_by, *order_by], _POS)
-    return join_neighbour(seq, _POS, group_by, values, offset, prefix).drop(_POS)
-
-
-def previous_in_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str],
-                      prefix: str = "previous_") -> DataFrame:
-    """``lag(v) over (partition by group_by order by order_by)``."""
-    return neighbour_in_group(df, group_by, order_by, values, -1, prefix)
+    return _neighbour(df, group_by, order_by, values, span, -1, prefix)
 
 
 def next_in_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[str], values: Sequence[str],
-                  prefix: str = "next_") -> DataFrame:
-    """``lead(v) over (partition by group_by order by order_by)``."""
-    return neighbour_in_group(df, group_by, order_by, values, 1, prefix)
+                  span: Column, prefix: str = "next_") -> DataFrame:
+    """``lead(v) over (partition by group_by order by order_by)``, as above."""
+    return _neighbour(df, group_by, order_by, values, span, 1, prefix)

@@ -1,10 +1,11 @@
 """The warehouse operators run on the driver's TPC-H-like star.
 
-The test data has no football tables, so every operator is shown on the star
-at hand (SURVEY §7.4): customers are the SCD2 members (players), suppliers
-the SCD1 teams, part names the competitions and categories, orders and
-lineitems the performance/transfer/interval facts, events the value history.
-Each query reads whole tables; each has a DuckDB twin in ``star_sql``.
+The test data has no football tables, so the star is put into the staging
+schemas (``star_staging``) and every dimension, fact, check and analyst query
+is what the warehouse's own builders make of it.  Single operators (type-2
+merge, upsert, category rules, checks) are also shown on the star's tables as
+they are.  Each query reads whole tables; each has a DuckDB twin in
+``star_sql``.
 """
 
 from __future__ import annotations
@@ -14,18 +15,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import exprs as X
 from ..operators import dimensions as D
+from ..operators import facts as FX
 from ..operators import quality as Q
 from ..operators.keys import get_or_create_members, lookup_sk, sequence_keys
-from ..operators.merge import insert_if_absent, pick_one, seed, upsert
-from ..operators.scd2 import current_view, scd2_from_snapshots, scd2_initial, scd2_merge
-from ..operators.summary import season_summary
-from ..operators.windows import previous_in_group
+from ..operators.merge import insert_if_absent, seed
+from ..operators.scd2 import current_view, scd2_from_snapshots, scd2_initial, scd2_merge, valid_to_or_open, version_at
+from ..operators.summary import season_summary, values_by_season
 from ..session import scratch_path
 from ..sources import sinks
 from ..sources.readers import read_csv_typed
+from ..sources.schemas import LOAD_ORDER, catalogue
+from . import analytics as N
+from . import star_staging as SS
+from . import warehouse as W
 
 # Load stamps of the two SCD2 runs (parameters, so results repeat).
 RUN_1 = "2024-01-01 00:00:00"
@@ -48,10 +54,6 @@ STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 DIM_SOURCES = ("region", "nation", "customer", "supplier", "part")
 FACT_SOURCES = ("orders", "lineitem", "events")
 
-LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-              "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-
-
 def T(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(d, f"{name}.parquet"))
 
@@ -60,21 +62,27 @@ def _date(c: str) -> Column:
     return F.col(c).cast("date")
 
 
-# --- shared dimensions over the star ---------------------------------------------
+# --- shared tables over the star ---------------------------------------------------
 #
-# Conformed dimensions are built once per Spark application and data folder
-# and reused by every fact and report, as a warehouse run would read the
-# stored dimension.  Scaling dimensions are keyed by the range path of
-# ``sequence_keys`` (checkpointed); only bounded ones use a plain window.
+# Staging tables, dimensions and facts are built once per Spark application
+# and state of the data folder and reused by every later query, as a warehouse
+# run would read its stored tables.
 
 _SHARED: dict = {}
+_STATE: dict = {}
+
+
+def look_at(spark: SparkSession, d: str) -> None:
+    """Take note of the files in the data folder, once a query: a reload makes new files."""
+    _STATE[id(spark), d] = tuple(sorted(f for t in SS.TABLES for f in T(spark, d, t).inputFiles()))
 
 
 def shared(spark: SparkSession, d: str, name: str, build, materialize: bool = False):
-    """Build once per session and data folder; ``materialize`` stores the
-    result as a reliable checkpoint (a table that is read, not recomputed,
-    by every later query)."""
-    key = (id(spark), os.path.abspath(d), name)
+    """Build once per session and files in the data folder (see :func:`look_at`); ``materialize`` stores
+    the result as a reliable checkpoint that later queries read."""
+    if (id(spark), d) not in _STATE:
+        look_at(spark, d)
+    key = (id(spark), _STATE[id(spark), d], name)
     hit = _SHARED.get(key)
     if hit is None or hit[0] is not spark:
         df = build()
@@ -82,6 +90,73 @@ def shared(spark: SparkSession, d: str, name: str, build, materialize: bool = Fa
     return hit[1]
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = sinks.write_table(df, scratch_path(df.sparkSession, name))
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class _Staging(dict):
+    """The star's staging tables by name, each stored when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        super().__init__()
+        self.at = spark, d
+
+    def __missing__(self, name: str) -> DataFrame:
+        spark, d = self.at
+
+        def build():
+            rows = SS.source(spark, name, {t: T(spark, d, t) for t in SS.TABLES})
+            return _stored(rows, f"star-{name}") if name in SS.SOURCES else rows
+        return shared(spark, d, f"staging-{name}", build)
+
+    def items(self):
+        return [(n, self[n]) for n in LOAD_ORDER]
+
+
+def staging(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The star as stored staging tables."""
+    return _Staging(spark, d)
+
+
+def dimensions(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    def build():
+        dims = W.build_dimensions(spark, staging(spark, d), RUN_1)
+        W.extend_dates(staging(spark, d), dims)
+        return {n: _stored(df, f"star-{n}") for n, df in dims.items()}
+    return shared(spark, d, "dimensions", build)
+
+
+def split(spark: SparkSession, d: str, fact: str) -> DataFrame:
+    """A fact's accepted and rejected rows, stored."""
+    return shared(spark, d, f"split-{fact}", lambda: _stored(
+        W.split_fact(fact, staging(spark, d), dimensions(spark, d), "drop", RUN_1), f"star-{fact}"))
+
+
+def fact(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return FX.accepted(split(spark, d, name))
+
+
+def summary_fact(spark: SparkSession, d: str) -> DataFrame:
+    dims = dimensions(spark, d)
+    return shared(spark, d, "summary", lambda: season_summary(
+        fact(spark, d, "fact_player_performance"), fact(spark, d, "fact_injury"),
+        values_by_season(fact(spark, d, "fact_market_value"), dims["dim_date"], dims["dim_season"]), RUN_1), materialize=True)
+
+
+class _Warehouse(dict):
+    """The star's tables by name, each built when it is asked for."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        super().__init__()
+        self.at = spark, d
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name.startswith("dim_"):
+            return dimensions(*self.at)[name]
+        return summary_fact(*self.at) if name == "fact_player_season_summary" else fact(*self.at, name)
+
+
 def member_batch(spark: SparkSession, d: str) -> DataFrame:
     """Customers as members: profile ⟕ nation (J1), renamed."""
     c = T(spark, d, "customer")
@@ -99,22 +174,6 @@ def member_dim(spark: SparkSession, d: str) -> DataFrame:
         member_batch(spark, d), "player_nk", MEMBER_TRACKED, RUN_1, "player_sk"))
 
 
-def team_rows(spark: SparkSession, d: str) -> DataFrame:
-    s = T(spark, d, "supplier")
-    n = T(spark, d, "nation").select(F.col("n_nationkey").alias("__nk"), "n_name")
-    j = s.join(F.broadcast(n), s.s_nationkey == F.col("__nk"), "left")
-    return j.select(
-        F.col("s_suppkey").cast("string").alias("team_nk"), F.col("s_name").alias("team_name"),
-        X.or_unknown("n_name").alias("country_name"),
-        X.first_digits_or("s_name").cast("string").alias("division_level"), "s_acctbal",
-    )
-
-
-def team_dim(spark: SparkSession, d: str) -> DataFrame:
-    return shared(spark, d, "team_dim", lambda: sequence_keys(
-        team_rows(spark, d).drop("s_acctbal"), ["team_nk"], "team_sk"))
-
-
 def competition_dim(spark: SparkSession, d: str) -> DataFrame:
     p = T(spark, d, "part").select(F.col("p_name").alias("competition_name"), F.col("p_type").alias("country_name"),
                                    F.col("p_brand").alias("club_division"))
@@ -126,12 +185,6 @@ def season_dim(spark: SparkSession, d: str) -> DataFrame:
     return shared(spark, d, "season_dim", lambda: D.dim_season(o))
 
 
-def nation_dim(spark: SparkSession, d: str) -> DataFrame:
-    """Nations: 25 rows by the TPC-H definition, so numbered and broadcast as bounded."""
-    return sequence_keys(T(spark, d, "nation").select("n_nationkey", "n_name"), ["n_nationkey"], "nation_sk",
-                         bounded=True)
-
-
 def category_dim(spark: SparkSession, d: str, rules=PART_RULES) -> DataFrame:
     rows = D.category_rows(T(spark, d, "part"), "p_name", rules, PART_DEFAULT).select(
         F.col("injury_category").alias("category"), F.col("injury_severity").alias("severity"))
@@ -173,12 +226,10 @@ def q_dim_agent_distinct(spark, d):
 
 
 def q_dim_team_upsert(spark, d):
-    """SCD1 upsert of suppliers as teams; batch values win, known keys stay."""
-    rows = team_rows(spark, d)
-    existing = sequence_keys(rows.where(F.col("s_acctbal") < 5000).drop("s_acctbal"), ["team_nk"], "team_sk")
-    batch = rows.where(F.col("s_acctbal") >= 2500).select(
-        "team_nk", F.concat(F.col("team_name"), F.lit(" FC")).alias("team_name"), "country_name", "division_level")
-    return upsert(existing, batch, "team_nk", "team_sk", ["team_name", "country_name", "division_level"])
+    """SCD1 upsert by the builder: teams of even number are known, then all team rows come; known keys stay."""
+    rows = staging(spark, d)["team_details"]
+    known = D.dim_team(rows.where(F.col("club_id") % 2 == 0).withColumn("club_name", F.concat("club_name", F.lit(" FC"))))
+    return D.dim_team(rows, known)
 
 
 def q_dim_competition_slug(spark, d):
@@ -260,66 +311,16 @@ def q_scd2_current(spark, d):
 
 # --- X1 ----------------------------------------------------------------------------------
 
-def _build_performance_fact(spark, d):
-    """X1 on lines.  Keys are resolved on the smaller side first — orders get
-    the member and season key, parts the competition key — so the line fact is
-    shuffled once per source join, not once per dimension."""
-    o = T(spark, d, "orders").select("o_orderkey", "o_custkey",
-                                     X.season_of(_date("o_orderdate")).alias("season_name"))
-    o = lookup_sk(o, member_dim(spark, d), "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
-    o = lookup_sk(o, season_dim(spark, d), "season_name", "season_name", "season_sk").drop("o_custkey")
-    p = T(spark, d, "part").select("p_partkey", X.slug("p_name").alias("__comp"))
-    p = lookup_sk(p, competition_dim(spark, d), "__comp", "competition_id", "competition_sk").drop("__comp")
-    li = T(spark, d, "lineitem")
-    f = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    f = lookup_sk(f, team_dim(spark, d), "l_suppkey", "team_nk", "team_sk", cast_to="string")
-    tax100 = F.round(F.col("l_tax") * 100).cast("int")
-    f = f.select(
-        *LINE_ORDER, "player_sk", "team_sk", "competition_sk", "season_sk", "season_name",
-        F.col("l_linenumber").alias("nb_on_pitch"),
-        X.to_money("l_quantity", 10, 2).alias("goals"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("assists"),
-        (F.col("l_linenumber") * 90).alias("minutes_played"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("yellow_cards"),
-        F.nullif(tax100, F.lit(0)).alias("second_yellow_cards"),
-        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("direct_red_cards"),
-    )
-    f = f.select(
-        "*",
-        X.ratio("goals", "nb_on_pitch").alias("goals_per_match"),
-        X.ratio("assists", "nb_on_pitch").alias("assists_per_match"),
-        X.ratio("minutes_played", "goals").alias("minutes_per_goal"),
-        (F.col("yellow_cards") + F.col("second_yellow_cards") + F.col("direct_red_cards")).alias("cards_total"),
-    )
-    f = sequence_keys(f, list(LINE_ORDER), "performance_sk")
-    return f.drop(*[c for c in LINE_ORDER if c != "l_orderkey"])
-
-
-def performance_fact(spark, d):
-    return shared(spark, d, "performance_fact", lambda: _build_performance_fact(spark, d))
-
-
 def q_fact_performance(spark, d):
-    """The line fact with NK→SK lookups and per-match ratios."""
-    return performance_fact(spark, d).drop("l_orderkey")
+    """Performances with NK→SK lookups, per-match rates and content keys."""
+    return fact(spark, d, "fact_player_performance")
 
 
 # --- X2 ----------------------------------------------------------------------------------
 
-def value_history(spark, d):
-    """Each value with the previous value of the same member (skew-safe lag)."""
-    e = T(spark, d, "events").select(
-        "event_id", "user_id", X.date_key("ts").alias("date_sk"), X.to_money("value").alias("market_value"),
-        F.lit("historical").alias("value_source"), F.lit(False).alias("is_latest_value"), "ts")
-    e = previous_in_group(e, ["user_id"], ["ts", "event_id"], ["market_value"], prefix="__prev_")
-    return e.withColumnRenamed("__prev_market_value", "previous_value").select(
-        "*", (F.col("market_value") - F.col("previous_value")).alias("value_change"),
-        X.pct_change("market_value", "previous_value").alias("value_change_pct"))
-
-
 def q_fact_value_history(spark, d):
-    """Values with the previous value of the same member."""
-    return value_history(spark, d).drop("ts")
+    """One value per player, date and source, with the previous value of the same player and source."""
+    return fact(spark, d, "fact_market_value")
 
 
 def q_fact_value_latest(spark, d):
@@ -333,251 +334,139 @@ def q_fact_value_latest(spark, d):
         F.lit(True).alias("is_latest_value"))
 
 
-# --- X3 ----------------------------------------------------------------------------------
-
-def _build_transfer_fact(spark, d):
-    """X3 on lines: supplier nation → customer nation (one dimension in two
-    roles).  Order-side keys (member, destination) and supplier-side keys
-    (origin) are resolved before the line fact is joined."""
-    nations = F.broadcast(nation_dim(spark, d))  # 25 rows: bounded
-    c = T(spark, d, "customer").select("c_custkey", "c_nationkey")
-    o = T(spark, d, "orders").select("o_orderkey", "o_custkey")
-    o = o.join(c, o.o_custkey == c.c_custkey)
-    o = lookup_sk(o, nations, "c_nationkey", "n_nationkey", "nation_sk", out_col="to_team_sk")
-    o = lookup_sk(o, member_dim(spark, d), "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
-    o = o.select("o_orderkey", "player_sk", "to_team_sk")
-    s = T(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    s = lookup_sk(s, nations, "s_nationkey", "n_nationkey", "nation_sk", out_col="from_team_sk").drop("s_nationkey")
-    p = T(spark, d, "part").select("p_partkey", "p_retailprice")
-    li = T(spark, d, "lineitem")
-    f = li.join(o, li.l_orderkey == o.o_orderkey).join(s, li.l_suppkey == s.s_suppkey).join(
-        p, li.l_partkey == p.p_partkey)
-    f = f.withColumn("season_name", X.season_of(_date("l_shipdate")))
-    f = lookup_sk(f, season_dim(spark, d), "season_name", "season_name", "season_sk")
-    f = f.withColumn("__code", line_transfer_code())
-    f = lookup_sk(f, F.broadcast(D.dim_transfer_type(spark)), "__code", "transfer_type_code", "transfer_type_sk")
-    value = (X.to_money("p_retailprice") * X.to_money("l_quantity")).cast("decimal(15,2)")
-    f = f.select(
-        *LINE_ORDER, "player_sk", "from_team_sk", "to_team_sk", X.date_key("l_shipdate").alias("transfer_date_sk"),
-        "season_sk", "transfer_type_sk", "season_name", F.col("__code").alias("transfer_type_code"),
-        X.to_money("l_extendedprice").alias("transfer_fee"), value.alias("value_at_transfer"),
-    ).withColumn("fee_to_value_ratio", X.ratio("transfer_fee", "value_at_transfer"))
-    f = sequence_keys(f, list(LINE_ORDER), "transfer_sk")
-    return f.drop(*LINE_ORDER)
-
-
-def transfer_fact(spark, d):
-    return shared(spark, d, "transfer_fact", lambda: _build_transfer_fact(spark, d))
-
+# --- X3..X7 ------------------------------------------------------------------------------
 
 def q_fact_transfer(spark, d):
-    """Transfers between nations in two roles, typed by our rules."""
-    return transfer_fact(spark, d)
-
-
-# --- X4 ----------------------------------------------------------------------------------
-
-def interval_fact(spark, d):
-    li = T(spark, d, "lineitem")
-    o = T(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    p = T(spark, d, "part").select("p_partkey", "p_name")
-    f = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    end = F.when(F.col("l_linestatus") == "O", F.lit(None).cast("date")).otherwise(_date("l_shipdate"))
-    f = f.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", _date("o_orderdate").alias("from_date"),
-                 end.alias("end_date"), "p_name")
-    f = f.withColumn("__c", X.categorize("p_name", PART_RULES, PART_DEFAULT))
-    cats = F.broadcast(category_dim(spark, d))  # one row per rule outcome: bounded
-    f = f.join(cats, (F.col("__c.category") == cats.category) & (F.col("__c.severity") == cats.severity), "left")
-    days = F.datediff("end_date", "from_date")
-    return f.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        X.date_key("from_date").alias("injury_from_date_sk"), X.date_key("end_date").alias("injury_end_date_sk"),
-        X.season_of("from_date").alias("season_name"), "category_sk",
-        days.alias("days_missed"), F.col("l_linenumber").alias("games_missed"),
-        X.ratio(days, "l_linenumber").alias("avg_days_per_game"), X.severity_score(days).alias("severity_score"),
-    )
+    """Transfers between teams in two roles, typed by our rules."""
+    return fact(spark, d, "fact_transfer")
 
 
 def q_fact_interval(spark, d):
-    """Order → ship intervals, open ones with a NULL end key."""
-    return interval_fact(spark, d)
-
+    """Injuries with nullable from and end dates, categorised by the same rules."""
+    return fact(spark, d, "fact_injury")
 
-# --- X5, X6 ------------------------------------------------------------------------------
 
 def q_fact_national(spark, d):
-    """Per member and nation: count, total, rate, first date."""
-    o = T(spark, d, "orders")
-    c = T(spark, d, "customer").select("c_custkey", "c_nationkey")
-    f = o.join(c, o.o_custkey == c.c_custkey)
-    g = f.groupBy("o_custkey", "c_nationkey").agg(
-        F.count(F.lit(1)).alias("total_matches"), F.sum(X.to_money("o_totalprice")).alias("total_goals"),
-        F.min(_date("o_orderdate")).alias("__first"))
-    g = lookup_sk(g, member_dim(spark, d), "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
-    g = lookup_sk(g, F.broadcast(nation_dim(spark, d)), "c_nationkey", "n_nationkey", "nation_sk",
-                  out_col="national_team_sk")
-    return g.select("player_sk", "national_team_sk", X.date_key("__first").alias("first_game_date_sk"),
-                    "total_matches", "total_goals", X.ratio("total_goals", "total_matches").alias("goals_per_match"))
-
-
-def _build_pairs_fact(spark, d):
-    """X6 on given pair rows: each line pairs its customer's nation (player)
-    with its supplier's nation (teammate) — one dimension in two roles."""
-    li = T(spark, d, "lineitem")
-    o = T(spark, d, "orders").select("o_orderkey", "o_custkey")
-    c = T(spark, d, "customer").select("c_custkey", "c_nationkey")
-    s = T(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    f = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).join(
-        s, li.l_suppkey == s.s_suppkey)
-    nations = F.broadcast(nation_dim(spark, d))
-    f = lookup_sk(f, nations, "c_nationkey", "n_nationkey", "nation_sk", out_col="player_sk", how="inner")
-    f = lookup_sk(f, nations, "s_nationkey", "n_nationkey", "nation_sk", out_col="teammate_player_sk", how="inner")
-    f = f.where(F.col("player_sk") != F.col("teammate_player_sk")).select(
-        "player_sk", "teammate_player_sk", (F.col("l_linenumber") * 90).alias("minutes_played_together"),
-        X.to_money("l_discount", 10, 2).alias("ppg_played_with"),
-        F.col("l_quantity").cast("int").alias("joint_goal_participation"))
-    f = pick_one(f, ["player_sk", "teammate_player_sk"],
-                 [("minutes_played_together", "desc", "last"), ("joint_goal_participation", "desc", "last"),
-                  ("ppg_played_with", "desc", "last")])
-    return f.withColumn("chemistry_score", X.chemistry_score("joint_goal_participation", "minutes_played_together"))
-
-
-def pairs_fact(spark, d):
-    return shared(spark, d, "pairs_fact", lambda: _build_pairs_fact(spark, d), materialize=True)
+    """One row per player and national team, unknown teams apart; most matches win."""
+    return fact(spark, d, "fact_national_performance")
 
 
 def q_fact_pairs(spark, d):
-    """Given pairs, self pairs dropped, one row per pair."""
-    return pairs_fact(spark, d)
-
-
-# --- X7 ----------------------------------------------------------------------------------
-
-def _build_summary_fact(spark, d):
-    o = T(spark, d, "orders")
-    members = member_dim(spark, d)
-    seasons = season_dim(spark, d)
-    perf = o.select(
-        F.col("o_orderkey").alias("performance_sk"), "o_custkey",
-        X.season_of(_date("o_orderdate")).alias("season_name"),
-        X.to_money("o_totalprice").alias("goals"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("assists"),
-        F.lit(90).alias("minutes_played"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("yellow_cards"),
-        F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0).alias("second_yellow_cards"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", 1).otherwise(0).alias("direct_red_cards"),
-        _date("o_orderdate").alias("__d"),
-    )
-    perf = lookup_sk(perf, members, "o_custkey", "player_nk", "player_sk", how="inner", current_only=True)
-    perf = lookup_sk(perf, seasons, "season_name", "season_name", "season_sk")
-    li = T(spark, d, "lineitem").select("l_orderkey", "l_shipdate")
-    delay = F.datediff(_date("l_shipdate"), F.col("__d"))
-    inj = perf.select("performance_sk", "player_sk", "season_sk", "__d").join(
-        li, F.col("performance_sk") == li.l_orderkey).select(
-        "player_sk", "season_sk", delay.alias("days_missed"),
-        F.when(delay > 60, 1).otherwise(0).alias("games_missed"))
-    values = perf.select("player_sk", "season_sk", F.col("goals").alias("market_value"),
-                         F.struct("__d", "performance_sk").alias("value_order"))
-    return season_summary(perf.drop("__d"), inj, values)
-
-
-def summary_fact(spark, d):
-    return shared(spark, d, "summary_fact", lambda: _build_summary_fact(spark, d))
+    """Self pairs dropped, one row per pair."""
+    return fact(spark, d, "fact_teammate_relationship")
 
 
 def q_season_summary(spark, d):
-    """The per-member, per-season aggregate."""
+    """The per-player, per-season aggregate of the three facts."""
     return summary_fact(spark, d)
 
 
-# --- N1..N10 -------------------------------------------------------------------------------
+def q_fact_ledger(spark, d):
+    """Of all seven facts the source rows in, accepted, and rejected by reason."""
+    splits = {n: split(spark, d, n) for n in W.FACT_SOURCES}
+    lines = W.ledger(splits, staging(spark, d))
+    facts = _Warehouse(spark, d)
+    summary = "fact_player_season_summary"
+    return lines.unionByName(Q.row_ledger({summary: W.summary_split(facts, facts[summary])},
+                                          {summary: [facts["fact_player_performance"]]}))
+
+
+def _first_run(st: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What an earlier run saw: no facts of every tenth player, and another position of every seventh."""
+    tenth = F.coalesce(F.col("player_id") % 10 != 3, F.lit(True))
+    out = {n: df.where(tenth) if n in ("player_performances", "player_injuries", "player_market_value", "player_latest_market_value")
+           else df.limit(0) if n in ("transfer_history", "player_national_performances", "player_teammates_played_with") else df
+           for n, df in st.items()}
+    position = F.when(F.col("player_id") % 7 == 0, F.lit("YOUTH")).otherwise(F.col("position"))
+    out["player_profiles"] = st["player_profiles"].withColumn("position", position)
+    return out
+
+
+def two_runs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """A warehouse loaded by two runs, the second one over everything."""
+    def build():
+        root = scratch_path(spark, "star-two-runs")
+        st = staging(spark, d)
+        W.load_warehouse(spark, _first_run(st), root, RUN_1)
+        second = {n: df.limit(0) if n in ("transfer_history", "player_national_performances", "player_teammates_played_with") else df
+                  for n, df in st.items()}
+        W.load_warehouse(spark, second, root, RUN_2)
+        return W.open_warehouse(spark, root)
+    return shared(spark, d, "two-runs", build)
+
+
+def q_fact_append(spark, d):
+    """After a second run each performance has the key of one whole load, its first run's
+    load stamp and the player version that was current then."""
+    f = two_runs(spark, d)["fact_player_performance"]
+    p = two_runs(spark, d)["dim_player"].select("player_sk", "player_nk", "position")
+    return f.join(p, "player_sk").select("performance_sk", "player_nk", "position", "goals", "load_datetime")
+
+
+def q_summary_refresh(spark, d):
+    """The aggregate kept up by the touched groups, by player version."""
+    wh = two_runs(spark, d)
+    return (wh["fact_player_season_summary"].join(wh["dim_player"].select("player_sk", "player_nk", "position"), "player_sk")
+            .join(wh["dim_season"].select("season_sk", "season_name"), "season_sk")
+            .drop("player_season_sk", "player_sk", "season_sk", "load_datetime"))
+
+
+def q_version_at(spark, d):
+    """The merged members as valid between and after the runs, with their open ends."""
+    dim = _merged_members(spark, d)
+    out = None
+    for label, at in (("between", "2024-01-15 00:00:00"), ("after", "2024-02-01 00:00:00")):
+        part = version_at(dim, at).select(F.lit(label).alias("as_of"), "player_nk", "position", "valid_from",
+                                          valid_to_or_open().alias("valid_to"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
-def _named_summary(spark, d):
-    ps = summary_fact(spark, d)
-    p = member_dim(spark, d).select("player_sk", "player_name")
-    s = season_dim(spark, d).select("season_sk", "season_name")
-    return ps.join(p, "player_sk").join(s, "season_sk")
 
+# --- N1..N10 -------------------------------------------------------------------------------
 
 def q_top_scorers(spark, d):
-    """Top 10 members by season total."""
-    j = _named_summary(spark, d).where(F.col("total_goals") > 0)
-    return j.select("player_name", "season_name", "total_goals", "total_assists", "total_matches").orderBy(
-        F.col("total_goals").desc_nulls_last(), "player_name", "season_name").limit(10)
+    """Top 10 players by season total."""
+    return N.top_scorers(_Warehouse(spark, d)).drop("player_sk")
 
 
 def q_value_trend(spark, d):
-    """Values of members whose name matches a pattern."""
-    o = T(spark, d, "orders")
-    c = T(spark, d, "customer").where(F.col("c_name").like("%7")).select("c_custkey", "c_name")
-    return o.join(c, o.o_custkey == c.c_custkey).select(
-        F.col("c_name").alias("player_name"), _date("o_orderdate").alias("full_date"),
-        X.to_money("o_totalprice").alias("market_value"), "o_orderkey").orderBy("full_date", "o_orderkey")
+    """Values of players whose name matches a pattern."""
+    return N.value_trend(_Warehouse(spark, d), "%7")
 
 
 def q_interval_impact(spark, d):
-    """Member seasons with more than 100 interval days."""
-    j = _named_summary(spark, d).where(F.col("total_injury_days") > 100)
-    return j.select("player_name", "season_name", "total_injury_days", "total_games_missed", "total_matches").orderBy(
-        F.col("total_injury_days").desc_nulls_first(), "player_name", "season_name")
+    """Player seasons with more than 100 injury days."""
+    return N.injury_impact(_Warehouse(spark, d))
 
 
 def q_star_sample(spark, d):
-    """Star join of the line fact with all its dimensions, top 5."""
-    f = performance_fact(spark, d)
-    j = (f.join(member_dim(spark, d).select("player_sk", "player_name"), "player_sk")
-         .join(team_dim(spark, d).select("team_sk", "team_name"), "team_sk")
-         .join(season_dim(spark, d).select("season_sk", F.col("season_name").alias("season")), "season_sk")
-         .join(competition_dim(spark, d).select("competition_sk", F.col("competition_name").alias("competition")),
-               "competition_sk"))
-    return j.select("player_name", "team_name", "season", "competition", "goals", "assists", "performance_sk").orderBy(
-        F.col("goals").desc(), "performance_sk").limit(5)
+    """Star join of the performance fact with all its dimensions, top 5."""
+    return N.star_sample(_Warehouse(spark, d))
 
 
 def q_flows(spark, d):
-    """Transfer flows between nations by type."""
-    f = transfer_fact(spark, d)
-    g = f.groupBy("from_team_sk", "to_team_sk", "transfer_type_code").agg(
-        F.count(F.lit(1)).alias("n_transfers"), F.sum("transfer_fee").alias("total_fee"))
-    n = nation_dim(spark, d)
-    fr = n.select(F.col("nation_sk").alias("from_team_sk"), F.col("n_name").alias("from_team"))
-    to = n.select(F.col("nation_sk").alias("to_team_sk"), F.col("n_name").alias("to_team"))
-    return g.join(F.broadcast(fr), "from_team_sk", "left").join(F.broadcast(to), "to_team_sk", "left")
+    """Transfer flows between teams by type."""
+    return N.transfer_flows(_Warehouse(spark, d))
 
 
 def q_pair_synergy(spark, d):
     """The top 10 pairs."""
-    f = pairs_fact(spark, d)
-    n = nation_dim(spark, d)
-    a = n.select(F.col("nation_sk").alias("player_sk"), F.col("n_name").alias("player_name"))
-    b = n.select(F.col("nation_sk").alias("teammate_player_sk"), F.col("n_name").alias("teammate_name"))
-    return (f.join(F.broadcast(a), "player_sk").join(F.broadcast(b), "teammate_player_sk")
-            .orderBy(F.col("minutes_played_together").desc(), F.col("joint_goal_participation").desc(),
-                     "player_sk", "teammate_player_sk").limit(10))
+    return N.teammate_synergy(_Warehouse(spark, d)).drop("teammate_fact_sk", "load_datetime")
 
 
 def q_team_comparison(spark, d):
-    """Totals and averages per supplier and nation."""
-    li = T(spark, d, "lineitem")
-    g = li.groupBy("l_suppkey").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(X.to_money("l_quantity")).alias("total_quantity"),
-        F.sum(X.to_money("l_extendedprice")).alias("total_revenue"),
-        (F.sum(X.to_money("l_quantity")).cast("double") / F.count(F.lit(1))).alias("avg_quantity"))
-    s = T(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    n = T(spark, d, "nation").select("n_nationkey", "n_name")
-    return g.join(s, g.l_suppkey == s.s_suppkey).join(F.broadcast(n), F.col("s_nationkey") == n.n_nationkey).select(
-        "s_suppkey", "s_name", "n_name", "n_lines", "total_quantity", "total_revenue", "avg_quantity")
+    """Totals and averages per team and competition."""
+    return N.team_comparison(_Warehouse(spark, d))
 
 
 def q_rank_by_season_group(spark, d):
-    """Rank of members within season and segment (top 3)."""
-    o = T(spark, d, "orders")
-    c = T(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    g = o.join(c, o.o_custkey == c.c_custkey).groupBy(
-        X.season_of(_date("o_orderdate")).alias("season_name"), "c_mktsegment", "c_custkey").agg(
-        F.sum(X.to_money("o_totalprice")).alias("total"))
-    w = Window.partitionBy("season_name", "c_mktsegment").orderBy(F.col("total").desc())
-    return g.withColumn("rnk", F.rank().over(w)).where(F.col("rnk") <= 3)
+    """Rank of players within season and competition (top 3)."""
+    return N.scorers_by_season_competition(_Warehouse(spark, d))
+
+
+def q_custom_checks(spark, d):
+    """The manual orphan and duplicate queries."""
+    return N.custom_checks(_Warehouse(spark, d))
 
 
 # --- Q1..Q17 ---------------------------------------------------------------------------------
@@ -647,12 +536,14 @@ def q_dq_range_unique_notnull(spark, d):
             "negative_quantity": F.col("l_quantity") < 0,
             "discount_out_of_range": ~F.col("l_discount").between(0, 1),
             "null_ship_date": F.col("l_shipdate").isNull()}, total=None),
-        Q.count_checks(o, "orders", {
-            "negative_or_null_price": (F.col("o_totalprice") < 0) | F.col("o_totalprice").isNull()}, total=None),
+        # P10: a NULL measure passes
+        Q.count_checks(o, "orders", {"negative_price": F.nullif(F.col("o_totalprice"), F.lit(0)) < 0}, total=None),
+        Q.count_checks(fact(spark, d, "fact_injury"), "fact_injury", {
+            "negative_days_missed": F.col("days_missed") < 0, "negative_games_missed": F.col("games_missed") < 0}, total=None),
         Q.not_null_checks(c, "customer", ["c_custkey", "c_name", "c_nationkey"]),
         Q.duplicate_check(c, ["c_custkey"], "customer"),
         Q.duplicate_check(seasons, ["season_name"], "dim_season"),
-        Q.count_checks(pairs_fact(spark, d), "fact_pairs", {
+        Q.count_checks(fact(spark, d, "fact_teammate_relationship"), "fact_pairs", {
             "self_pair": F.col("player_sk") == F.col("teammate_player_sk")}, total=None),
     ])
 
@@ -669,6 +560,11 @@ def q_dq_scd2_validity(spark, d):
     ])
 
 
+def q_warehouse_checks(spark, d):
+    """Every check on the star's fifteen tables, with its label."""
+    return Q.labelled(Q.warehouse_checks(_Warehouse(spark, d)))
+
+
 def q_dq_coverage(spark, d):
     """Q5–Q7/A6 as a metric report (one row per metric, text values)."""
     o = T(spark, d, "orders")
@@ -781,15 +677,34 @@ CUSTOMER_DDL = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUB
 
 
 def q_csv_staging(spark, d):
-    """CSV written to the shared folder and read back typed."""
-    from pyspark.sql.types import StructType
-
+    """CSV written to the shared folder and read back typed, some names quoted over two lines."""
     path = scratch_path(spark, "csv-staging")
     customer = T(spark, d, "customer")  # columns in another order than the schema's: they are found by name
-    customer.select(*reversed(customer.columns)).write.mode("overwrite").option("header", True).csv(path)
+    name = F.when(F.col("c_custkey") % 3 == 0, F.regexp_replace("c_name", "#", "\n\"#\",")).otherwise(F.col("c_name"))
+    (customer.withColumn("c_name", name).select(*reversed(customer.columns)).write.mode("overwrite")
+     .option("header", True).option("escape", '"').csv(path))
     return read_csv_typed(spark, path, StructType.fromDDL(CUSTOMER_DDL))
 
 
+def q_staging_load(spark, d):
+    """The sources as CSV files, loaded in order into staging, one of them missing,
+    then a subset reloaded from a folder that lacks one of it; the status lines and the rows that staging holds."""
+    src, stage = scratch_path(spark, "star-csv"), scratch_path(spark, "star-stage")
+    st = staging(spark, d)
+
+    def write(names, folder):
+        for n in names:
+            st[n].write.mode("overwrite").option("header", True).csv(os.path.join(folder, catalogue()[n].file))
+
+    write([n for n in LOAD_ORDER if n not in ("team_children",)], src)
+    first = W.load_staging(spark, src, stage).withColumn("load", F.lit("all"))
+    again_src = scratch_path(spark, "star-csv")
+    write(["player_market_value"], again_src)
+    again = W.load_staging(spark, again_src, stage, ["player_market_value", "transfer_history"]).withColumn("load", F.lit("again"))
+    held = Q.table_counts(W.read_staging(spark, stage)).select("table_name", F.lit("held").alias("status"), "n_rows", F.lit("now").alias("load"))
+    return first.unionByName(again).unionByName(held)
+
+
 def q_run_passed(spark, d):
     """Q15: the pass flag of a clean and of a dirty table; row counts don't decide."""
     orders = T(spark, d, "orders")
@@ -807,7 +722,7 @@ def q_warehouse_reload(spark, d):
     root = scratch_path(spark, "star-warehouse")
     tables = {
         "dim_date": q_dim_date(spark, d), "dim_season": season_dim(spark, d), "dim_member": member_dim(spark, d),
-        "dim_team": team_dim(spark, d), "fact_performance": performance_fact(spark, d),
+        "dim_team": dimensions(spark, d)["dim_team"], "fact_performance": fact(spark, d, "fact_player_performance"),
     }
     paths = {}
     for name, df in tables.items():
@@ -848,6 +763,10 @@ QUERIES = {
     "fact_national": q_fact_national,
     "fact_pairs": q_fact_pairs,
     "season_summary": q_season_summary,
+    "fact_ledger": q_fact_ledger,
+    "fact_append": q_fact_append,
+    "summary_refresh": q_summary_refresh,
+    "version_at": q_version_at,
     "top_scorers": q_top_scorers,
     "value_trend": q_value_trend,
     "interval_impact": q_interval_impact,
@@ -856,12 +775,14 @@ QUERIES = {
     "pair_synergy": q_pair_synergy,
     "team_comparison": q_team_comparison,
     "rank_by_season_group": q_rank_by_season_group,
+    "custom_checks": q_custom_checks,
     "dq_counts": q_dq_counts,
     "dq_orphans": q_dq_orphans,
     "dq_duplicates": q_dq_duplicates,
     "dq_range_unique_notnull": q_dq_range_unique_notnull,
     "dq_scd2_validity": q_dq_scd2_validity,
     "dq_coverage": q_dq_coverage,
+    "warehouse_checks": q_warehouse_checks,
     "table_status": q_table_status,
     "warehouse_summary": q_warehouse_summary,
     "clean_nulls_dates": q_clean_nulls_dates,
@@ -872,6 +793,7 @@ QUERIES = {
     "member_sample": q_member_sample,
     "epoch_date": q_epoch_date,
     "csv_staging": q_csv_staging,
+    "staging_load": q_staging_load,
     "run_passed": q_run_passed,
     "warehouse_reload": q_warehouse_reload,
 }
@@ -879,14 +801,18 @@ QUERIES = {
 
 
 def as_output(df: DataFrame) -> DataFrame:
-    """Result presentation: exact decimals leave as doubles (the nearest double
-    of an exact decimal is the same in every engine); everything else as is."""
-    return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal"
-                       else F.col(f.name) for f in df.schema.fields])
+    """Result presentation: exact decimals leave as doubles (the nearest double of an exact decimal is
+    the same in every engine), content keys as hexadecimal text; everything else as is."""
+    def shown(f):
+        kind = f.dataType.typeName()
+        c = F.col(f.name).cast("double") if kind == "decimal" else F.lower(F.hex(f.name)) if kind == "binary" else F.col(f.name)
+        return c.alias(f.name)
+    return df.select(*[shown(f) for f in df.schema.fields])
 
 
 def output_query(fn):
     def run(spark: SparkSession, d: str) -> DataFrame:
+        look_at(spark, d)
         return as_output(fn(spark, d))
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__

@@ -1,28 +1,39 @@
 """The warehouse build: staging → dimensions → facts → aggregate → checks.
 
-``build_warehouse`` is one driver function that declares every table as a
-DataFrame; nothing is collected.  Dimensions are built in the reference's
-order (agent, team, competition, season, injury type, transfer type, player
-— player last, it needs the agent key), then the calendar is extended by the
-dates the facts use, then facts X1–X6 and the aggregate X7.
+``build_warehouse`` declares every table as a DataFrame; nothing is collected.
+Dimensions are built in the reference's order (agent, team, competition,
+season, injury type, transfer type, player — player last, it needs the agent
+key), then the calendar is extended by the dates the facts use, then facts
+X1–X6 and the aggregate X7.
+
+``run_pipeline`` stores them.  A second run appends: facts hold what their
+stored table lacks (by content key), resolved to the player version current
+at that run, and stored rows keep the version they were loaded with; closed
+player versions are stored apart and only added to; the season aggregate is
+computed anew for the (player, season) groups that new facts touch.  Each
+fact's rows are split once into accepted and rejected ones, which are stored
+with their reason.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dimensions as D
 from ..operators import facts as FX
+from ..operators.keys import max_key
 from ..operators.merge import pick_one
-from ..operators.quality import dropped_rows, run_passed, staging_checks, table_counts, warehouse_checks
-from ..operators.scd2 import scd2_initial, scd2_merge
-from ..operators.summary import season_summary, values_by_season
+from ..operators.quality import dropped_rows, row_ledger, run_passed, staging_checks, table_counts, warehouse_checks
+from ..operators.scd2 import scd2_changes, scd2_initial, scd2_merge, version_at
+from ..operators.summary import refresh_summary, season_summary, values_by_season
 from ..sources import sinks
-from ..sources.readers import is_missing, read_source, source_exists
+from ..sources.readers import read_source, source_exists
 from ..sources.schemas import LOAD_ORDER, catalogue
 
 PLAYER_TRACKED = ("player_name", "position", "current_club_nk", "contract_expires", "agent_sk")
@@ -36,6 +47,18 @@ FACTS = ("fact_player_performance", "fact_market_value", "fact_transfer", "fact_
 # Large facts are stored partitioned by season.
 FACT_PARTITIONS = {"fact_player_performance": ["season_name"], "fact_transfer": ["season_name"],
                    "fact_injury": ["season_name"]}
+# Facts with one row per source record: a record is loaded once, whatever its measures say later.
+ONE_PER_RECORD = ("fact_market_value", "fact_national_performance", "fact_teammate_relationship")
+FACT_SOURCES = {
+    "fact_player_performance": ("player_performances",),
+    "fact_market_value": ("player_market_value", "player_latest_market_value"),
+    "fact_transfer": ("transfer_history",), "fact_injury": ("player_injuries",),
+    "fact_national_performance": ("player_national_performances",),
+    "fact_teammate_relationship": ("player_teammates_played_with",),
+}
+# Closed player versions, stored apart from the current ones, a part for each run that closed some.
+CLOSED = "dim_player_closed@"
+_LOGS = {"ledger": "_ledger", "audit": "_audit", "rejected": "_rejected"}
 
 
 # --- staging (S4, S5, Q17) -----------------------------------------------------
@@ -45,37 +68,27 @@ def load_staging(spark: SparkSession, src_dir: str, stage_dir: str, tables: Iter
 
     Returns ``(table_name, status, n_rows)``; ``tables`` reloads a subset.
     """
-    import os
-
     cat = catalogue()
     wanted = list(tables) if tables is not None else list(LOAD_ORDER)
+    stage = sinks.Tables(spark, stage_dir)
     rows = []
     for name in [t for t in LOAD_ORDER if t in wanted]:
         if not source_exists(spark, src_dir, cat[name]):
             rows.append((name, "missing", None))
             continue
         try:
-            out = os.path.join(stage_dir, name)
-            sinks.write_table(read_source(spark, src_dir, cat[name]), out)
-            rows.append((name, "loaded", spark.read.parquet(out).count()))
+            rows.append((name, "loaded", stage.replace(name, read_source(spark, src_dir, cat[name])).count()))
         except Exception as e:  # noqa: BLE001 - the reference logs and goes on
             rows.append((name, f"failed: {type(e).__name__}", None))
+    stage.commit(lambda name: "staging")
     return spark.createDataFrame(rows, "table_name STRING, status STRING, n_rows BIGINT")
 
 
 def read_staging(spark: SparkSession, stage_dir: str) -> dict[str, DataFrame]:
     """The staged tables (any file system Spark can read); one whose source was missing is empty."""
-    import os
-
-    out = {}
-    for name in LOAD_ORDER:
-        try:
-            out[name] = spark.read.parquet(os.path.join(stage_dir, name))
-        except AnalysisException as e:
-            if not is_missing(e):
-                raise
-            out[name] = spark.createDataFrame([], catalogue()[name].schema)
-    return out
+    stage = sinks.Tables(spark, stage_dir)
+    return {name: stage.read(name) if name in stage else spark.createDataFrame([], catalogue()[name].schema)
+            for name in LOAD_ORDER}
 
 
 # --- dimensions ------------------------------------------------------------------
@@ -101,7 +114,7 @@ def player_batch(profiles: DataFrame, agents: DataFrame) -> DataFrame:
 
 
 def build_dimensions(spark: SparkSession, st: Mapping[str, DataFrame], run_ts: str,
-                     previous: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                     previous: Mapping[str, DataFrame] | None = None, players: bool = True) -> dict[str, DataFrame]:
     prev = previous or {}
     d: dict[str, DataFrame] = {}
     d["dim_agent"] = D.dim_agent(st["player_profiles"], prev.get("dim_agent"))
@@ -111,7 +124,9 @@ def build_dimensions(spark: SparkSession, st: Mapping[str, DataFrame], run_ts: s
     d["dim_injury_type"] = D.dim_injury_type(st["player_injuries"], prev.get("dim_injury_type"))
     d["dim_transfer_type"] = prev["dim_transfer_type"] if "dim_transfer_type" in prev else D.dim_transfer_type(spark)
     batch = player_batch(st["player_profiles"], d["dim_agent"])
-    if "dim_player" in prev:
+    if not players:
+        pass
+    elif "dim_player" in prev:
         d["dim_player"] = scd2_merge(prev["dim_player"], batch, "player_nk", PLAYER_TRACKED, run_ts, "player_sk")
     else:
         d["dim_player"] = scd2_initial(batch, "player_nk", PLAYER_TRACKED, run_ts, "player_sk")
@@ -121,54 +136,93 @@ def build_dimensions(spark: SparkSession, st: Mapping[str, DataFrame], run_ts: s
 
 # --- facts -------------------------------------------------------------------------
 
-def build_facts(st: Mapping[str, DataFrame], d: dict[str, DataFrame], unknown: str = "drop") -> dict[str, DataFrame]:
-    f: dict[str, DataFrame] = {}
-    players = d["dim_player"]
-    if unknown == "member":
-        ids = None
-        for t, c in (("player_performances", "player_id"), ("player_market_value", "player_id"),
-                     ("player_latest_market_value", "player_id"), ("transfer_history", "player_id"),
-                     ("player_injuries", "player_id"), ("player_national_performances", "player_id"),
-                     ("player_teammates_played_with", "player_id"),
-                     ("player_teammates_played_with", "teammate_player_id")):
-            k = st[t].select(F.col(c).alias("player_id"))
-            ids = k if ids is None else ids.unionByName(k)
-        players = FX.ensure_players(players, ids, "player_id")
-        d["dim_player"] = players
-        team_keys = (st["player_performances"].select(F.col("team_id").cast("string").alias("team_nk"))
-                     .unionByName(st["transfer_history"].select(F.col("from_team_id").cast("string").alias("team_nk")))
-                     .unionByName(st["transfer_history"].select(F.col("to_team_id").cast("string").alias("team_nk")))
-                     .unionByName(st["player_national_performances"].select(F.col("team_id").alias("team_nk"))))
-        d["dim_team"] = FX.ensure_teams(d["dim_team"], team_keys)
-        d["dim_competition"] = FX.ensure_competitions(
-            d["dim_competition"], st["player_performances"].select("competition_name"))
-        season_names = (st["player_performances"].select("season_name")
-                        .unionByName(st["player_injuries"].select("season_name"))
-                        .unionByName(st["transfer_history"].select("season_name")))
-        d["dim_season"] = FX.ensure_seasons(d["dim_season"], season_names)
-    f["fact_player_performance"] = FX.fact_player_performance(
-        st["player_performances"], players, d["dim_team"], d["dim_competition"], d["dim_season"], unknown)
-    f["fact_market_value"] = FX.fact_market_value(
-        st["player_market_value"], st["player_latest_market_value"], players, unknown)
-    f["fact_transfer"] = FX.fact_transfer(
-        st["transfer_history"], players, d["dim_team"], d["dim_season"], d["dim_transfer_type"], unknown)
-    f["fact_injury"] = FX.fact_injury(st["player_injuries"], players, d["dim_season"], d["dim_injury_type"], unknown)
-    f["fact_national_performance"] = FX.fact_national_performance(
-        st["player_national_performances"], players, d["dim_team"], unknown)
-    f["fact_teammate_relationship"] = FX.fact_teammate_relationship(
-        st["player_teammates_played_with"], players, unknown)
-    # B2: the calendar grows by every date a fact uses (set-based get_date_sk)
+def add_unknown_members(st: Mapping[str, DataFrame], d: dict[str, DataFrame]) -> None:
+    """Inferred members for the keys that the sources use and the dimensions lack."""
+    ids = None
+    for t, c in (("player_performances", "player_id"), ("player_market_value", "player_id"),
+                 ("player_latest_market_value", "player_id"), ("transfer_history", "player_id"),
+                 ("player_injuries", "player_id"), ("player_national_performances", "player_id"),
+                 ("player_teammates_played_with", "player_id"),
+                 ("player_teammates_played_with", "teammate_player_id")):
+        k = st[t].select(F.col(c).alias("player_id"))
+        ids = k if ids is None else ids.unionByName(k)
+    d["dim_player"] = FX.ensure_players(d["dim_player"], ids, "player_id")
+    team_keys = (st["player_performances"].select(F.col("team_id").cast("string").alias("team_nk"))
+                 .unionByName(st["transfer_history"].select(F.col("from_team_id").cast("string").alias("team_nk")))
+                 .unionByName(st["transfer_history"].select(F.col("to_team_id").cast("string").alias("team_nk")))
+                 .unionByName(st["player_national_performances"].select(F.col("team_id").alias("team_nk"))))
+    d["dim_team"] = FX.ensure_teams(d["dim_team"], team_keys)
+    d["dim_competition"] = FX.ensure_competitions(
+        d["dim_competition"], st["player_performances"].select("competition_name"))
+    season_names = (st["player_performances"].select("season_name")
+                    .unionByName(st["player_injuries"].select("season_name"))
+                    .unionByName(st["transfer_history"].select("season_name")))
+    d["dim_season"] = FX.ensure_seasons(d["dim_season"], season_names)
+
+
+def extend_dates(st: Mapping[str, DataFrame], d: dict[str, DataFrame]) -> None:
+    """B2: the calendar grows by every date a fact uses (set-based get_date_sk)."""
+    value_date = lambda t: st[t].select(FX.value_date(st[t], "date_unix").alias("d"))
     dates = (
-        f["fact_market_value"].select(F.col("value_date").alias("d"))
+        value_date("player_market_value").unionByName(value_date("player_latest_market_value"))
         .unionByName(st["transfer_history"].select(F.col("transfer_date").alias("d")))
         .unionByName(st["player_injuries"].select(F.col("from_date").alias("d")))
         .unionByName(st["player_injuries"].select(F.col("end_date").alias("d")))
         .unionByName(st["player_national_performances"].select(F.col("first_game_date").alias("d")))
     )
     d["dim_date"] = D.extend_calendar(d["dim_date"], dates, "d")
+
+
+def split_fact(name: str, st: Mapping[str, DataFrame], d: Mapping[str, DataFrame], unknown: str = "drop", run_ts=None,
+               spread: bool = True) -> DataFrame:
+    """One of X1–X6 with its rejected rows, resolved to the player versions current at ``run_ts``."""
+    players = d["dim_player"] if run_ts is None else version_at(d["dim_player"], run_ts)
+    how = {"unknown": unknown, "run_ts": run_ts, "spread": spread}
+    if name == "fact_player_performance":
+        return FX.split_player_performance(st["player_performances"], players, d["dim_team"], d["dim_competition"], d["dim_season"], **how)
+    if name == "fact_market_value":
+        return FX.split_market_value(st["player_market_value"], st["player_latest_market_value"], players, **how)
+    if name == "fact_transfer":
+        return FX.split_transfer(st["transfer_history"], players, d["dim_team"], d["dim_season"], d["dim_transfer_type"], **how)
+    if name == "fact_injury":
+        return FX.split_injury(st["player_injuries"], players, d["dim_season"], d["dim_injury_type"], **how)
+    if name == "fact_national_performance":
+        return FX.split_national_performance(st["player_national_performances"], players, d["dim_team"], **how)
+    if name == "fact_teammate_relationship":
+        return FX.split_teammate_relationship(st["player_teammates_played_with"], players, **how)
+    raise KeyError(name)
+
+
+def split_facts(st: Mapping[str, DataFrame], d: Mapping[str, DataFrame], unknown: str = "drop", run_ts=None,
+                spread: bool = True) -> dict[str, DataFrame]:
+    """X1–X6 with their rejected rows."""
+    return {name: split_fact(name, st, d, unknown, run_ts, spread) for name in FACT_SOURCES}
+
+
+def ledger(splits: Mapping[str, DataFrame], st: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows in, accepted and rejected by reason of the facts X1–X6."""
+    return row_ledger(splits, {f: [st[t] for t in FACT_SOURCES[f]] for f in splits})
+
+
+def summary_split(f: Mapping[str, DataFrame], summary: DataFrame) -> DataFrame:
+    """X7's side of the ledger: performance rows by whether a group counts them."""
+    counted = summary.agg(F.coalesce(F.sum("total_matches"), F.lit(0)).cast("long").alias("n_rows")).select(
+        F.lit(None).cast("string").alias("reject_reason"), "n_rows")
+    lost = f["fact_player_performance"].agg(F.count_if(F.col("season_sk").isNull()).alias("n_rows")).select(
+        F.lit("no_season").alias("reject_reason"), "n_rows").where("n_rows > 0")
+    return counted.unionByName(lost)
+
+
+def build_facts(st: Mapping[str, DataFrame], d: dict[str, DataFrame], unknown: str = "drop", run_ts=None,
+                spread: bool = True) -> dict[str, DataFrame]:
+    """X1–X7 as DataFrames; extends the calendar and, with ``unknown='member'``, the dimensions in ``d``."""
+    if unknown == "member":
+        add_unknown_members(st, d)
+    extend_dates(st, d)
+    f = {name: FX.accepted(split) for name, split in split_facts(st, d, unknown, run_ts, spread).items()}
     f["fact_player_season_summary"] = season_summary(
         f["fact_player_performance"], f["fact_injury"],
-        values_by_season(f["fact_market_value"], d["dim_date"], d["dim_season"]))
+        values_by_season(f["fact_market_value"], d["dim_date"], d["dim_season"]), run_ts)
     return f
 
 
@@ -176,29 +230,112 @@ def build_warehouse(spark: SparkSession, staging: Mapping[str, DataFrame], run_t
                     previous: Mapping[str, DataFrame] | None = None, unknown: str = "drop") -> dict[str, DataFrame]:
     """All 15 tables as DataFrames (lazy, except key assignment checkpoints)."""
     d = build_dimensions(spark, staging, run_ts, previous)
-    f = build_facts(staging, d, unknown)
+    f = build_facts(staging, d, unknown, run_ts)
     return {**d, **f}
 
 
-def write_warehouse(spark: SparkSession, wh: Mapping[str, DataFrame], root: str,
-                    skip_loaded: Mapping[str, str] | None = None) -> dict[str, str]:
-    """Write every table to a new version path and swap the manifest.
+# --- storage -----------------------------------------------------------------------
 
-    ``skip_loaded`` maps fact names to existing paths that are kept when
-    they already hold rows (S16, load-if-empty).
-    """
-    paths = {}
+def _kind(name: str) -> str:
+    return "dimension" if name.startswith("dim_") else "fact"
+
+
+def write_warehouse(spark: SparkSession, wh: Mapping[str, DataFrame], root: str) -> dict[str, str]:
+    """Write every table to a new version path and swap the manifest (S15: a full reload)."""
+    stored = sinks.Tables(spark, root)
+    stored.paths, stored.schemas = {}, {}
     for name, df in wh.items():
-        old = (skip_loaded or {}).get(name)
-        if old and sinks.table_has_rows(spark, old):
-            paths[name] = old
+        if name == "dim_player":
+            stored.replace(name, df.where("is_current"))
+            stored.replace(f"{CLOSED}all", df.where("not is_current"))
+        else:
+            stored.replace(name, df, FACT_PARTITIONS.get(name))
+    stored.commit(_kind)
+    return stored.paths
+
+
+def _store_dimensions(stored: sinks.Tables, st: Mapping[str, DataFrame], run_ts: str, unknown: str) -> dict[str, DataFrame]:
+    """New versions of the dimensions; closed player versions are only added to."""
+    spark, previous = stored.spark, _open(stored)
+    known = "dim_player" in stored
+    d = build_dimensions(spark, st, run_ts, {n: t for n, t in previous.items() if n != "dim_player"}, players=not known)
+    if known:
+        batch = player_batch(st["player_profiles"], d["dim_agent"])
+        stays, closes, fresh = scd2_changes(stored.read("dim_player"), batch, "player_nk", PLAYER_TRACKED, run_ts, "player_sk",
+                                            max_key(previous["dim_player"], "player_sk"))
+        d["dim_player"] = stays.unionByName(fresh)
+        # a part of its own: no stored version is written again, and a failed run leaves nothing that is read
+        stored.replace(f"{CLOSED}{uuid.uuid4().hex[:12]}", closes)
+    if unknown == "member":
+        add_unknown_members(st, d)
+    extend_dates(st, d)
+    return {name: stored.replace(name, d[name]) for name in DIMENSIONS}
+
+
+def _store_fact(stored: sinks.Tables, name: str, split: DataFrame, load: str, run_ts: str) -> tuple[DataFrame, DataFrame | None]:
+    """Store one fact; returns its split as stored and the rows that are new (None: all).
+
+    The split is evaluated once, into a landing table by accepted or rejected.
+    """
+    spark, root = stored.spark, stored.root
+    split = split.withColumn("accepted", F.col("reject_reason").isNull())
+    landing = sinks.version_path(root, f"_landing/{name}")
+    sinks.write_table(split, landing, partition_by=["accepted"])
+    landed = spark.read.schema(split.schema).parquet(landing)
+    # rejected rows: their record, the reason and their number
+    sinks.append_rows(landed.where("not accepted").select(
+        F.lit(name).alias("table_name"), "source_record_id", "reject_reason", "n_rows",
+        F.lit(run_ts).cast("timestamp_ntz").alias("run_ts")), f"{root}/{_LOGS['rejected']}")
+    landed = landed.drop("accepted")
+    rows = FX.accepted(landed)
+    by = FACT_PARTITIONS.get(name)
+    if load == "rebuild" or name not in stored:
+        stored.replace(name, rows, by)
+        return landed, None
+    have = stored.read(name)
+    new = FX.not_loaded(have, rows, rows.columns[0], "source_record_id" if name in ONE_PER_RECORD else None)
+    added = sinks.version_path(root, f"_landing/{name}")  # settled before the table it was compared with grows
+    sinks.write_table(new, added)
+    new = spark.read.schema(new.schema).parquet(added)
+    stored.add(name, new.select(*have.columns), by)
+    return landed, new
+
+
+def load_warehouse(spark: SparkSession, st: Mapping[str, DataFrame], root: str, run_ts: str, unknown: str = "drop",
+                   load: str = "append") -> DataFrame:
+    """Store a run's tables under ``root``; returns the row ledger of the facts loaded.
+
+    ``load`` is 'append' (S7, S11: stored facts get the rows they lack),
+    'if_empty' (S16: a fact that holds rows is left as it is) or 'rebuild'
+    (S15: every fact is written anew).  Dimensions come first: a run that fails
+    between two facts has loaded no row twice and adds the rest when repeated.
+    """
+    if load not in ("append", "if_empty", "rebuild"):
+        raise ValueError(f"load must be append, if_empty or rebuild, not {load!r}")
+    stored = sinks.Tables(spark, root)
+    d = _store_dimensions(stored, st, run_ts, unknown)
+    if any(n in stored for n in FACTS):
+        stored.commit(_kind)
+    splits, new = {}, {}
+    for name, split in split_facts(st, d, unknown, run_ts).items():
+        if load == "if_empty" and name in stored and not stored.read(name).isEmpty():
             continue
-        p = sinks.version_path(root, name)
-        sinks.write_table(df, p, partition_by=FACT_PARTITIONS.get(name))
-        paths[name] = p
-    kinds = {n: ("dimension" if n.startswith("dim_") else "fact") for n in paths}
-    sinks.write_manifest(spark, root, paths, kinds)
-    return paths
+        splits[name], new[name] = _store_fact(stored, name, split, load, run_ts)
+    f = {n: stored.read(n) for n in FACT_SOURCES}
+    values = lambda df: values_by_season(df, d["dim_date"], d["dim_season"])
+    summary, of = "fact_player_season_summary", ("fact_player_performance", "fact_injury", "fact_market_value")
+    parts = f[of[0]], f[of[1]], values(f[of[2]])
+    if summary not in stored or load == "rebuild" or any(n in splits and new[n] is None for n in of):
+        stored.replace(summary, season_summary(*parts, run_ts))
+    elif any(n in new for n in of):
+        keys = ("player_sk", "season_sk")
+        touched = reduce(DataFrame.unionByName, [(values(new[n]) if n == of[2] else new[n]).select(*keys) for n in of if n in new])
+        stored.replace(summary, refresh_summary(stored.read(summary), touched, *parts, run_ts))
+    stored.commit(_kind)
+    lines = row_ledger({**splits, summary: summary_split(f, stored.read(summary))},
+                       {**{n: [st[t] for t in FACT_SOURCES[n]] for n in splits}, summary: [f["fact_player_performance"]]})
+    sinks.append_rows(lines.withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz")), f"{root}/{_LOGS['ledger']}")
+    return open_log(spark, root, "ledger").where(F.col("run_ts") == F.lit(run_ts).cast("timestamp_ntz"))
 
 
 def save_to_catalog(spark: SparkSession, wh: Mapping[str, DataFrame], database: str,
@@ -223,11 +360,22 @@ def open_catalog_warehouse(spark: SparkSession, database: str) -> dict[str, Data
     return {t.name: spark.table(f"{database}.{t.name}") for t in spark.catalog.listTables(database)}
 
 
+def _open(stored: sinks.Tables) -> dict[str, DataFrame]:
+    out = {n: stored.read(n) for n in stored.paths if not n.startswith(CLOSED)}
+    for n in stored.paths:
+        if n.startswith(CLOSED):
+            out["dim_player"] = out["dim_player"].unionByName(stored.read(n), allowMissingColumns=True)
+    return out
+
+
 def open_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    m = sinks.read_manifest(spark, root)
-    if m is None:
-        return {}
-    return {r["table_name"]: spark.read.parquet(r["path"]) for r in m.collect()}  # one row per table
+    """The stored tables; closed and current player versions are one dimension."""
+    return _open(sinks.Tables(spark, root))
+
+
+def open_log(spark: SparkSession, root: str, log: str) -> DataFrame:
+    """What the runs recorded: 'ledger' (S12, T8), 'audit' (S12) or 'rejected' rows."""
+    return spark.read.parquet(f"{root}/{_LOGS[log]}")
 
 
 def verify(wh: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -239,36 +387,41 @@ def verify(wh: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame
 
 
 def run_pipeline(spark: SparkSession, src_dir: str, root: str, run_ts: str, unknown: str = "drop",
-                 catalog: str | None = None, buckets: int = 64):
+                 catalog: str | None = None, buckets: int = 64, load: str = "append", max_rejected: float | None = None):
     """The whole run: staging → warehouse → verification, like the reference's
     orchestrator but as one Spark application.
 
     Returns ``(status, counts, checks, passed, audit)``: staging status per
-    source, counts per warehouse table with OK/EMPTY, all checks in long form,
-    the pass flag, and the before/after row counts of this run (S12).
-    With ``catalog`` the built tables are also stored as catalog tables of
-    that database, bucketed by ``player_sk`` (see :func:`save_to_catalog`).
+    source, counts per warehouse table with OK/EMPTY, all checks in long form
+    (lost rows by reason among them), the pass flag, and the before/after row
+    counts of this run, which are stored too (S12).  ``load`` as in
+    :func:`load_warehouse`; a fact that rejects more than the share
+    ``max_rejected`` of its rows fails the run.  With ``catalog`` the tables
+    are also stored as catalog tables of that database, bucketed by
+    ``player_sk`` (see :func:`save_to_catalog`).
     """
-    import os
-
     stage_dir = os.path.join(root, "_staging")
     status = load_staging(spark, src_dir, stage_dir)
     st = read_staging(spark, stage_dir)
     previous = open_warehouse(spark, root)
-    before = table_counts(previous) if previous else spark.createDataFrame(
-        [], "table_name STRING, table_kind STRING, n_rows BIGINT, status STRING")
-    wh = build_warehouse(spark, st, run_ts, previous or None, unknown)
-    paths = write_warehouse(spark, wh, root)
-    stored = {n: spark.read.parquet(p) for n, p in paths.items()}
-    counts, checks, passed = verify(stored)
-    if "player_profiles" in st:
-        checks = checks.unionByName(staging_checks(st)).unionByName(dropped_rows(st, stored["dim_player"]))
-        passed = run_passed(checks)
+    if previous:  # counted now: the same paths hold more rows after the load
+        rows = [tuple(r) for r in table_counts(previous).collect()]  # one row per table
+        before = spark.createDataFrame(rows, "table_name STRING, table_kind STRING, n_rows BIGINT, status STRING")
+    else:
+        before = spark.createDataFrame([], "table_name STRING, table_kind STRING, n_rows BIGINT, status STRING")
+    lines = load_warehouse(spark, st, root, run_ts, unknown, load)
+    stored = open_warehouse(spark, root)
+    counts, checks, _ = verify(stored)
+    checks = checks.unionByName(staging_checks(st)).unionByName(dropped_rows(lines))
+    passed = run_passed(checks, ledger=lines, max_rejected=max_rejected)
     audit = sinks.audit_delta(before, counts).withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
+    sinks.append_rows(audit, f"{root}/{_LOGS['audit']}")
+    audit = open_log(spark, root, "audit").where(F.col("run_ts") == F.lit(run_ts).cast("timestamp_ntz"))
     if catalog:
         save_to_catalog(spark, stored, catalog, buckets)
     return status, counts, checks, passed, audit
 
 
-__all__ = ["load_staging", "read_staging", "build_warehouse", "write_warehouse", "open_warehouse", "verify",
-           "run_pipeline", "player_batch", "save_to_catalog", "open_catalog_warehouse"]
+__all__ = ["load_staging", "read_staging", "build_warehouse", "write_warehouse", "load_warehouse", "open_warehouse",
+           "open_log", "verify", "run_pipeline", "player_batch", "split_fact", "split_facts", "ledger", "save_to_catalog",
+           "open_catalog_warehouse"]

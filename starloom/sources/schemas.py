@@ -7,6 +7,7 @@ for a switching user's files to load.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql.types import StructType
@@ -88,12 +89,18 @@ LOAD_ORDER = (
 
 @dataclass(frozen=True)
 class Source:
-    """One catalogue entry."""
+    """One catalogue entry; ``multi_line`` None lets the reader find out."""
 
     name: str
     file: str
     schema: StructType
     date_columns: tuple[str, ...]
+    multi_line: bool | None = None
+
+
+def columns(name: str) -> list[tuple[str, str]]:
+    """(column, type) of a staging table, without a session."""
+    return re.findall(r"(\w+) ([A-Z]+(?:\(\d+,\d+\))?)", STAGING_DDL[name])
 
 
 def catalogue() -> dict[str, Source]:

@@ -5,12 +5,16 @@ overwritten while it is being read: a rebuilt table (SCD2 merge, upsert) is
 written to a new version directory and the manifest — a small table of
 (table_name → path) written by Spark itself — is replaced afterwards.
 A failed job leaves the previous version in place (T9) where tables are
-written to version directories, as the warehouse's are; :func:`write_table`
-on an existing path (S3) replaces it, and a failure there can leave it empty.
+written to version directories, as the warehouse's and the staging tables
+are; :func:`write_table` on an existing path replaces it, and a failure there
+can leave it empty.  Facts are appended to (S7): Spark's committer makes the
+new files visible when the job ends, and a run that failed half-way adds the
+missing rows when it is repeated.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import time
 import uuid
@@ -19,13 +23,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.quality import table_counts
 from .readers import is_missing
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] | None = None) -> str:
-    """Write parquet; ``partition_by`` for large facts."""
+    """Write parquet; ``partition_by`` for large facts.
+
+    Partitioned rows are dealt by the partition first, and adaptive execution
+    splits and joins the shares by the bytes it measures (its advisory size):
+    a season has one file, or as many as its size asks for, however many tasks
+    made its rows.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -62,10 +75,15 @@ def version_path(root: str, table: str) -> str:
     return os.path.join(root, table, f"v-{uuid.uuid4().hex[:12]}")
 
 
-def write_manifest(spark: SparkSession, root: str, entries: Mapping[str, str], kinds: Mapping[str, str]) -> str:
-    """Record table_name → path; replaces the previous manifest."""
-    rows = [(name, path, kinds.get(name, "table")) for name, path in sorted(entries.items())]
-    m = spark.createDataFrame(rows, "table_name STRING, path STRING, table_kind STRING")
+_MANIFEST = "table_name STRING, path STRING, table_kind STRING, table_schema STRING"
+
+
+def write_manifest(spark: SparkSession, root: str, entries: Mapping[str, str], kinds: Mapping[str, str],
+                   schemas: Mapping[str, str] | None = None) -> str:
+    """Record table_name → path and schema (JSON: an empty partitioned table has no file that says it);
+    replaces the previous manifest."""
+    rows = [(name, path, kinds.get(name, "table"), (schemas or {}).get(name)) for name, path in sorted(entries.items())]
+    m = spark.createDataFrame(rows, _MANIFEST)
     path = os.path.join(root, "_manifest", f"m-{uuid.uuid4().hex[:12]}")
     m.coalesce(1).write.parquet(path)
     # a pointer file of its own per manifest, committed by Spark; the newest counts
@@ -74,6 +92,40 @@ def write_manifest(spark: SparkSession, root: str, entries: Mapping[str, str], k
     return path
 
 
+class Tables:
+    """The tables under a root as its newest manifest has them: read, replaced or added to, then committed."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        m = read_manifest(spark, root)
+        rows = [] if m is None else m.collect()  # one row per table
+        self.spark, self.root = spark, root
+        self.paths = {r["table_name"]: r["path"] for r in rows}
+        self.schemas = {r["table_name"]: r["table_schema"] for r in rows if r["table_schema"]}
+
+    def __contains__(self, name: str) -> bool:
+        return name in self.paths
+
+    def read(self, name: str) -> DataFrame:
+        reader = self.spark.read
+        if name in self.schemas:
+            reader = reader.schema(StructType.fromJson(json.loads(self.schemas[name])))
+        return reader.parquet(self.paths[name])
+
+    def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
+        """A new version of a table, beside the old one; returns it as stored."""
+        path = version_path(self.root, name.rstrip("@"))
+        write_table(df, path, partition_by=partition_by)
+        self.paths[name], self.schemas[name] = path, df.schema.json()
+        return self.read(name)
+
+    def add(self, name: str, df: DataFrame, partition_by: Sequence[str] | None = None) -> None:
+        """Rows added to a table (S7); they are visible when the job that writes them ends."""
+        write_table(df, self.paths[name], mode="append", partition_by=partition_by)
+
+    def commit(self, kind) -> None:
+        write_manifest(self.spark, self.root, self.paths, {n: kind(n) for n in self.paths}, self.schemas)
+
+
 def read_manifest(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest manifest; None where there is no warehouse.  A warehouse whose pointers can't be read raises."""
     try:
@@ -92,10 +144,16 @@ def list_tables(spark: SparkSession, root: str) -> DataFrame:
     """Tables of a warehouse (from its manifest)."""
     m = read_manifest(spark, root)
     if m is None:
-        return spark.createDataFrame([], "table_name STRING, path STRING, table_kind STRING")
+        return spark.createDataFrame([], _MANIFEST)
     return m
 
 
+def append_rows(df: DataFrame, path: str) -> str:
+    """Rows of a run added to a log table (audit, ledger, rejected rows)."""
+    df.write.mode("append").parquet(path)
+    return path
+
+
 def audit_counts(tables: Mapping[str, DataFrame], run_ts, kinds: Mapping[str, str] | None = None) -> DataFrame:
     """Row count per table, stamped with the run time."""
     return table_counts(tables, kinds).withColumn("run_ts", F.lit(run_ts).cast("timestamp_ntz"))
@@ -129,5 +187,5 @@ def save_bucketed(df: DataFrame, table: str, bucket_by: Sequence[str], num_bucke
 
 __all__ = [
     "write_table", "overwrite_partitions", "write_if_empty", "table_has_rows", "version_path", "write_manifest",
-    "read_manifest", "list_tables", "audit_counts", "audit_delta", "save_bucketed",
+    "read_manifest", "list_tables", "append_rows", "Tables", "audit_counts", "audit_delta", "save_bucketed",
 ]

@@ -67,7 +67,7 @@ def test_null_tokens_and_lenient_date(spark):
 
 def test_ratio_and_ladders(spark):
     df = spark.createDataFrame([(3, 0), (3, 2), (None, 2), (5, None)], "a INT, b INT")
-    assert [r[0] for r in df.select(X.ratio("a", "b")).collect()] == [None, 1.5, None, None]
+    assert [r[0] and float(r[0]) for r in df.select(X.rate("a", "b")).collect()] == [None, 1.5, None, None]
     days = spark.createDataFrame([(0,), (7,), (8,), (90,), (181,), (None,)], "d INT")
     assert [r[0] for r in days.select(X.severity_score("d")).collect()] == [1, 1, 2, 3, 5, None]
     assert _one(spark, X.status_label("n"), [(0,), (3,)], "n INT") == ["EMPTY", "OK"]

@@ -40,7 +40,7 @@ def test_staging_status(built):
 
 
 def test_staging_cleaning(spark, built):
-    prof = spark.read.parquet(os.path.join(built["root"], "_staging", "player_profiles"))
+    prof = W.read_staging(spark, os.path.join(built["root"], "_staging"))["player_profiles"]
     r = {x.player_id: x for x in prof.collect()}
     assert r[3].position is None              # 'nan' -> NULL
     assert r[6].player_agent_id is None        # '' -> NULL

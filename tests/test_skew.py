@@ -4,7 +4,7 @@ give the window result without putting that member into one task."""
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import sequence_keys
+from starloom.operators.keys import frequent_keys, lookup_sk, sequence_keys
 from starloom.operators.merge import pick_one
 from starloom.operators.quality import orphan_check
 from starloom.operators.windows import next_in_group, previous_in_group
@@ -22,14 +22,53 @@ def test_previous_and_next_match_window_under_skew(spark):
     w = Window.partitionBy("member").orderBy("seq")
     want = {r.seq: (r.p, r.n) for r in df.select("seq", F.lag("v").over(w).alias("p"),
                                                  F.lead("v").over(w).alias("n")).collect()}
-    got = previous_in_group(df, ["member"], ["seq"], ["v"], prefix="p_")
-    got = next_in_group(got, ["member"], ["seq"], ["v"], prefix="n_")
+    span = F.floor(F.col("seq") / 1000)
+    got = previous_in_group(df, ["member"], ["seq"], ["v"], span, prefix="p_")
+    got = next_in_group(got, ["member"], ["seq"], ["v"], span, prefix="n_")
     assert {r.seq: (r.p_v, r.n_v) for r in got.collect()} == want
 
 
+def test_neighbours_with_null_values_groups_and_spans(spark):
+    rows = [(g, s, None if (g or 0) + s == 3 else s * 10) for g in (1, None) for s in range(6)]
+    df = spark.createDataFrame(rows, "g int, seq int, v int")
+    for span in (F.floor(F.col("seq") / 2), F.lit(0), F.when(F.col("seq") > 2, F.col("seq")), F.col("seq")):
+        got = {(r.g, r.seq): (r.p_v, r.n_v) for r in next_in_group(
+            previous_in_group(df, ["g"], ["seq"], ["v"], span, "p_"), ["g"], ["seq"], ["v"], span, "n_").collect()}
+        at = {(g, s): v for g, s, v in rows}
+        assert got == {(g, s): (at.get((g, s - 1)), at.get((g, s + 1))) for g, s, _ in rows}
+    assert previous_in_group(df.where("false"), ["g"], ["seq"], ["v"], F.lit(0)).count() == 0
+
+
+def _sizes(df):
+    """Rows per partition of the shuffle by which ``df`` was joined."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+def test_lookup_spreads_null_and_frequent_keys(spark):
+    """Half of the keys are NULL and a third one team: no task gets above twice the median."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        key = F.when(F.col("id") % 2 == 0, None).when(F.col("id") % 3 < 2, F.lit(7)).otherwise(F.col("id") % 997)
+        fact = spark.range(60_000).select(F.col("id").alias("row"), key.cast("int").alias("team"))
+        dim = spark.range(0, 900).select(F.col("id").cast("string").alias("nk"), (F.col("id") + 5000).alias("sk"))
+        hot = frequent_keys(fact, F.col("team").cast("string"), fraction=0.05)
+        got = lookup_sk(fact, dim, "team", "nk", "sk", cast_to="string", hot=hot)
+        sizes = sorted(_sizes(got))
+        assert sum(sizes) == 60_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        plain = lookup_sk(fact, dim, "team", "nk", "sk", cast_to="string")
+        assert max(_sizes(plain)) > 0.4 * 60_000
+        assert sorted(got.collect()) == sorted(plain.collect())
+        inner = lookup_sk(fact, dim, "team", "nk", "sk", cast_to="string", how="inner", hot=hot)
+        assert inner.count() == lookup_sk(fact, dim, "team", "nk", "sk", cast_to="string", how="inner").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_hot_member_is_spread_over_tasks(spark):
     df = _skewed(spark)
-    # the range partitioning behind sequence_keys / previous_in_group
+    # the range partitioning behind sequence_keys
     sizes = [r["count"] for r in df.repartitionByRange(8, "member", "seq")
              .groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert max(sizes) < 0.25 * sum(sizes)  # the hot third is split, not one task
