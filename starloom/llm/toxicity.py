@@ -37,6 +37,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -50,7 +51,7 @@ CONTEXT = 7
 #: Kneser-Ney discount of the shared model.
 DISCOUNT = 0.75
 #: Bytes of ordinary and of toxic labelled text that the models learn from at the most.
-SAMPLE_BYTES = 4_000_000, 3_000_000
+SAMPLE_BYTES = 6_000_000, 4_000_000
 #: Words remembered per Python worker; the table starts anew beyond it.
 WORDS_KEPT = 500_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -67,7 +68,7 @@ def expressions(word: str) -> list[str]:
     return [s[max(0, i - CONTEXT) : i + 1] for i in range(1, len(s))]
 
 
-def _counts(rows: DataFrame) -> pd.DataFrame:
+def _counts(rows: DataFrame) -> DataFrame:
     """rows: toxic, text.  Documents of either class per expression, summed over words."""
 
     def per_word(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,63 +90,53 @@ def _counts(rows: DataFrame) -> pd.DataFrame:
         yield pd.DataFrame([(e, n, toxic[e]) for e, n in ordinary.items()], columns=["e", "ordinary", "toxic"])
 
     words = rows.mapInPandas(per_word, "word string, ordinary long, toxic long").groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-    return words.mapInPandas(per_expression, "e string, ordinary long, toxic long").groupBy("e").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).toPandas()
-
-
-class SharedModel:
-    """Interpolated Kneser-Ney over the counts of both classes."""
-
-    def __init__(self, counts: dict[str, int]):
-        # by length of the expression: counts at the top and at word starts, numbers of different letters before it below
-        self.levels: dict[int, Counter] = {}
-        longer: set[str] = set()
-        for size in range(CONTEXT + 1, 0, -1):
-            level = Counter(e[1:] for e in longer)
-            whole = [e for e in counts if len(e) == size]
-            for e in whole:
-                level[e] += counts[e] if size == CONTEXT + 1 or e[0] == "^" else 0
-            self.levels[size] = level
-            longer = set(level)
-        self.total: dict[str, int] = Counter()
-        self.freed: dict[str, float] = Counter()
-        for level in self.levels.values():
-            for e, n in level.items():
-                self.total[e[:-1], len(e)] += n
-                self.freed[e[:-1], len(e)] += min(n, DISCOUNT)
-        self.letters = max(1, len(self.levels[1]))
-
-    def p(self, e: str) -> float:
-        if not e:
-            return 1 / self.letters
-        context = e[:-1], len(e)
-        total = self.total.get(context)
-        if not total:
-            return self.p(e[1:])
-        kept = max(self.levels[len(e)].get(e, 0) - DISCOUNT, 0) / total
-        return kept + self.freed[context] / total * self.p(e[1:])
-
-
-def _gain(count: float, expected: float) -> float:
-    excess = max(0.0, count - expected - (1 + 2 * math.sqrt(expected) + expected / 2))
-    return math.log((expected + excess + 1) / (expected + 1))
-
-
-def weights(counts: pd.DataFrame) -> dict[str, float]:
-    """Toxic minus ordinary log-likelihood of each expression, where it isn't 0."""
-    both = dict(zip(counts["e"], counts["ordinary"] + counts["toxic"]))
-    shared = SharedModel(both)
-    seen: list[Counter] = [Counter(), Counter()]
-    for e, o, t in zip(counts["e"], counts["ordinary"], counts["toxic"]):
-        seen[0][e[:-1]] += o
-        seen[1][e[:-1]] += t
-    out = {}
-    for e, o, t in zip(counts["e"], counts["ordinary"], counts["toxic"]):
-        if seen[1][e[:-1]] > 1:  # else neither class can exceed its share
-            p = shared.p(e)
-            weight = _gain(t, p * seen[1][e[:-1]]) - _gain(o, p * seen[0][e[:-1]])
-            if weight:
-                out[e] = weight
-    return out
+    return words.mapInPandas(per_expression, "e string, ordinary long, toxic long").groupBy("e").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+
+
+def shared_probabilities(counts: DataFrame) -> DataFrame:
+    """e, ordinary, toxic and p of each expression: interpolated Kneser-Ney over the counts of both classes.
+
+    Whole expressions count as often as they were met; shorter ones, which only
+    longer ones lead to, by the number of different letters before them.  One
+    aggregate per length from the longest down, then one join per length up,
+    each kept as a table.
+    """
+    levels, level = {}, None
+    for size in range(CONTEXT + 1, 0, -1):
+        whole = F.lit(True) if size == CONTEXT + 1 else F.col("e").startswith("^")
+        rows = counts.where(F.length("e") == size).select("e", F.when(whole, F.col("ordinary") + F.col("toxic")).otherwise(0.0).alias("n"))
+        if level is not None:
+            rows = rows.unionByName(level.select(F.expr("substring(e, 2)").alias("e"), F.lit(1.0).alias("n")))
+        level = levels[size] = stored(rows.groupBy("e").agg(F.sum("n").alias("n")), "toxicity-level")
+    letters = max(1, levels[1].count())
+    shorter, found = None, []
+    for size in range(1, CONTEXT + 2):
+        context = F.left("e", F.length("e") - 1)
+        sums = levels[size].groupBy(context.alias("c")).agg(F.sum("n").alias("total"), F.sum(F.least("n", F.lit(DISCOUNT))).alias("freed"))
+        rows = levels[size].withColumn("c", context).join(sums, "c")
+        if shorter is None:
+            rows = rows.withColumn("below", F.lit(1 / letters))
+        else:
+            rows = rows.join(shorter.select(F.col("e").alias("s"), F.col("p").alias("below")), F.expr("substring(e, 2)") == F.col("s"))
+        p = F.when(F.col("total") > 0, (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + F.col("freed") * F.col("below")) / F.col("total")).otherwise(F.col("below"))
+        shorter = stored(rows.select("e", p.alias("p")), "toxicity-share")
+        found.append(shorter)
+    return counts.join(reduce(DataFrame.unionByName, found), "e")
+
+
+def _gain(count: Column, expected: Column) -> Column:
+    excess = F.greatest(F.lit(0.0), count - expected - (1 + 2 * F.sqrt(expected) + expected / 2))
+    return F.log((expected + excess + 1) / (expected + 1))
+
+
+def weights(counts: DataFrame) -> dict[str, float]:
+    """Toxic minus ordinary log-likelihood of each expression, where it isn't 0: no more than the sample's expressions."""
+    context = F.left("e", F.length("e") - 1)
+    seen = counts.groupBy(context.alias("c")).agg(F.sum("ordinary").alias("o"), F.sum("toxic").alias("t")).where("t > 1")  # else neither class can exceed its share
+    rows = shared_probabilities(counts).withColumn("c", context).join(seen, "c")
+    weight = _gain(F.col("toxic"), F.col("p") * F.col("t")) - _gain(F.col("ordinary"), F.col("p") * F.col("o"))
+    found = rows.select("e", weight.alias("w")).where("w != 0").toPandas()
+    return dict(zip(found["e"], found["w"]))
 
 
 def measure(df: DataFrame, table: dict[str, float], text_col: str) -> Column:
@@ -199,10 +190,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = given.where(place < max(share)).join(known, "id").where(place < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
     rows = stored(rows.select("toxic", "text", (fold(F.col("id"), folds) == folds - 1).alias("fit")), "toxicity-sample")
     weight = share[1] / max(share[0], 1)
-    counts = _counts(rows.where("not fit"))
-    counts["ordinary"] *= weight
-    table = weights(counts)
-    del counts
+    counts = _counts(rows.where("not fit")).select("e", (F.col("ordinary") * F.lit(float(weight))).alias("ordinary"), F.col("toxic").cast("double").alias("toxic"))
+    table = weights(stored(counts, "toxicity-counts"))
     seen = rows.where("fit").select("toxic", F.round(measure(rows, table, "text") / _STEP).alias("x")).groupBy("x", "toxic").count().toPandas()
     seen = seen.pivot_table(index="x", columns="toxic", values="count", fill_value=0) if len(seen) else seen
     if not len(seen) or 0 not in seen or 1 not in seen:

@@ -1,6 +1,9 @@
+import math
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import langid, toxicity
 
@@ -79,12 +82,76 @@ def test_one_class_only(corpus):
     assert {r.score for r in toxicity.scores(docs, labels.where("toxic = 0")).collect()} == {0.0}
 
 
-def test_shared_model_sums_to_one():
+class SharedModel:
+    """Interpolated Kneser-Ney by recursion, as a model of what the tables hold."""
+
+    def __init__(self, counts):
+        self.levels, longer = {}, set()
+        for size in range(toxicity.CONTEXT + 1, 0, -1):
+            level = Counter(e[1:] for e in longer)
+            for e in (e for e in counts if len(e) == size):
+                level[e] += counts[e] if size == toxicity.CONTEXT + 1 or e[0] == "^" else 0
+            self.levels[size], longer = level, set(level)
+        self.total, self.freed = Counter(), Counter()
+        for level in self.levels.values():
+            for e, n in level.items():
+                self.total[e[:-1], len(e)] += n
+                self.freed[e[:-1], len(e)] += min(n, toxicity.DISCOUNT)
+        self.letters = max(1, len(self.levels[1]))
+
+    def p(self, e):
+        if not e:
+            return 1 / self.letters
+        total = self.total.get((e[:-1], len(e)))
+        if not total:
+            return self.p(e[1:])
+        return max(self.levels[len(e)].get(e, 0) - toxicity.DISCOUNT, 0) / total + self.freed[e[:-1], len(e)] / total * self.p(e[1:])
+
+
+def expression_counts(words):
     counts = {}
-    for w, n in (("haus", 3), ("hand", 1), ("maus", 2)):
+    for w, o, t in words:
         for e in toxicity.expressions(w):
-            counts[e] = counts.get(e, 0) + n
-    model = toxicity.SharedModel(counts)
+            a, b = counts.get(e, (0, 0))
+            counts[e] = a + o, b + t
+    return counts
+
+
+WORD_COUNTS = [("haus", 3, 1), ("hand", 1, 0), ("maus", 2, 9), ("straßenbahnhaltestelle", 2, 2), ("idiot", 0, 12), ("a", 40, 2), ("ab", 7, 0), ("中文", 1, 1)]
+
+
+def test_shared_probabilities(spark):
+    counts = expression_counts(WORD_COUNTS)
+    model = SharedModel({e: o + t for e, (o, t) in counts.items()})
+    frame = spark.createDataFrame([(e, float(o), float(t)) for e, (o, t) in counts.items()], "e string, ordinary double, toxic double")
+    got = {r.e: r.p for r in toxicity.shared_probabilities(frame).collect()}
+    assert got.keys() == counts.keys() and all(abs(got[e] - model.p(e)) < 1e-12 for e in counts)
     letters = {e[-1] for e in counts}
     for context in ("^", "^ha", "^m", "u", ""):
         assert abs(sum(model.p(context + x) for x in letters) - 1) < 1e-9
+
+
+def test_weights(spark):
+    """Against the same rule by hand."""
+    counts = expression_counts(WORD_COUNTS)
+    model = SharedModel({e: o + t for e, (o, t) in counts.items()})
+
+    def gain(count, expected):
+        return math.log((expected + max(0.0, count - expected - (1 + 2 * math.sqrt(expected) + expected / 2)) + 1) / (expected + 1))
+
+    seen = Counter(), Counter()
+    for e, pair in counts.items():
+        for c in (0, 1):
+            seen[c][e[:-1]] += pair[c]
+    want = {e: gain(t, model.p(e) * seen[1][e[:-1]]) - gain(o, model.p(e) * seen[0][e[:-1]]) for e, (o, t) in counts.items() if seen[1][e[:-1]] > 1}
+    frame = spark.createDataFrame([(e, float(o), float(t)) for e, (o, t) in counts.items()], "e string, ordinary double, toxic double")
+    got = toxicity.weights(frame)
+    assert got.keys() == {e for e, w in want.items() if w} and all(abs(got[e] - want[e]) < 1e-12 for e in got) and max(got.values()) > 0
+
+
+def test_toxicity_of_repeated_rows_and_a_long_text(corpus):
+    docs, labels = corpus
+    rows = [(7000, "the idiot scum moron " * 15_000, "x"), (7001, "you scum", "x"), (7001, "you scum", "x")]
+    more = docs.unionByName(docs.sparkSession.createDataFrame(rows, docs.schema)).withColumn("e", F.lit("clash")).withColumn("toxic", F.lit(9))
+    got = toxicity.scores(more, labels).where("doc_id >= 7000").collect()
+    assert len(got) == 3 and {r.predicted for r in got if r.doc_id == 7000} == {1} and len({r.score for r in got if r.doc_id == 7001}) == 1
