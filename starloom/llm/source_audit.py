@@ -40,7 +40,7 @@ MIN_DOCS, SMOOTHING, SCALE, TERMS_SHOWN = 30, 5, 1_000_000_000, 50
 #: Terms that a task holds before it hands its counts on.
 HELD = 400_000
 #: Sources of a square's side, and rows of the (source, term) table in a block of terms.
-SQUARE, BLOCK_ROWS = 512, 1_000_000
+SQUARE, BLOCK_ROWS = 512, 50_000
 #: All but ASCII letters and bytes of letters beyond ASCII separates terms; A-Z are lowered.
 _TERMS = bytes(b if b >= 0x80 or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
 _COUNTS = "lang string, source string, term string, n long, docs long"
@@ -155,6 +155,12 @@ def _square(rows: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
+def _blocks(counts: DataFrame, groups: DataFrame) -> int:
+    """Blocks of terms: as many as give each about BLOCK_ROWS rows, but no more sums over blocks than rows."""
+    rows, pairs = counts.count(), groups.groupBy("lang").count().agg(F.sum(F.col("count") * F.col("count") / 2)).first()[0] or 0
+    return max(1, min(blocks_for(rows, BLOCK_ROWS), int(rows / max(pairs, 1))))
+
+
 def _pairs(cells: DataFrame, groups: DataFrame, blocks: int) -> DataFrame:
     """lang, a, b (numbers of sources, a < b) and the sum of abs(p - q) over all kept terms."""
     blocks_of = groups.groupBy("lang").agg(F.max(F.floor(F.col("sid") / SQUARE)).alias("last"))
@@ -188,7 +194,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     above = above.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= terms_shown)
 
     # squares copy a source's cells once a block of sources; both bound what a task holds
-    pairs = _pairs(cells.drop("q"), groups, blocks_for(counts.count(), BLOCK_ROWS))
+    pairs = _pairs(cells.drop("q"), groups, _blocks(counts, groups))
     named = groups.select("lang", "sid", "source", "z", "kept")
     a, b = (named.select(F.col("lang").alias(f"l{x}"), F.col("sid").alias(f"s{x}"), F.col("source").alias(f"source_{x}"), F.col("z").alias(f"z{x}"), F.col("kept").alias(f"v{x}")) for x in "ab")
     pairs = pairs.join(a, (F.col("lang") == F.col("la")) & (F.col("a") == F.col("sa"))).join(b, (F.col("lang") == F.col("lb")) & (F.col("b") == F.col("sb")))
