@@ -74,38 +74,6 @@ def _bucketed(found: list[bytes], buckets: int) -> dict[int, list[bytes]]:
     return out
 
 
-def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """docs: text.  One row per bucket: its words joined by spaces and their counts; each text ends in one END."""
-
-    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
-
-        def packed() -> pd.DataFrame:
-            by = _bucketed(list(counts), buckets)
-            return pd.DataFrame({"bucket": list(by), "words": [b" ".join(x) for x in by.values()], "counts": [np.array([counts[w] for w in x], dtype="<i8").tobytes() for x in by.values()]})
-
-        for batch in batches:
-            for text in batch["text"]:
-                counts.update(words(text))
-                counts[END] += 1
-                if len(counts) >= GATHERED:
-                    yield packed()
-                    counts.clear()
-        if counts:
-            yield packed()
-
-    def met(part: pd.DataFrame) -> pd.DataFrame:
-        counts: Counter = Counter()
-        for found, n in zip(part["words"], part["counts"]):
-            for w, x in zip(found.split(b" "), np.frombuffer(n, "<i8").tolist()):
-                counts[w] += x
-        found = sorted(counts)
-        n = np.array([counts[w] for w in found], dtype="<i8")
-        return pd.DataFrame({"bucket": [part["bucket"].iloc[0]], "words": [b" ".join(found)], "counts": [n.tobytes()], "tokens": [n.sum()], "types": [len(found)]})
-
-    return docs.mapInPandas(dealt, "bucket long, words binary, counts binary").groupBy("bucket").applyInPandas(met, "bucket long, words binary, counts binary, tokens long, types long")
-
-
 # -- the trie ---------------------------------------------------------------------------
 # A node is a context of k bytes and the byte after it, as one number: k in the top
 # byte, then the context, then the byte.
@@ -136,10 +104,13 @@ def _shorter(code: np.ndarray, order: int) -> np.ndarray:
 
 
 def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    code, place = np.unique(code, return_inverse=True)
-    out = np.zeros(len(code), dtype=np.int64)
-    np.add.at(out, place, n)
-    return code, out
+    if not len(code):
+        return code, n
+    if not (code[1:] >= code[:-1]).all():
+        by = np.argsort(code, kind="stable")  # runs that are sorted already are merged
+        code, n = code[by], n[by]
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    return code[first], np.add.reduceat(n, first)
 
 
 def _block_of(codes: np.ndarray, blocks: int) -> np.ndarray:
@@ -151,43 +122,86 @@ def _distinct(sorted_codes: np.ndarray) -> np.ndarray:
     return sorted_codes[np.r_[True, sorted_codes[1:] != sorted_codes[:-1]]] if len(sorted_codes) else sorted_codes
 
 
-def trie_blocks(texts: DataFrame, blocks: int) -> DataFrame:
-    """block, level, codes, counts: the nodes by block and order, sorted by code; those of order 1 still in parts.  texts: text."""
+def learnt(texts: DataFrame, buckets: int) -> DataFrame:
+    """kind, part, level, keys, counts, tokens, types of the training texts, stored.  texts: text.
+
+    Kind _WORDS: a row per bucket with its words joined by spaces; each text ends
+    in one END.  Kind _NODES: the nodes by block of the trie and order, sorted by
+    code; those of order 1 still in parts.  One pass over the texts gathers both.
+    """
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        counts: Counter = Counter()
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def packed_words() -> pd.DataFrame:
+            by = _bucketed(list(counts), buckets)
+            return pd.DataFrame({"kind": _WORDS, "part": list(by), "keys": [b" ".join(x) for x in by.values()], "counts": [np.array([counts[w] for w in x], dtype="<i8").tobytes() for x in by.values()]})
+
+        def merged() -> None:
+            nonlocal held
+            codes, n = _summed(np.concatenate([c for c, _ in found]), np.concatenate([n for _, n in found]))
+            found[:], held = [(codes, n)], len(codes)
 
-        def packed() -> pd.DataFrame:
-            block = _block_of(codes, blocks)
+        def packed_nodes() -> pd.DataFrame:
+            codes, n = found[0]
+            block = _block_of(codes, buckets)
             by = np.argsort(block, kind="stable")
             first = np.flatnonzero(np.r_[True, np.diff(block[by]) != 0])
-            return pd.DataFrame({"block": block[by][first], "codes": [x.astype("<u8").tobytes() for x in np.split(codes[by], first[1:])], "counts": [x.astype("<u4").tobytes() for x in np.split(counts[by], first[1:])]})
+            return pd.DataFrame({"kind": _NODES, "part": block[by][first], "keys": [x.astype("<u8").tobytes() for x in np.split(codes[by], first[1:])], "counts": [x.astype("<i8").tobytes() for x in np.split(n[by], first[1:])]})
 
         for lists in _lists(batches):
+            for some in lists:
+                counts.update(some)
+            counts[END] += len(lists)
+            if len(counts) >= GATHERED:
+                yield packed_words()
+                counts.clear()
             data, at, _ = _stream(lists)
-            code, n = np.unique(_codes(data, at), return_counts=True)
-            codes, counts = _summed(np.concatenate([codes, code]), np.concatenate([counts, n]))
-            if len(codes) >= GATHERED_NODES or counts.max() >= 1 << 31:
-                yield packed()
-                codes, counts = codes[:0], counts[:0]
-        if len(codes):
-            yield packed()
+            code = np.sort(_codes(data, at))
+            found.append(_summed(code, np.ones(len(code), np.int64)))
+            held += len(found[-1][0])
+            if held >= GATHERED_NODES:
+                merged()
+                if held >= GATHERED_NODES // 2:
+                    yield packed_nodes()
+                    found, held = [], 0
+        if counts:
+            yield packed_words()
+        if found:
+            merged()
+            yield packed_nodes()
 
     def met(part: pd.DataFrame) -> pd.DataFrame:
-        """All nodes whose contexts end in the same two bytes are in one block, down to contexts of two bytes."""
-        code, n = _summed(np.concatenate([np.frombuffer(x, "<u8") for x in part["codes"]]), np.concatenate([np.frombuffer(x, "<u4") for x in part["counts"]]).astype(np.int64))
-        out = []
-        for order in range(ORDER, 1, -1):
-            if order < ORDER:
-                code, n = _summed(_shorter(code, order), n)
-            out.append((order, code.astype("<u8").tobytes(), n.astype("<i8").tobytes()))
-        code, n = _summed(_shorter(code, 1), n)
-        out.append((1, code.astype("<u8").tobytes(), n.astype("<i8").tobytes()))
-        made = pd.DataFrame(out, columns=["level", "codes", "counts"])
-        made.insert(0, "block", part["block"].iloc[0])
+        of = int(part["part"].iloc[0])
+        if part["kind"].iloc[0] == _WORDS:
+            counts: Counter = Counter()
+            for found, n in zip(part["keys"], part["counts"]):
+                for w, x in zip(found.split(b" "), np.frombuffer(n, "<i8").tolist()):
+                    counts[w] += x
+            found = sorted(counts)
+            n = np.array([counts[w] for w in found], dtype="<i8")
+            out = [(0, b" ".join(found), n.tobytes(), int(n.sum()), len(found))]
+        else:  # all nodes whose contexts end in the same two bytes are in one block, down to contexts of two bytes
+            code, n = _summed(np.concatenate([np.frombuffer(x, "<u8") for x in part["keys"]]), np.concatenate([np.frombuffer(x, "<i8") for x in part["counts"]]))
+            out = []
+            for order in range(ORDER, 0, -1):
+                if order < ORDER:
+                    code, n = _summed(_shorter(code, order), n)
+                out.append((order, code.astype("<u8").tobytes(), n.astype("<i8").tobytes(), 0, 0))
+        made = pd.DataFrame(out, columns=["level", "keys", "counts", "tokens", "types"])
+        made.insert(0, "part", of)
+        made.insert(0, "kind", int(part["kind"].iloc[0]))
         return made
 
-    return stored(texts.mapInPandas(dealt, "block long, codes binary, counts binary").groupBy("block").applyInPandas(met, "block long, level int, codes binary, counts binary"), "ppm-nodes")
+    rows = texts.mapInPandas(dealt, "kind int, part long, keys binary, counts binary").groupBy("kind", "part")
+    return stored(rows.applyInPandas(met, "kind int, part long, level int, keys binary, counts binary, tokens long, types long"), "ppm-model")
+
+
+def trie_blocks(model: DataFrame) -> DataFrame:
+    """block, level, codes, counts of what is ``learnt``."""
+    return model.where(F.col("kind") == _NODES).select(F.col("part").alias("block"), "level", F.col("keys").alias("codes"), "counts")
 
 
 def lowest_nodes(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -209,14 +223,6 @@ def _gathered(rows: list) -> tuple[np.ndarray, np.ndarray]:
     return code[order], n[order]
 
 
-def trie(texts: DataFrame, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, counts) of all nodes, sorted by code, in the driver: for small training sets."""
-    nodes = trie_blocks(texts, blocks)
-    code, n = _gathered(nodes.where("level > 1").collect())
-    low = lowest_nodes(nodes)
-    return np.concatenate([low[0], code]), np.concatenate([low[1], n])
-
-
 class Scores:
     """Scores by node, in a hash table."""
 
@@ -329,17 +335,39 @@ def _lists(batches: Iterator[pd.DataFrame]) -> Iterator[list[list[bytes]]]:
         yield some
 
 
-def _deepest(lists: Iterator[list[list[bytes]]]) -> np.ndarray:
-    """The sorted distinct deepest nodes of some texts."""
-    found, held = [], 0
-    for some in lists:
-        data, at, _ = _stream(some)
-        found.append(_distinct(np.sort(_codes(data, at))))
-        held += len(found[-1])
-        if held >= GATHERED_NODES:
-            found = [_distinct(np.sort(np.concatenate(found)))]
-            held = 0
-    return _distinct(np.sort(np.concatenate(found))) if found else np.zeros(0, np.uint64)
+class _Pieces:
+    """A block's texts cut into words once, and the deepest nodes of their bytes, STREAM_BYTES at a time."""
+
+    def __init__(self, texts: pd.Series, places: bool):
+        self.lists: list[list[bytes]] = []
+        self.pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
+        found = []
+        for some in _lists(iter([pd.DataFrame({"text": texts})])):
+            self.lists += some
+            data, at, text = _stream(some)
+            code = _codes(data, at)
+            if not places:
+                found.append(_distinct(np.sort(code)))
+                continue
+            by = np.argsort(code)
+            new = np.r_[True, np.diff(code[by]) != 0] if len(code) else np.zeros(0, bool)
+            found.append(code[by][new])
+            place = np.empty(len(code), np.int32)
+            place[by] = np.cumsum(new) - 1
+            self.pieces.append((found[-1], place, text.astype(np.int32), len(some)))
+        #: The sorted distinct deepest nodes.
+        self.codes = _distinct(np.sort(np.concatenate(found), kind="stable")) if found else np.zeros(0, np.uint64)
+
+    def words(self) -> set[bytes]:
+        out = {END}
+        for some in self.lists:
+            out.update(some)
+        return out
+
+    def sums(self, score: np.ndarray) -> np.ndarray:
+        """The sum of the nodes' scores in each text."""
+        out = [np.bincount(text, weights=score[np.searchsorted(self.codes, code)][place], minlength=n) for code, place, text, n in self.pieces]
+        return np.concatenate(out) if out else np.zeros(0)
 
 
 def _asks(codes: np.ndarray, blocks: int, most: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -375,23 +403,18 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
     text = text_of(F.col(text_col))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = blocks_for(size, block_bytes)
-    counts = stored(word_counts(docs.where(trained).select(text.alias("text")), buckets), "ppm-words")
-    tokens, types = (x or 0 for x in counts.agg(F.sum("tokens"), F.sum("types")).first())
+    model = learnt(docs.where(trained).select(text.alias("text")), buckets)
+    tokens, types = (x or 0 for x in model.agg(F.sum("tokens"), F.sum("types")).first())
     spark = docs.sparkSession
-    whole = trie_blocks(docs.where(trained).select(text.alias("text")), buckets)
-    low = spark.sparkContext.broadcast(lowest_nodes(whole))
+    low = spark.sparkContext.broadcast(lowest_nodes(trie_blocks(model)))
     copies = blocks_for(buckets, ASKING)
     given = docs.select(F.pmod(F.xxhash64(F.col(id_col), text), F.lit(buckets)).alias("block"), text.alias("text"), F.col(id_col).alias("key"))
 
     def asked(part: pd.DataFrame) -> pd.DataFrame:
-        found: set[bytes] = {END}
-        for t in part["text"]:
-            found.update(words(t))
+        pieces = _Pieces(part["text"], places=False)
         block = int(part["block"].iloc[0])
-        out = [(_WORDS, bucket, 0, block, 0, b" ".join(x)) for bucket, x in _bucketed(list(found), buckets).items()]
-        del found
-        codes = _deepest(_lists(iter([part])))
-        out += [(_NODES, of, block % copies, block, n, _planes(codes[at])) for n, (of, at) in enumerate(_asks(codes, buckets, nodes))]
+        out = [(_WORDS, bucket, 0, block, 0, b" ".join(x)) for bucket, x in _bucketed(list(pieces.words()), buckets).items()]
+        out += [(_NODES, of, block % copies, block, n, _planes(pieces.codes[at])) for n, (of, at) in enumerate(_asks(pieces.codes, buckets, nodes))]
         return pd.DataFrame(out, columns=["kind", "part", "copy", "block", "n", "ask"])
 
     def answered(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
@@ -412,10 +435,8 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
         return pd.DataFrame({"block": ask["block"], "kind": ask["kind"], "part": ask["part"], "n": ask["n"], "answer": answer})
 
     def added(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        found = {END}
-        for t in part["text"]:
-            found.update(words(t))
-        by = _bucketed(list(found), buckets)
+        pieces = _Pieces(part["text"], places=True)
+        by = _bucketed(list(pieces.words()), buckets)
         place: dict[bytes, int] = {}
         counts = []
         of_words = answers[answers["kind"] == _WORDS]
@@ -424,31 +445,24 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
             counts.append(np.frombuffer(n, "<i8"))
         n = np.concatenate(counts)
         base, known = np.log10((n + 1) / (tokens + types + 1)), n > 0
-        out = []
-        for t in part["text"]:
-            x = [*words(t), END]
+        out, end = [], place[END]
+        for x in pieces.lists:
             at = np.fromiter(map(place.__getitem__, x), dtype=np.int64, count=len(x))
-            out.append((len(x), int(known[at].sum()), float(base[at].sum())))
+            out.append((len(x) + 1, int(known[at].sum()) + int(known[end]), float(base[at].sum() + base[end])))
         made = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score"])
-        del found, by, place
-        codes = _deepest(_lists(iter([part])))
-        asks = [at for _, at in _asks(codes, buckets, nodes)]
-        score = np.full(len(codes), np.nan, dtype=np.float32)
+        del by, place
+        asks = [at for _, at in _asks(pieces.codes, buckets, nodes)]
+        score = np.full(len(pieces.codes), np.nan, dtype=np.float32)
         of_nodes = answers[answers["kind"] == _NODES]
         for n, x in zip(of_nodes["n"], of_nodes["answer"]):
             score[asks[n]] = np.frombuffer(x, "<f4")
-        table = Scores(codes, score)
-        sums = []
-        for some in _lists(iter([part])):
-            data, at, text = _stream(some)
-            sums.append(np.bincount(text, weights=table.get(_codes(data, at))[0], minlength=len(some)))
-        made["score"] = np.concatenate(sums)
+        made["score"] = pieces.sums(score)
         made.insert(0, "id", part["key"].to_numpy())
         return made
 
     asks = given.groupBy("block").applyInPandas(asked, "kind int, part long, copy long, block long, n int, ask binary")
-    have = counts.select(F.lit(_WORDS).alias("kind"), F.col("bucket").alias("part"), F.lit(0).cast("long").alias("copy"), F.col("words").alias("keys"), "counts")
-    have = have.unionByName(whole.where("level > 1").select(F.lit(_NODES).alias("kind"), F.col("block").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).alias("copy"), F.col("codes").alias("keys"), "counts"))
+    copy = F.when(F.col("kind") == _NODES, F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    have = model.where((F.col("kind") == _WORDS) | (F.col("level") > 1)).select("kind", "part", F.explode(copy).alias("copy"), "keys", "counts")
     key = ["kind", "part", "copy"]
     answers = asks.groupBy(*key).cogroup(have.groupBy(*key)).applyInPandas(answered, "block long, kind int, part long, n int, answer binary")
     kind = dict(docs.dtypes)[id_col]

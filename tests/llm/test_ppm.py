@@ -65,8 +65,16 @@ def test_brute_force(spark, rows, monkeypatch, block):
     assert np.allclose([x[4:] for x in got], [x[4:] for x in want])
 
 
+def trie(texts, blocks):
+    """All nodes of a small training set, sorted by code."""
+    nodes = ppm.trie_blocks(ppm.learnt(texts, blocks))
+    code, n = ppm._gathered(nodes.where("level > 1").collect())
+    low = ppm.lowest_nodes(nodes)
+    return np.concatenate([low[0], code]), np.concatenate([low[1], n])
+
+
 def test_probabilities_sum_to_one(spark, rows):
-    nodes = ppm.trie(spark.createDataFrame([(t,) for _, t in rows if t], "text string"), 2)
+    nodes = trie(spark.createDataFrame([(t,) for _, t in rows if t], "text string"), 2)
     model = ppm.Model(*nodes)
     for context in (b"\n\n\n\n\n", b" the ", b"zzzzz", b"aus h"):
         data = np.frombuffer(b"".join(context + bytes([b]) for b in range(256)), np.uint8)
