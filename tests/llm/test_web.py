@@ -69,6 +69,22 @@ def test_round_trip(pages, monkeypatch, least):
     assert sorted(map(tuple, warc.round_trip(pages, min_revisit=least).collect()), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("heavy", [warc.HEAVY, 4, 1])
+def test_frequent_payloads_and_large_ids(spark, monkeypatch, heavy):
+    """All, some or no digests are answered by a broadcast; ids beyond 2^53 stay exact."""
+    monkeypatch.setattr(warc, "HEAVY", heavy)
+    monkeypatch.setattr(warc, "CHUNK", 200)
+    big = 2**60 + 1
+    rows = [(big + i, f"http://h{i % 3}.com/{i}", "" if i % 3 else f"page {i % 7}") for i in range(60)] + [(None, None, "")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    best = {}
+    for page, _, html in rows:
+        best[html] = max(best.get(html, -1), -1 if page is None else page)
+    want = {(p, len(h), sha1(h), "response" if p == best[h] else "revisit", None if p == best[h] else best[h]) for p, _, h in rows}
+    got = [tuple(r) for r in warc.round_trip(frame).collect()]
+    assert len(got) == len(rows) and set(got) == want
+
+
 def test_lookup(pages, monkeypatch, tmp_dir):
     monkeypatch.setattr(warc, "BLOCK_RECORDS", 2)
     directory = [tuple(r) for r in warc.write(pages.where("page_id < 60 and page_id != 5"), f"{tmp_dir}/w").collect()]
