@@ -7,17 +7,20 @@ CENTROIDS centroids, found by spherical k-means on its vectors.  A text gets the
 language of the nearest centroid; the score is the cosine, from 0 to 1.
 
 Rejection is by distance: a text is rejected if it has no letter, or if its
-cosine distance to the nearest centroid is beyond that centroid's radius, the
-largest distance that its own training texts of similar length had, times
-SLACK.  Short texts are far from any centroid, so radii are kept per length
-class.  A centroid with fewer than FEW different texts of a length class says
-little about their distances: there the largest radius of any centroid counts,
-if it is larger; without any there is no radius and no rejection.
+cosine distance to the nearest centroid is beyond that centroid's radius: SLACK
+times the QUANTILE of the distances that its own training texts of the same
+length class had (short texts are far from any centroid), and 1 - FLOOR at the
+most, the floor of a cosine that shares little but single letters with a
+language.  A centroid with fewer than FEW training texts of a length class says
+little about their distances: there the floor alone decides.  A quantile doesn't
+grow with the corpus as a maximum does.
 
 Document frequencies and radii are aggregates over all labelled rows.  Centroids
 are found per language, from all its different texts or (by hash of the text)
 about SAMPLE_ROWS of them, repeated texts weighing as often as they occur.  A
-language of few rows is learnt from all of them, however large the corpus.
+language of few rows is learnt from all of them, however large the corpus.  What
+is collected and sent is LANGUAGES languages' centroids at the most; more raise
+an error.
 
 Defined cases: null text, empty text and text without a letter are ``und`` with
 score 0 and rejected; without rows to learn from every text is; a null language
@@ -30,12 +33,12 @@ are called.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import fold, text_of
@@ -46,10 +49,14 @@ FEATURES = 1 << 14
 CENTROIDS = 4
 #: Different texts of a language that its centroids are found from, about.
 SAMPLE_ROWS = 1_000
-#: Different texts of a length class that a centroid's radius takes.
-FEW = 10
-#: How far beyond the training texts' distance a text may be.
-SLACK = 2.0
+#: Training texts of a length class that a centroid's radius takes.
+FEW = 200
+#: The share of the training texts inside a radius, how far beyond it a text may be, and the steps a distance is counted in.
+QUANTILE, SLACK, STEPS = 0.999, 1.25, 512
+#: The least cosine of texts of 64 n-grams or more and of shorter ones.
+FLOOR, FLOOR_SHORT = 0.2, 0.1
+#: Languages that can be learnt.
+LANGUAGES = 1_000
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MULTIPLIER = np.uint32(0x9E3779B1)
@@ -59,7 +66,7 @@ _SHIFT = np.uint32(32 - (FEATURES.bit_length() - 1))
 def counts(text: str) -> np.ndarray | None:
     """Occurrences of the hashed n-grams; None without a letter."""
     words = _LETTERS.findall(text.lower())
-    if not words:
+    if not any(c.isalpha() for w in words for c in w):  # superscripts, fractions and other numerals are no letters
         return None
     data = np.frombuffer((" " + " ".join(words) + " ").encode(), np.uint8).astype(np.uint32)
     pair = data[:-1] << np.uint32(8) | data[1:]
@@ -77,6 +84,10 @@ def length_class(n: np.ndarray) -> int:
     return int(np.log2(n.sum()))
 
 
+def floor(size: int) -> float:
+    return FLOOR if size >= 6 else FLOOR_SHORT
+
+
 class Centroids:
     """Languages, their centroids as rows, and the radius of each by length class."""
 
@@ -97,8 +108,9 @@ class Centroids:
         best = int(np.argmax(cosine))
         score = float(min(max(cosine[best], 0), 1))
         size = length_class(found)
-        known = [r for s in (size - 1, size, size + 1) if (r := self.radii.get((best, s))) is not None]
-        return self.names[best], score, bool(known) and 1 - score > SLACK * max(known)
+        radius = self.radii.get((best, size))
+        most = 1 - floor(size) if radius is None else min(1 - floor(size), SLACK * radius)
+        return self.names[best], score, 1 - score > most
 
     def own_nearest(self, text: str, lang: str) -> tuple[int, int, float] | None:
         """(centroid, length class, distance) of the nearest centroid of the text's own language."""
@@ -168,39 +180,30 @@ def _centres(sample: DataFrame, idf: np.ndarray) -> tuple[list[str], np.ndarray]
         return pd.DataFrame({"lang": part["lang"].iloc[0], "n": range(len(centres)), "centre": [c.astype("<f4").tobytes() for c in centres]})
 
     rows = sorted(sample.groupBy("lang").applyInPandas(clustered, "lang string, n int, centre binary").collect(), key=lambda r: (r["lang"], r["n"]))
+    if len({r["lang"] for r in rows}) > LANGUAGES:
+        raise ValueError(f"language ID learns {LANGUAGES} languages at the most")
     centres = np.stack([np.frombuffer(r["centre"], "<f4") for r in rows]) if rows else np.zeros((0, FEATURES), np.float32)
     return [r["lang"] for r in rows], centres
 
 
 def _radii(given: DataFrame, model: Centroids) -> dict[tuple[int, int], float]:
-    """The radius of each centroid by length class, over all training texts."""
+    """The QUANTILE of the distances around each centroid by length class, over all training texts."""
     sent = given.sparkSession.sparkContext.broadcast(model)
 
     def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        most: dict[tuple[int, int], tuple[float, set[int]]] = {}
+        met: Counter = Counter()
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"]):
                 if (found := sent.value.own_nearest(text, lang)) is not None:
                     centre, size, far = found
-                    before, texts = most.get((centre, size), (0.0, set()))
-                    if len(texts) < FEW:
-                        texts.add(xxhash.xxh64_intdigest(text) >> 1)
-                    most[centre, size] = max(before, far), texts
-        # FEW texts of a task tell as much as all of them
-        yield pd.DataFrame([(c, s, far, h) for (c, s), (far, texts) in most.items() for h in texts], columns=["centre", "size", "far", "text"])
-
-    rows = given.select("text", "lang").mapInPandas(distances, "centre int, size int, far double, text long")
-    found = rows.groupBy("centre", "size").agg(F.max("far").alias("far"), F.count_distinct("text").alias("texts")).collect()
-    tells = [r for r in found if r["texts"] >= FEW and r["far"] > 1e-6]  # else too few texts, or all of one vector
-    out = {(r["centre"], r["size"]): r["far"] for r in tells}
-    widest: dict[int, float] = {}
-    for r in tells:
-        widest[r["size"]] = max(widest.get(r["size"], 0.0), r["far"])
-    for r in found:
-        around = [widest[s] for s in (r["size"] - 1, r["size"], r["size"] + 1) if s in widest]
-        if (r["centre"], r["size"]) not in out and around:
-            out[r["centre"], r["size"]] = max(r["far"], *around)
-    return out
+                    met[centre, size, min(int(max(far, 0) * STEPS), STEPS)] += 1
+        yield pd.DataFrame([(*k, n) for k, n in met.items()], columns=["centre", "size", "step", "n"])
+
+    rows = given.select("text", "lang").mapInPandas(distances, "centre int, size int, step int, n long").groupBy("centre", "size", "step").agg(F.sum("n").alias("n"))
+    of = Window.partitionBy("centre", "size")  # STEPS rows at the most
+    rows = rows.withColumn("all", F.sum("n").over(of)).withColumn("below", F.sum("n").over(of.orderBy("step")))
+    inside = rows.where((F.col("all") >= FEW) & (F.col("below") >= F.col("all") * QUANTILE)).groupBy("centre", "size").agg(F.min("step").alias("step"))
+    return {(r["centre"], r["size"]): (r["step"] + 1) / STEPS for r in inside.collect()}  # a row per centroid and length class at the most
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5) -> Centroids:

@@ -1,7 +1,10 @@
+import base64
 import math
+import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +62,53 @@ def test_small_language_in_a_large_corpus(spark, monkeypatch):
     assert sum(r.rejected for r in got.values()) == 0
 
 
+OTHERS = {
+    "greek": "Η γρήγορη καφέ αλεπού πηδάει πάνω από το τεμπέλικο σκυλί και τρέχει στο δάσος κάθε μέρα " * 3,
+    "chinese": "敏捷的棕色狐狸跳过了懒狗然后跑进森林里 每天都是这样 " * 5,
+    "hex": " ".join(f"{random.Random(i).getrandbits(128):032x}" for i in range(20)),
+    "base64": base64.b64encode(random.Random(1).randbytes(900)).decode(),
+    "code": "for (int i = 0; i < n; ++i) { if (arr[i] > max) { max = arr[i]; } } return max; " * 4,
+}
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test data not present")
+def test_rejection_at_two_sizes(spark, folder):
+    """Other scripts, encoded bytes and program code are rejected whatever the corpus' size; labelled rows aren't."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = langid.train(docs)
+    assert {name for name, text in OTHERS.items() if not model.nearest(text)[2]} == set()
+    answer = docs.select("lang", langid.answers(docs, model).alias("a")).where("lang is not null")
+    n, rejected, right = answer.agg(F.count("*"), F.count_if(F.col("a.rejected")), F.count_if(F.expr("a.lang_pred = lang"))).first()
+    assert rejected <= 0.01 * n and right >= 0.99 * n
+
+
+def test_nearest_centroid_by_brute_force(corpus):
+    docs, _ = corpus
+    model = langid.train(docs)
+    assert len(model.names) == len(model.centres) > 3
+    for text in ["the house with", "le maison chose avec", "das ding", "thing maison", "x", "Schön " * 50]:
+        found = langid.counts(text)
+        vector = np.where(found > 0, (1 + np.log(np.maximum(found, 1))) * model.idf, 0)
+        cosine = [float(vector @ c / np.linalg.norm(vector)) for c in model.centres.astype(float)]
+        lang, score, _ = model.nearest(text)
+        assert lang == model.names[int(np.argmax(cosine))] and score == pytest.approx(max(cosine), abs=1e-5)
+
+
+def test_numerals_are_no_letters(corpus):
+    docs, _ = corpus
+    model = langid.train(docs)
+    assert {model.nearest(t) for t in ("²", "① ② ½", "3⁴ ⅷ", "", "12_")} == {("und", 0.0, True)}
+    assert model.nearest("m² the house")[0] == "en"
+
+
+def test_repeated_rows_and_clashing_columns(corpus):
+    docs, _ = corpus
+    more = docs.unionByName(docs.where("doc_id < 20")).withColumn("a", F.lit(1)).withColumn("score", F.lit("x")).withColumn("rejected", F.lit(0))
+    got = langid.predictions(more).where("doc_id < 20").collect()
+    assert len(got) == 40 and len(set(map(tuple, got))) == 20
+
+
 def test_learning_nothing(spark):
     docs = spark.createDataFrame([(1, "the house", None)], "doc_id long, text string, lang string")
     assert langid.predictions(docs).first().lang_pred == "und"
