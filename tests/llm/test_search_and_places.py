@@ -37,6 +37,29 @@ def test_few_and_no_rows(spark):
     assert topk.top_k(few.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("size", [2.0**25, 3e7, 2.0**40, 2.0**52 + 1])
+def test_wide_components(spark, size):
+    """Scores beyond 2^53 and sums that 64 bits hold only by chance are exact; no finite vector is left out."""
+    data = vectors(120) + [(5000 + i, [size * (i % 7 - 3) / 64] + [0.0] * 7) for i in range(40)]
+    data += [(6000, [size / 64 + 1, -3.0] + [0.5] * 6), (6020, [1 / 64, size / 64] + [0.0] * 6)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    want = brute(data)
+    if any(not -(2**63) <= s < 2**63 for *_, s in want):
+        with pytest.raises(Exception, match="does not fit 64 bits"):
+            topk.top_k(frame, rows=64).collect()
+        return
+    got = [tuple(r) for r in topk.top_k(frame, rows=64).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_scores_beyond_64_bits(spark):
+    rows = [(0, [1e200, 0.0]), (20, [0.0, 1.0]), (1, [0.0, 3.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {tuple(r) for r in topk.top_k(frame).collect()} == {(0, 1, 1, 0), (0, 2, 20, 0), (20, 1, 1, 64 * 192), (20, 2, 0, 0)}
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(frame.unionByName(spark.createDataFrame([(2, [1.0, 0.0])], frame.schema))).collect()
+
+
 def test_bounds_hold_at_every_depth():
     rng = np.random.default_rng(2)
     matrix = rng.integers(-60, 60, (50, 6))
