@@ -52,7 +52,7 @@ def _hashed(text):
 
 def _captures(pages: DataFrame) -> DataFrame:
     """Pages with a fetch time in 2024, in seconds."""
-    return pages.select("page_id", "url", (F.lit(_DAY_0) + F.pmod(F.col("page_id") * 7919, F.lit(525_600)) * 60).alias("fetched_at"))
+    return pages.select("page_id", "url", (F.lit(_DAY_0) + F.pmod(F.pmod(F.col("page_id"), F.lit(525_600)) * 7919, F.lit(525_600)) * 60).alias("fetched_at"))
 
 
 def _list_history(pages: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ _OP6_HOST = "rtrim(lower(regexp_extract(coalesce(url, ''), '" + urls.HOST + "',
 _OP6_PATH = "regexp_extract(coalesce(url, ''), '" + urls.PATH + "', 1)"
 _OP6 = f"""
 WITH cap AS (SELECT page_id, url, {_OP6_HOST} AS host, {_OP6_PATH} AS path,
-                    {_DAY_0} + ((page_id * 7919) % 525600) * 60 AS fetched_at FROM pages),
+                    {_DAY_0} + ((page_id % 525600 * 7919) % 525600) * 60 AS fetched_at FROM pages),
 hosts AS (SELECT DISTINCT host AS x FROM cap WHERE host <> ''),
 one AS (SELECT x, ('0x' || substr(md5(x), 1, 8))::BIGINT AS k FROM hosts),
 domain AS (SELECT x, ('0x' || substr(md5(x), 1, 8))::BIGINT AS k FROM (SELECT DISTINCT regexp_extract(x, '([^.]+[.][^.]+)$', 1) AS x FROM hosts) WHERE x <> ''),

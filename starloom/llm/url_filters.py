@@ -11,10 +11,11 @@ An active ``allow`` outweighs any ``block``.  The answer names the deciding
 entry: the longest pattern, then the first list, kind and pattern in order.
 
 Everything is DataFrame operations.  Captures are reduced to distinct URLs and
-times before keys are made, so that repeated captures cost once; the join's hot
-patterns have few intervals each, and Spark may split or broadcast it by size;
-answers are combined per URL and time with partial aggregation, and no group is
-gathered.
+times before keys are made, so that repeated captures cost once.  Keys that no
+entry has ever listed are dropped when keys are counted, and the HOT patterns
+that most captures share are joined in SALTS parts each, so that ``com`` isn't
+one task; answers are combined per URL and time with partial aggregation, and no
+group is gathered.
 
 Defined cases: null, empty or malformed URLs, and captures without a time, match
 nothing and get ``none``; entries with a null field are ignored; of entries of
@@ -33,6 +34,8 @@ from pyspark.sql.window import Window
 from starloom.llm import urls
 
 ADDED = ("host", "verdict", "n_active", "list", "pattern")
+#: Patterns whose captures are spread, and over how many parts.
+HOT, SALTS = 4_096, 64
 _RANK = {"remove": 0, "block": 1, "allow": 2}
 
 
@@ -60,8 +63,18 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url_col: str = "url", t
     asked = captures.select(F.col(url_col).alias("u"), F.col(time_col).alias("t")).dropna().distinct().withColumn("h", urls.host(F.col("u"))).where("h != ''")
     keyed = asked.select("u", "t", F.explode(_keys(F.col("h"), urls.path(F.col("u")))).alias("k")).select("u", "t", "k.kind", "k.pattern")
     held = intervals(entries)
-    on = (keyed["kind"] == held["kind"]) & (keyed["pattern"] == held["pattern"]) & (keyed["t"] >= held["valid_from"]) & (held["valid_to"].isNull() | (keyed["t"] < held["valid_to"]))
-    hit = keyed.join(held, on).select("u", "t", F.struct((held["action"] != "allow").alias("no"), (-F.length(held["pattern"])).alias("short"), held["list"].alias("list"), held["kind"].alias("kind"), held["pattern"].alias("pattern")).alias("e"))
+    listed = held.select(F.col("kind").alias("a"), F.col("pattern").alias("b")).distinct()
+    met = keyed.groupBy("kind", "pattern").agg(F.count("*").alias("n")).join(listed, (F.col("kind") == F.col("a")) & (F.col("pattern") == F.col("b")))
+    hot = F.broadcast(met.orderBy(F.desc("n"), "kind", "pattern").limit(HOT).select("a", "b"))  # HOT rows at the most
+    dealt = F.pmod(F.xxhash64("u", "t"), F.lit(SALTS)).cast("int")
+    keyed = keyed.join(hot, (F.col("kind") == F.col("a")) & (F.col("pattern") == F.col("b")), "left").select("u", "t", "kind", "pattern", F.when(F.col("a").isNotNull(), dealt).otherwise(0).alias("part"))
+    parts = F.when(F.col("a").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    held = held.select(*[F.col(c).alias(f"e_{c}") for c in held.columns])
+    held = held.join(hot, (F.col("e_kind") == F.col("a")) & (F.col("e_pattern") == F.col("b")), "left").withColumn("e_part", F.explode(parts)).drop("a", "b")
+    on = (F.col("kind") == F.col("e_kind")) & (F.col("pattern") == F.col("e_pattern")) & (F.col("part") == F.col("e_part"))
+    on = on & (F.col("t") >= F.col("e_valid_from")) & (F.col("e_valid_to").isNull() | (F.col("t") < F.col("e_valid_to")))
+    entry = F.struct((F.col("e_action") != "allow").alias("no"), (-F.length("e_pattern")).alias("short"), F.col("e_list").alias("list"), F.col("e_kind").alias("kind"), F.col("e_pattern").alias("pattern"))
+    hit = keyed.join(held, on).select("u", "t", entry.alias("e"))
     found = hit.groupBy("u", "t").agg(F.count("*").alias("n"), F.min("e").alias("e"))
     kept = [c for c in captures.columns if c not in ADDED]
     out = captures.join(found, (captures[url_col] == found["u"]) & (captures[time_col] == found["t"]), "left")

@@ -39,6 +39,22 @@ def test_filter_cases(spark):
     assert {r.verdict for r in url_filters.filter_urls(captures, entries.where("false")).collect()} == {"none"}
 
 
+@pytest.mark.parametrize("hot", [url_filters.HOT, 2])
+def test_shared_patterns_are_spread(spark, monkeypatch, hot):
+    """Half of the captures meet under one domain; the answer is that of a plain join."""
+    monkeypatch.setattr(url_filters, "HOT", hot)
+    entries = spark.createDataFrame([("l", "domain", "com", "block", 100), ("l", "domain", "com", "remove", 900), ("l", "host", "h1.com", "allow", 300), ("l", "domain", "x.org", "block", 0)], "list string, kind string, pattern string, action string, dated_at long")
+    urls = [(f"http://h{i % 9}.com/{i}" if i % 2 else f"http://a.x.org/{i}" if i % 4 else f"http://other{i}.net/", i) for i in range(1000)]
+    got = {r.fetched_at: r.verdict for r in url_filters.filter_urls(spark.createDataFrame(urls, "url string, fetched_at long"), entries).collect()}
+    want = {i: ("allow" if "h1.com" in u and i >= 300 else "block" if ".com" in u and 100 <= i < 900 or "x.org" in u else "none") for u, i in urls}
+    assert got == want
+
+
+def test_large_page_ids(spark):
+    pages = spark.createDataFrame([(2**62, "http://a.com"), (-5, "http://b.com"), (None, None)], "page_id long, url string")
+    assert queries._captures(pages).count() == 3 and len(queries._captures(pages).collect()) == 3
+
+
 URLS = ["http://A.b.com/x y", "https://b.com:80/é?q=1#f", None, "not a url", "http://u:p@c.com.", "http://a-b.com/z", "http://a.com/0", "http://a.com/\n1", "http://a.com/\n", "http://a.com/ 2"]
 
 
