@@ -180,9 +180,13 @@ def row_ledger(splits: Mapping[str, DataFrame], sources: Mapping[str, Sequence[D
 
 
 def dropped_rows(ledger: DataFrame) -> DataFrame:
-    """Source rows that a fact lost, by reason, as informational checks."""
-    return ledger.where(F.col("reason") != "accepted").select(
-        "table_name", F.concat(F.lit("dropped_"), F.col("reason")).alias("check_name"), F.col("n_rows").alias("failures"))
+    """Source rows that a fact lost, by reason, as informational checks; a fact that lost none says so."""
+    usual = F.when(F.col("table_name") == "fact_player_season_summary", "no_season").otherwise("unknown_player")
+    kept = F.col("reason") == "accepted"
+    lines = ledger.select("table_name", F.when(kept, usual).otherwise(F.col("reason")).alias("reason"),
+                          F.when(kept, 0).otherwise(F.col("n_rows")).cast("long").alias("failures"))
+    return lines.groupBy("table_name", F.concat(F.lit("dropped_"), F.col("reason")).alias("check_name")).agg(
+        F.sum("failures").alias("failures"))
 
 
 def warehouse_summary(counts: DataFrame) -> DataFrame:
