@@ -300,8 +300,9 @@ def table_conditions() -> dict[str, dict[str, Column]]:
         "fact_market_value": {**_negative("market_value"), **_null("player_sk", "date_sk", "market_value")},
         "fact_transfer": _negative("transfer_fee", "value_at_transfer"),
         "fact_injury": {**_negative("days_missed", "games_missed"), **_null("player_sk")},
-        "fact_national_performance": {**_negative("total_matches", "total_goals"), **_null("player_sk")},
-        "fact_teammate_relationship": {**_negative("minutes_played_together"),
+        "fact_national_performance": {"negative_matches": F.col("total_matches") < 0, "negative_goals": F.col("total_goals") < 0,
+                                      **_null("player_sk")},
+        "fact_teammate_relationship": {"negative_minutes": F.col("minutes_played_together") < 0,
                                        "self_pair": F.col("player_sk") == F.col("teammate_player_sk"),
                                        **_null("player_sk", "teammate_player_sk")},
         "fact_player_season_summary": _null("player_sk", "season_sk"),

@@ -420,8 +420,8 @@ def _warehouse_checks() -> str:
         "fact_market_value": {**_neg("market_value"), **_null("player_sk", "date_sk", "market_value")},
         "fact_transfer": _neg("transfer_fee", "value_at_transfer"),
         "fact_injury": {**_neg("days_missed", "games_missed"), **_null("player_sk")},
-        "fact_national_performance": {**_neg("total_matches", "total_goals"), **_null("player_sk")},
-        "fact_teammate_relationship": {**_neg("minutes_played_together"), "self_pair": "player_sk = teammate_player_sk",
+        "fact_national_performance": {"negative_matches": "total_matches < 0", "negative_goals": "total_goals < 0", **_null("player_sk")},
+        "fact_teammate_relationship": {"negative_minutes": "minutes_played_together < 0", "self_pair": "player_sk = teammate_player_sk",
                                        **_null("player_sk", "teammate_player_sk")},
         "fact_player_season_summary": _null("player_sk", "season_sk"),
     }
