@@ -16,6 +16,7 @@ from ..functions import exprs as X
 from .keys import sequence_keys
 from .merge import insert_if_absent, pick_one, seed, upsert
 
+# The columns of the calendar, as the warehouse's DDL names them.
 DIM_DATE_COLUMNS = (
     "date_sk", "date_value", "year", "quarter", "month", "month_name", "day",
     "day_of_week", "day_name", "week_of_year", "is_weekend", "is_holiday", "season_name",
@@ -67,6 +68,13 @@ def extend_calendar(cal: DataFrame, dates: DataFrame, col: str) -> DataFrame:
     return cal.unionByName(_calendar_rows(missing))
 
 
+def _real(existing: DataFrame, batch: DataFrame, cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """A member that was inferred from a fact is no longer so once its own row arrives."""
+    if "is_inferred" not in existing.columns:
+        return batch, cols
+    return batch.withColumn("is_inferred", F.lit(False)), [*cols, "is_inferred"]
+
+
 # --- B3 ------------------------------------------------------------------------
 
 def dim_agent(profiles: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -107,8 +115,8 @@ def dim_team(team_details: DataFrame, existing: DataFrame | None = None) -> Data
             "primary_competition_id", "division_level", "is_active"]
     if existing is None:
         return sequence_keys(batch, ["team_nk"], "team_sk").select(*cols)
-    return upsert(existing, batch, "team_nk", "team_sk",
-                  ["team_name", "country_name", "primary_competition_id", "division_level"])
+    batch, update = _real(existing, batch, ["team_name", "country_name", "primary_competition_id", "division_level"])
+    return upsert(existing, batch, "team_nk", "team_sk", update)
 
 
 # --- B5 ------------------------------------------------------------------------
@@ -132,8 +140,8 @@ def dim_competition(team_details: DataFrame, existing: DataFrame | None = None)
             "country_name", "tier_level"]
     if existing is None:
         return sequence_keys(batch, ["competition_id"], "competition_sk").select(*cols)
-    return upsert(existing, batch, "competition_id", "competition_sk",
-                  ["competition_name", "country_name", "tier_level"])
+    batch, update = _real(existing, batch, ["competition_name", "country_name", "tier_level"])
+    return upsert(existing, batch, "competition_id", "competition_sk", update)
 
 
 # --- B6 ------------------------------------------------------------------------
@@ -162,8 +170,8 @@ def dim_season(names: DataFrame, col: str = "season_name", existing: DataFrame |
         # bounded: one row per season name
         return sequence_keys(rows, [("season_start_year", "asc", "last"), "season_name"], "season_sk",
                              bounded=True).select(*cols)
-    out = upsert(existing, rows, "season_name", "season_sk",
-                 ["season_start_year", "season_end_year", "is_current_season"])
+    rows, update = _real(existing, rows, ["season_start_year", "season_end_year", "is_current_season"])
+    out = upsert(existing, rows, "season_name", "season_sk", update)
     # the current flag is relative to all seasons, old ones included
     latest = F.max("season_start_year").over(Window.partitionBy())
     return out.withColumn("is_current_season", F.coalesce(F.col("season_start_year") == latest, F.lit(False)))
@@ -202,6 +210,7 @@ def dim_transfer_type(spark: SparkSession) -> DataFrame:
 
 # --- B11 -----------------------------------------------------------------------
 
+# The columns of the current-player view.
 PLAYER_CURRENT_COLUMNS = (
     "player_sk", "player_nk", "player_name", "date_of_birth", "country_of_birth", "position", "main_position",
     "current_club_nk", "current_club_name", "contract_expires", "agent_sk",

@@ -50,6 +50,24 @@ def test_inferred_member_is_closed_by_the_real_one(spark):
     assert scd2_merge(nameless, batch, "player_nk", ["player_name"], RUN_2, "player_sk").where("is_current").count() == 2
 
 
+def test_inferred_teams_competitions_and_seasons_become_real(spark):
+    from starloom.operators import dimensions as D
+
+    schema = "club_id int, club_name string, club_slug string, country_name string, logo_url string, competition_name string, club_division string, season_id int, _last_modified_at timestamp"
+    first = spark.createDataFrame([(1, "A", "a", "X", None, "Cup", "Division 1", 2020, None)], schema)
+    later = spark.createDataFrame([(1, "A", "a", "X", None, "Cup", "Division 1", 2020, None), (2, "B", "b", "Y", None, "Bowl", "Division 3", 2020, None), (3, "C", "c", "Y", None, None, None, 2020, None)], schema)
+    keys = spark.createDataFrame([("2",), ("9",)], "team_nk string")
+    teams = D.dim_team(later, FX.ensure_teams(D.dim_team(first), keys))
+    assert {r.team_nk: (r.team_name, r.is_inferred) for r in teams.collect()} == {"1": ("A", False), "2": ("B", False), "3": ("C", False), "9": ("Unknown", True)}
+    names = spark.createDataFrame([("Bowl",), ("Shield",)], "competition_name string")
+    comps = D.dim_competition(later, FX.ensure_competitions(D.dim_competition(first), names))
+    assert {r.competition_id: (r.tier_level, r.is_inferred) for r in comps.collect()} == {"cup": (1, False), "bowl": (3, False), "shield": (99, True)}
+    seasons = spark.createDataFrame([("23/24",), ("24/25",)], "season_name string")
+    known = FX.ensure_seasons(D.dim_season(seasons.where("season_name = '23/24'")), seasons.unionByName(spark.createDataFrame([("25/26",)], "season_name string")))
+    got = {r.season_name: (r.is_inferred, r.is_current_season) for r in D.dim_season(seasons, existing=known).collect()}
+    assert got == {"23/24": (False, False), "24/25": (False, False), "25/26": (True, True)}
+
+
 def test_row_counts_do_not_fail_a_run(spark):
     rows = [("t", "total_rows", 5), ("t", "dropped_unknown_player", 1), ("t", "null_key", 0)]
     checks = spark.createDataFrame(rows, "table_name string, check_name string, failures long")
