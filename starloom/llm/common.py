@@ -53,6 +53,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"llm-{spark.sparkContext.applicationId}", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+#: Keys that are answered from a broadcast hold more than one row in HEAVY, so there are HEAVY of them at the most.
+HEAVY = 65_536
+
+
+def answered(rows: DataFrame, answers: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with the one answer of their key, whatever share of the rows a key holds.
+
+    ``answers`` has a row per key with ``rows_of``, how many of the ``total`` rows
+    hold it.  Answers of keys with more than a row in HEAVY go to all tasks; the
+    others' rows, none of which weighs on a task, are joined.  Rows without an
+    answer are left out.  ``rows`` is read twice: a stored table.
+    """
+    heavy = F.broadcast(answers.where(F.col("rows_of") > total // HEAVY).drop("rows_of"))
+    others = answers.where(F.col("rows_of") <= total // HEAVY).drop("rows_of")
+    return rows.join(heavy, key).unionByName(rows.join(heavy.select(key), key, "left_anti").join(others, key))
+
+
 def give_back() -> None:
     """A Python worker's freed memory back to its machine, where the C library can.
 
