@@ -53,7 +53,7 @@ from starloom.llm.urls import reversed_key
 #: Rows of the directory at the most, and records of a block at the least.
 DIRECTORY, BLOCK_RECORDS = 65_536, 500
 #: Digests whose rows stay where they are hold more than one row in HEAVY, so there are HEAVY of them at the most.
-HEAVY = 65_536
+HEAVY = 4_096
 #: Bytes of an archive that are read at a time.
 CHUNK = 4_000_000
 _DIRECTORY = "first_key string, index_file string, at long, size long, records long"
