@@ -91,11 +91,11 @@ def _stream(lists: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def _codes(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The deepest node of each place."""
-    wide = data.astype(np.uint64)
-    out = np.full(len(at), np.uint64(ORDER) << np.uint64(56), dtype=np.uint64)
+    wide, n = data.astype(np.uint64), len(data)
+    out = np.full(max(0, n - ORDER), np.uint64(ORDER) << np.uint64(56), dtype=np.uint64)  # of all places, in slices
     for k in range(ORDER + 1):
-        out |= wide[at - k] << np.uint64(8 * k)
-    return out
+        out |= wide[ORDER - k : n - k] << np.uint64(8 * k)
+    return out[at - ORDER]
 
 
 def _shorter(code: np.ndarray, order: int) -> np.ndarray:
@@ -118,6 +118,12 @@ def _block_of(codes: np.ndarray, blocks: int) -> np.ndarray:
     return (((codes >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % blocks
 
 
+def _by_block(block: np.ndarray) -> np.ndarray:
+    """Places in order of their block; small numbers are sorted by their digits."""
+    small = len(block) and block.max() < 1 << 16
+    return np.argsort(block.astype(np.uint16) if small else block, kind="stable")
+
+
 def _distinct(sorted_codes: np.ndarray) -> np.ndarray:
     return sorted_codes[np.r_[True, sorted_codes[1:] != sorted_codes[:-1]]] if len(sorted_codes) else sorted_codes
 
@@ -147,7 +153,7 @@ def learnt(texts: DataFrame, buckets: int) -> DataFrame:
         def packed_nodes() -> pd.DataFrame:
             codes, n = found[0]
             block = _block_of(codes, buckets)
-            by = np.argsort(block, kind="stable")
+            by = _by_block(block)
             first = np.flatnonzero(np.r_[True, np.diff(block[by]) != 0])
             return pd.DataFrame({"kind": _NODES, "part": block[by][first], "keys": [x.astype("<u8").tobytes() for x in np.split(codes[by], first[1:])], "counts": [x.astype("<i8").tobytes() for x in np.split(n[by], first[1:])]})
 
@@ -373,7 +379,7 @@ class _Pieces:
 def _asks(codes: np.ndarray, blocks: int, most: int) -> Iterator[tuple[int, np.ndarray]]:
     """(block of the trie, places among the codes), ``most`` at a time."""
     block = _block_of(codes, blocks)
-    by = np.argsort(block, kind="stable")
+    by = _by_block(block)
     for some in np.split(by, np.flatnonzero(np.diff(block[by])) + 1):
         for i in range(0, len(some), most):
             yield int(block[some[0]]), some[i : i + most]
