@@ -341,34 +341,51 @@ def _lists(batches: Iterator[pd.DataFrame]) -> Iterator[list[list[bytes]]]:
         yield some
 
 
+class _Numbers(dict):
+    """A number for each different word, in the order met."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class _Pieces:
     """A block's texts cut into words once, and the deepest nodes of their bytes, STREAM_BYTES at a time."""
 
     def __init__(self, texts: pd.Series, places: bool):
-        self.lists: list[list[bytes]] = []
+        #: The different words, and each text's as their numbers (with ``places``), END not among these.
+        self.words = _Numbers({END: 0})
+        self.numbers: list[np.ndarray] = []
         self.pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray, int]] = []
-        found = []
+        found, met = [], set()
         for some in _lists(iter([pd.DataFrame({"text": texts})])):
-            self.lists += some
+            for x in some:
+                if places:
+                    self.numbers.append(np.fromiter(map(self.words.__getitem__, x), np.int32, len(x)))
+                else:
+                    met.update(x)
             data, at, text = _stream(some)
             code = _codes(data, at)
             if not places:
                 found.append(_distinct(np.sort(code)))
                 continue
             by = np.argsort(code)
-            new = np.r_[True, np.diff(code[by]) != 0] if len(code) else np.zeros(0, bool)
-            found.append(code[by][new])
+            ordered = code[by]
+            new = np.ones(len(code), bool)
+            np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+            found.append(ordered[new])
             place = np.empty(len(code), np.int32)
             place[by] = np.cumsum(new) - 1
             self.pieces.append((found[-1], place, text.astype(np.int32), len(some)))
+        for x in met:
+            self.words[x]
         #: The sorted distinct deepest nodes.
         self.codes = _distinct(np.sort(np.concatenate(found), kind="stable")) if found else np.zeros(0, np.uint64)
 
-    def words(self) -> set[bytes]:
-        out = {END}
-        for some in self.lists:
-            out.update(some)
-        return out
+    def per_text(self, value: np.ndarray) -> np.ndarray:
+        """The sum over each text's words, its end included, of a value by word number."""
+        text = np.repeat(np.arange(len(self.numbers)), [len(x) for x in self.numbers])
+        return np.bincount(text, weights=value[np.concatenate(self.numbers)], minlength=len(self.numbers)) + value[self.words[END]]
 
     def sums(self, score: np.ndarray) -> np.ndarray:
         """The sum of the nodes' scores in each text."""
@@ -419,7 +436,7 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
     def asked(part: pd.DataFrame) -> pd.DataFrame:
         pieces = _Pieces(part["text"], places=False)
         block = int(part["block"].iloc[0])
-        out = [(_WORDS, bucket, 0, block, 0, b" ".join(x)) for bucket, x in _bucketed(list(pieces.words()), buckets).items()]
+        out = [(_WORDS, bucket, 0, block, 0, b" ".join(x)) for bucket, x in _bucketed(list(pieces.words), buckets).items()]
         out += [(_NODES, of, block % copies, block, n, _planes(pieces.codes[at])) for n, (of, at) in enumerate(_asks(pieces.codes, buckets, nodes))]
         return pd.DataFrame(out, columns=["kind", "part", "copy", "block", "n", "ask"])
 
@@ -442,21 +459,14 @@ def lm_scores(docs: DataFrame, trained: Column, id_col: str = "doc_id", text_col
 
     def added(part: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         pieces = _Pieces(part["text"], places=True)
-        by = _bucketed(list(pieces.words()), buckets)
-        place: dict[bytes, int] = {}
-        counts = []
+        by = _bucketed(list(pieces.words), buckets)
+        n = np.zeros(len(pieces.words), np.int64)
         of_words = answers[answers["kind"] == _WORDS]
-        for bucket, n in zip(of_words["part"], of_words["answer"]):
-            place.update(zip(by[bucket], range(len(place), len(place) + len(by[bucket]))))
-            counts.append(np.frombuffer(n, "<i8"))
-        n = np.concatenate(counts)
-        base, known = np.log10((n + 1) / (tokens + types + 1)), n > 0
-        out, end = [], place[END]
-        for x in pieces.lists:
-            at = np.fromiter(map(place.__getitem__, x), dtype=np.int64, count=len(x))
-            out.append((len(x) + 1, int(known[at].sum()) + int(known[end]), float(base[at].sum() + base[end])))
-        made = pd.DataFrame(out, columns=["n_tokens", "n_known", "base_score"])
-        del by, place
+        for bucket, answer in zip(of_words["part"], of_words["answer"]):
+            n[np.fromiter(map(pieces.words.__getitem__, by[bucket]), np.int64, len(by[bucket]))] = np.frombuffer(answer, "<i8")
+        base, known = np.log10((n + 1) / (tokens + types + 1)), (n > 0).astype(np.float64)
+        made = pd.DataFrame({"n_tokens": [len(x) + 1 for x in pieces.numbers], "n_known": pieces.per_text(known).astype(np.int64), "base_score": pieces.per_text(base)})
+        del by
         asks = [at for _, at in _asks(pieces.codes, buckets, nodes)]
         score = np.full(len(pieces.codes), np.nan, dtype=np.float32)
         of_nodes = answers[answers["kind"] == _NODES]
