@@ -38,10 +38,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm.common import text_of
+from starloom.llm.common import give_back, text_of
 
 #: Chunks kept per Python worker in each of two generations.
-CHUNKS_KEPT = 600_000
+CHUNKS_KEPT = 150_000
 #: Longer chunks (runs without white space) are encoded each time.
 CHUNK_CHARS_KEPT = 64
 ROUND_TRIP = "n_tokens long, ids binary, decoded string"
@@ -248,6 +248,7 @@ def _opened(spark: SparkSession, path: str):
     def vocabulary() -> Vocabulary:
         if key not in _LOADED:
             _LOADED.clear()
+            give_back()  # what the worker kept of other work
             _LOADED[key] = Vocabulary(sent.value)
         return _LOADED[key]
 

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import fold, text_of
+from starloom.llm.common import fold, give_back, text_of
 
 #: Places of the hashed n-grams.
 FEATURES = 1 << 14
@@ -226,6 +226,7 @@ def answers(docs: DataFrame, model: Centroids, text_col: str = "text") -> Column
         model = sent.value
         for batch in batches:
             yield pd.DataFrame([model.nearest(t) for t in batch], columns=["lang_pred", "score", "rejected"])
+        give_back()
 
     return answered(text_of(F.col(text_col)))
 

@@ -44,7 +44,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import fold, stored, text_of
+from starloom.llm.common import fold, give_back, stored, text_of
 
 #: Letters of context, the word's start included.
 CONTEXT = 7
@@ -161,6 +161,8 @@ def measure(df: DataFrame, table: dict[str, float], text_col: str) -> Column:
                 words = word_set(text)
                 out.append(math.fsum(map(known.__getitem__, words)) / math.sqrt(len(words)) if words else 0.0)
             yield pd.Series(out, dtype="float64")
+        known.clear()
+        give_back()
 
     return measured(text_of(F.col(text_col)))
 
