@@ -54,6 +54,14 @@ def test_from_snapshots(spark):
                    (2, "MF", "2024-02-01", None, True)]
 
 
+def test_versions_from_snapshots_are_numbered_in_order(spark):
+    rows = [(nk, "A", pos, f"2024-01-{d:02d}") for nk in range(20, 0, -1) for d, pos in ((1, "GK"), (2, "GK"), (3, "DF"))]
+    snaps = spark.createDataFrame(rows, SCHEMA + ", snap STRING").withColumn("snap", F.col("snap").cast("timestamp_ntz"))
+    v = scd2_from_snapshots(snaps.repartition(5), "nk", TRACKED, "snap", "sk").orderBy("nk", "valid_from").collect()
+    assert [r.sk for r in v] == list(range(1, 41))
+    assert [(r.nk, r.pos) for r in v[:3]] == [(1, "GK"), (1, "DF"), (2, "GK")]
+
+
 def _model(batches):
     """Plain-Python SCD2: list of versions (nk, name, pos, run, end_run, current)."""
     versions, next_sk = [], 1
