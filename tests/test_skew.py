@@ -4,7 +4,8 @@ give the window result without putting that member into one task."""
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from starloom.operators.keys import frequent_keys, lookup_sk, sequence_keys
+from starloom.operators import facts
+from starloom.operators.keys import frequent_keys, has_few_members, lookup_sk, sequence_keys
 from starloom.operators.merge import pick_one
 from starloom.operators.quality import orphan_check
 from starloom.operators.windows import next_in_group, previous_in_group
@@ -82,3 +83,49 @@ def test_aggregate_paths_under_skew(spark):
     assert last[0] == 29_997 and len(last) == 501
     dim = spark.range(1, 501).select(F.col("id").alias("member"))
     assert orphan_check(df, "member", dim, "member", "t").first().failures == 10_000
+
+
+def test_small_dimension_moves_no_fact_row(spark):
+    """A lookup in a dimension of few members shuffles no fact row, above the automatic broadcast size too."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(1000).select(F.col("id").alias("row"), (F.col("id") % 50).alias("team"))
+        dim = spark.range(40).select(F.col("id").alias("nk"), (F.col("id") + 100).alias("sk"))
+        assert has_few_members(dim)
+        got = lookup_sk(fact, dim, "team", "nk", "sk", few=True)
+        assert "hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(got.collect()) == sorted(lookup_sk(fact, dim, "team", "nk", "sk").collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_frequent_grain_is_dealt_by_content(spark, monkeypatch):
+    """One pair holds a third of the rows: the same winner and duplicates as when it is one window, in many tasks."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 90 + 1).cast("int").alias("player_id"),
+        F.when(F.col("id") % 3 == 0, 2).otherwise(F.col("id") % 97 + 1).cast("int").alias("teammate_player_id"),
+        F.lit("x").alias("teammate_player_name"), (F.col("id") % 11).cast("decimal(10,2)").alias("ppg_played_with"),
+        (F.col("id") % 700).cast("int").alias("joint_goal_participation"), (F.col("id") % 5).cast("int").alias("minutes_played_with"))
+    players = spark.range(1, 80).select(F.col("id").cast("int").alias("player_nk"), (F.col("id") * 10).alias("player_sk"),
+                                        F.lit(True).alias("is_current"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = facts.split_teammate_relationship(rows, players, run_ts="2024-01-01", spread=False)
+        monkeypatch.setattr(facts, "HOT_GRAIN", 5)
+        spread = facts.split_teammate_relationship(rows, players, run_ts="2024-01-01", spread=True)
+        assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+        pair = "source_record_id = '1|2'"
+        assert max(_sizes(plain.where(pair))) == plain.where(pair).count() > 1500
+        assert max(_sizes(spread.where(pair))) < 0.5 * spread.where(pair).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_rows_of_a_fact_are_made_once(spark):
+    """The rows that compete for a grain are read once, not once more to find the winners."""
+    pairs = spark.createDataFrame([(1, 2, "x", 1, 1, 90)] * 2, "player_id int, teammate_player_id int, teammate_player_name string, "
+                                  "ppg_played_with int, joint_goal_participation int, minutes_played_with int")
+    players = spark.createDataFrame([(1, 10, True), (2, 20, True)], "player_nk int, player_sk long, is_current boolean")
+    split = facts.split_teammate_relationship(pairs, players, run_ts="2024-01-01")
+    assert split._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+    assert sorted((r.reject_reason or "", r.n_rows) for r in split.collect()) == [("", 1), ("duplicate", 1)]
