@@ -204,3 +204,14 @@ def test_labels(spark):
     checks = spark.createDataFrame([("a", "total_rows", 3), ("a", "null_x", 1), ("a", "null_y", 0), ("s", "current_season_count_not_1", 1), ("f", "dropped_no_date", 2)],
                                    "table_name string, check_name string, failures long")
     assert [r.status for r in labelled(checks).collect()] == ["INFO", "ERROR", "OK", "WARNING", "INFO"]
+
+
+def test_landing_rows_are_not_dealt_out(spark, tmp_path):
+    """A landed split is written by the tasks that made it: no shuffle by accepted or rejected before its table is written."""
+    root = str(tmp_path / "wh")
+    W.load_warehouse(spark, staging(spark, FIRST, [(1, "GK")]), root, RUNS[0])
+    landed = os.path.join(root, "_landing", "fact_player_performance")
+    assert os.listdir(landed) and not [d for v in os.listdir(landed) for d in os.listdir(os.path.join(landed, v)) if "=" in d]
+    rejected = W.open_log(spark, root, "rejected").groupBy("table_name").agg(F.sum("n_rows").alias("n")).collect()
+    lines = {r.table_name: r.rows_rejected for r in W.open_log(spark, root, "ledger").collect() if r.rows_rejected}
+    assert {r.table_name: r.n for r in rejected} == {t: n for t, n in lines.items() if t != "fact_player_season_summary"}
