@@ -12,6 +12,7 @@ from test_bpe import THEIRS
 from test_classifiers import SharedModel
 from test_decontamination import brute as leaked
 from test_ngram_join import brute as components
+from test_ngram_join import tables
 
 from starloom.llm import langid, queries, toxicity
 
@@ -31,6 +32,14 @@ def test_stages_keep_columns_and_run_is_their_chain(spark):
     assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_only_the_last_stage_stays_stored(spark):
+    """And of the near duplicates' steps no table."""
+    before = tables(spark)
+    assert corpus_pipeline.run(spark, SMALL).count() > 0
+    kept = [x.rsplit("-", 1)[0] for x in tables(spark) - before if x.startswith(("pipeline-", "ngram-"))]
+    assert sorted(kept) == ["ngram-gone", "pipeline-encoding"]
+
+
 def test_every_operator_is_registered():
     assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
 
